@@ -1,0 +1,74 @@
+"""Synthetic stand-ins for a source that cannot be reached. Rows are a function of
+their index, so Spark generates them wherever the index column lives."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from deskcorpus.config import DEFAULTS
+from deskcorpus.functions.text import fill
+from deskcorpus.operators.sampling import shuffled
+from deskcorpus.sources.synthetic_values import CATEGORY_TEMPLATES, TOPIC_TEMPLATES
+
+FIRST_ORDER_ID = 100000
+
+
+def _pick(options: Column, index: Column) -> Column:
+    return F.element_at(options, (index % F.size(options) + 1).cast("int"))
+
+
+def topic_pairs(indexed: DataFrame, index: str) -> DataFrame:
+    """First generation (S09): topic ``i % 8``, template ``i % len(topic)``."""
+    i = F.col(index)
+    topics = F.array(
+        *[
+            F.struct(
+                F.lit(topic).alias("topic"),
+                F.array(
+                    *[F.struct(F.lit(q).alias("q"), F.lit(a).alias("a")) for q, a in templates]
+                ).alias("templates"),
+            )
+            for topic, templates in TOPIC_TEMPLATES.items()
+        ]
+    )
+    topic = _pick(topics, i)
+    template = _pick(topic.getField("templates"), i)
+    order_id = i + FIRST_ORDER_ID
+    return indexed.select(
+        i.alias(index),
+        fill(template.getField("q"), order_id).alias("instruction"),
+        fill(template.getField("a"), order_id).alias("response"),
+        topic.getField("topic").alias("category"),
+    )
+
+
+def category_pairs(indexed: DataFrame, index: str) -> DataFrame:
+    """Second generation (S10): template ``i % 6`` with category and intent."""
+    i = F.col(index)
+    names = ("instruction", "category", "intent", "response")
+    templates = F.array(
+        *[
+            F.struct(*[F.lit(v).alias(n) for n, v in zip(names, row)])
+            for row in CATEGORY_TEMPLATES
+        ]
+    )
+    template = _pick(templates, i)
+    order_id = i + FIRST_ORDER_ID
+    return indexed.select(
+        i.alias(index),
+        fill(template.getField("instruction"), order_id).alias("instruction"),
+        template.getField("category").alias("category"),
+        template.getField("intent").alias("intent"),
+        fill(template.getField("response"), order_id).alias("response"),
+    )
+
+
+def build_topics(spark: SparkSession, n: int = 500, seed: int = DEFAULTS.seed) -> DataFrame:
+    """``n`` rows of the first generation in seeded order."""
+    return shuffled(topic_pairs(spark.range(n), "id"), "id", seed).drop("id")
+
+
+def build_categories(spark: SparkSession, n: int = 500) -> DataFrame:
+    """``n`` rows of the second generation."""
+    return category_pairs(spark.range(n), "id").drop("id")

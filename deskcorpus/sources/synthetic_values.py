@@ -1,0 +1,72 @@
+"""Question and answer templates of the two synthetic sources."""
+
+TOPIC_TEMPLATES = {
+    "order tracking": [
+        ("Where is my order #{oid}?",
+         "Your order #{oid} has shipped and is expected to arrive within 3-5 business days. You can track it using the link in your confirmation email."),
+        ("How can I track my package?",
+         "You can track your package by logging into your account and visiting the 'My Orders' section, or using the tracking number sent to your email."),
+    ],
+    "refunds": [
+        ("I want a refund for my last purchase.",
+         "I'm sorry to hear that. Refunds are processed within 5-7 business days once we receive the returned item. Would you like me to start the return process?"),
+        ("When will I get my refund?",
+         "Refunds typically appear in your original payment method within 5-7 business days after we process your return."),
+    ],
+    "returns": [
+        ("How do I return an item?",
+         "You can return an item within 30 days of delivery. Go to 'My Orders', select the item, and click 'Return Item' to print a prepaid label."),
+        ("Can I exchange a product instead of returning it?",
+         "Yes, exchanges are available for items in original condition within 30 days. Select 'Exchange' instead of 'Return' in your order history."),
+    ],
+    "shipping": [
+        ("How long does shipping take?",
+         "Standard shipping takes 3-5 business days. Expedited shipping (1-2 days) is available at checkout for an additional fee."),
+        ("Do you ship internationally?",
+         "Yes, we ship to over 50 countries. International orders typically take 7-14 business days depending on the destination."),
+    ],
+    "payment issues": [
+        ("My payment was declined, what should I do?",
+         "Please double check your card details and billing address. If the issue persists, try an alternate payment method or contact your bank."),
+        ("Can I pay with PayPal?",
+         "Yes, we accept PayPal, major credit/debit cards, and select digital wallets at checkout."),
+    ],
+    "coupons": [
+        ("My coupon code isn't working.",
+         "Coupon codes are case-sensitive and may have minimum purchase requirements or expiration dates. Could you share the code so I can check it for you?"),
+        ("Do you have any active discounts?",
+         "You can find current promotions on our homepage banner or by subscribing to our newsletter for exclusive codes."),
+    ],
+    "account management": [
+        ("How do I reset my password?",
+         "Click 'Forgot Password' on the login page and follow the link sent to your registered email to reset it."),
+        ("How can I update my shipping address?",
+         "Go to 'Account Settings' > 'Addresses' to add, edit, or remove a shipping address at any time."),
+    ],
+    "delivery": [
+        ("My package says delivered but I never received it.",
+         "I'm sorry for the trouble. Please check with neighbors or your building's front desk first. If it's still missing after 24 hours, contact us and we'll open an investigation."),
+    ],
+}
+
+# (instruction, category, intent, response)
+CATEGORY_TEMPLATES = [
+    ("Where is my order #{oid}?", "ORDER", "track_order",
+     "Your order #{oid} has shipped and is expected to arrive within 3-5 business days. "
+     "You can track it in real time using the link in your confirmation email."),
+    ("I want to return the item from order #{oid}.", "RETURN", "return_item",
+     "You can start a return for order #{oid} from the 'My Orders' page within 30 days "
+     "of delivery. Once we receive the item, your refund will be processed within 5-7 days."),
+    ("My payment for order #{oid} failed, what do I do?", "PAYMENT", "payment_issue",
+     "We're sorry about that. Please check that your card details are correct and try again, "
+     "or use an alternate payment method. No charge was made for the failed attempt."),
+    ("Do you have any active coupon codes?", "PROMOTION", "coupon_inquiry",
+     "You can find current promotions on our Deals page. Sign up for our newsletter to get "
+     "exclusive coupon codes sent directly to your inbox."),
+    ("How do I update my shipping address for order #{oid}?", "ACCOUNT", "update_address",
+     "As long as order #{oid} hasn't shipped yet, you can update the address from your "
+     "order details page. Once shipped, please contact support for rerouting options."),
+    ("I never received a refund for order #{oid}.", "REFUND", "missing_refund",
+     "Refunds for order #{oid} typically take 5-7 business days to appear. If it has been "
+     "longer, please share your order ID so we can escalate this for you."),
+]
