@@ -7,33 +7,24 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
-from deskcorpus.functions.text import WS, as_text
-from deskcorpus.functions.tokens import clipped_overlap, ngrams
+from deskcorpus.functions.text import as_text, split_words
 
 BLEU_ORDERS = (1, 2, 3, 4)
 
-# The published 13a tokenisation, as (pattern, replacement).
+# The published 13a tokenisation, as (pattern, replacement). The blank
+# is left out of the first class, since blanks are squeezed at the end anyway.
 BLEU_13A = (
-    (r"([\{-\~\[-\` -\&\(-\+\:-\@\/])", " $1 "),
+    (r"([\{-\~\[-\`\!-\&\(-\+\:-\@\/])", " $1 "),
     (r"([^0-9])([\.,])", "$1 $2 "),
     (r"([\.,])([^0-9])", " $1 $2"),
     (r"([0-9])(-)", "$1 $2 "),
 )
 
 
-def _split_blank(squeezed: Column) -> Column:
-    none = F.array().cast("array<string>")
-    return F.when(squeezed == "", none).otherwise(F.split(squeezed, " "))
-
-
-def rouge_text(col: Column) -> Column:
-    """Lower-cased letters and digits, everything else one space."""
-    return F.trim(F.regexp_replace(F.lower(as_text(col)), "[^a-z0-9]+", " "))
-
-
 def rouge_tokens(col: Column, stemmer=None) -> Column:
-    """ROUGE tokens; ``stemmer`` maps one token Column to another."""
-    out = _split_blank(rouge_text(col))
+    """Runs of lower-cased letters and digits; ``stemmer`` maps one token Column to
+    another (U01)."""
+    out = F.array_remove(F.split(F.lower(as_text(col)), "[^a-z0-9]+"), "")
     return F.transform(out, stemmer) if stemmer else out
 
 
@@ -46,18 +37,13 @@ def bleu_tokens(col: Column) -> Column:
     text = F.concat(F.lit(" "), text, F.lit(" "))
     for pattern, replacement in BLEU_13A:
         text = F.regexp_replace(text, pattern, replacement)
-    return _split_blank(F.trim(F.regexp_replace(text, f"[{WS}]+", " ")))
+    return split_words(text)
 
 
 def gram_total(token_array: Column, n: int) -> Column:
     return F.greatest(F.size(token_array) - (n - 1), F.lit(0))
 
 
-def gram_hits(prediction: Column, reference: Column, n: int) -> Column:
-    """Clipped n-gram matches of one pair of token arrays."""
-    return clipped_overlap(ngrams(prediction, n), ngrams(reference, n))
-
-
 def f1(hits: Column, predicted: Column, expected: Column) -> Column:
     """Harmonic mean of hits/predicted and hits/expected, 0 without hits."""
     return F.when(hits > 0, 2.0 * hits / (predicted + expected)).otherwise(0.0)

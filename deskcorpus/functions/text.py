@@ -181,14 +181,16 @@ def _ascii_tables() -> tuple[str, str, str]:
     )
 
 
-def fold_ascii(col: Column) -> Column:
+def fold_ascii(col: Column, probe: Column | None = None) -> Column:
     """NFKD form without its non-ASCII part (T13). The fold works character by
     character, so accents are a native ``translate``; only rows with ligatures,
-    fractions and the like go through Python."""
+    fractions and the like go through Python. ``probe`` is a cheaper column with at
+    least the non-ASCII characters of ``col``, to choose the way by."""
+    probe = col if probe is None else probe
     source, target, rest = _ascii_tables()
     folded = F.regexp_replace(F.translate(col, source, target), r"[^\x00-\x7F]+", "")
-    native = F.when(F.octet_length(col) == F.length(col), col).otherwise(folded)
-    return F.coalesce(_nfkd_ascii(F.when(col.rlike(rest), col)), native)
+    native = F.when(F.octet_length(probe) == F.length(probe), col).otherwise(folded)
+    return F.coalesce(_nfkd_ascii(F.when(probe.rlike(rest), col)), native)
 
 
 # --- composed cleaners ------------------------------------------------------
@@ -233,7 +235,8 @@ def decode_markup(col: Column) -> Column:
 
 def clean_ascii(col: Column, lowercase: bool = True) -> Column:
     """``ascii`` cleaner (T14): markup and entities, ASCII fold, spaces, case."""
-    out = squeeze(fold_ascii(decode_markup(as_text(col))))
+    text = as_text(col)
+    out = squeeze(fold_ascii(decode_markup(text), probe=text))
     return F.lower(out) if lowercase else out
 
 
@@ -245,8 +248,18 @@ CLEANERS = {"core": clean_core, "ascii": clean_ascii}
 
 def word_count(col: Column) -> Column:
     """Number of white-space separated words, 0 for null."""
-    text = strip(as_text(col))
-    return F.when(text == "", 0).otherwise(F.size(F.split(text, f"[{WS}]+")))
+    return F.size(split_words(col))
+
+
+def split_words(col: Column) -> Column:
+    """The white-space separated words themselves."""
+    return F.array_remove(F.split(as_text(col), f"[{WS}]+"), "")
+
+
+def at_most_words(col: Column, limit: int) -> Column:
+    """``word_count(col) <= limit`` that stops reading after the first words."""
+    more = f"^[{WS}]*(?:[^{WS}]+[{WS}]+){{{limit}}}[^{WS}]"
+    return ~as_text(col).rlike(more)
 
 
 def word_count_squeezed(col: Column) -> Column:

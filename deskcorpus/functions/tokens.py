@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
-from deskcorpus.functions.text import WORD, WS, as_text
+from deskcorpus.functions.text import WORD, WS, as_text, split_words
 
 # A token is a run of word characters or one other visible character.
 TOKEN = rf"[{WORD}]+|[^{WORD}{WS}]"
@@ -40,7 +40,7 @@ def tokenizer_udf(factory: Callable[[], Callable[[str], list]]):
 
 def words(col: Column) -> Column:
     """White-space separated words."""
-    return F.regexp_extract_all(as_text(col), F.lit(f"[^{WS}]+"), F.lit(0))
+    return split_words(col)
 
 
 def truncate(token_array: Column, limit: int) -> Column:
@@ -62,15 +62,26 @@ def ngrams(token_array: Column, n: int) -> Column:
 def clipped_overlap(left: Column, right: Column) -> Column:
     """Size of the multiset intersection of two string arrays, inside the row.
 
-    Both sides are tagged, sorted together and folded once with a fixed-size
-    state, so a pair costs O(n log n) and the job needs no shuffle."""
+    It is the size of the set intersection unless both sides repeat grams; only then
+    are they counted. Either way the job needs no shuffle. The arguments are used
+    several times, so pass columns rather than expressions."""
+    common = F.size(F.array_intersect(left, right))
+    repeats = (F.size(F.array_distinct(left)) < F.size(left)) & (
+        F.size(F.array_distinct(right)) < F.size(right)
+    )
+    return F.when((common > 0) & repeats, _folded_overlap(left, right)).otherwise(common)
+
+
+def _folded_overlap(left: Column, right: Column) -> Column:
+    """Both sides tagged, sorted together and folded with a fixed-size state, which
+    costs O(n log n) for a pair."""
 
     def tagged(grams: Column, side: int) -> Column:
         return F.transform(
             grams, lambda g: F.struct(g.alias("gram"), F.lit(side).alias("side"))
         )
 
-    ordered = F.array_sort(F.concat(tagged(left, 0), tagged(right, 1)))
+    ordered = F.sort_array(F.concat(tagged(left, 0), tagged(right, 1)))
     start = F.struct(
         F.lit(None).cast("string").alias("gram"),
         F.lit(0).alias("l"),

@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 from deskcorpus.operators.schema import PAIR
 
 
-def row_digest(df: DataFrame, columns: Sequence[str]) -> Column:
+def row_digest(columns: Sequence[str]) -> Column:
     """256-bit digest of some columns. Every value is length-prefixed and null is
     marked apart, so different rows never share an input."""
     parts = []
     for name in columns:
-        text = F.col(name).cast("string")
+        text = F.col(f"`{name}`").cast("string")
         parts += [
             F.coalesce(F.length(text), F.lit(-1)).cast("string"),
             F.lit(":"),
@@ -48,7 +48,7 @@ def duplicate_count(df: DataFrame, keys: Sequence[str] | None = None) -> DataFra
     """Rows that repeat an earlier one, on all columns or on ``keys`` (A02). Only
     digests are shuffled, after map-side counting."""
     per_key = (
-        df.select(row_digest(df, keys or df.columns).alias("digest"))
+        df.select(row_digest(keys or df.columns).alias("digest"))
         .groupBy("digest")
         .count()
     )

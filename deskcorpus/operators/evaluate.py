@@ -10,11 +10,12 @@ from deskcorpus.functions.scores import (
     bleu_score,
     bleu_tokens,
     f1,
-    gram_hits,
     gram_total,
     lcs_length,
     rouge_tokens,
 )
+from deskcorpus.functions.tokens import clipped_overlap, ngrams
+from deskcorpus.stages import evaluate_once
 
 ROUGE_ORDERS = (1, 2)
 
@@ -31,25 +32,46 @@ def comparison_table(df: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     )
 
 
+def _with_overlaps(
+    df: DataFrame, prediction: Column, reference: Column, orders: tuple[int, ...]
+) -> DataFrame:
+    """Token arrays ``_p`` and ``_r``, and per order n the clipped matches ``_hits{n}``
+    with the totals ``_total{n}`` and ``_wanted{n}`` of both sides."""
+    tokens = evaluate_once(df, {"_p": prediction, "_r": reference})
+    p, r = F.col("_p"), F.col("_r")
+    longer = [n for n in orders if n > 1]
+    grams = evaluate_once(
+        tokens,
+        {f"_{side}{n}": ngrams(F.col(f"_{side}"), n) for n in longer for side in "pr"},
+    )
+    scored = {}
+    for n in orders:
+        left, right = (p, r) if n == 1 else (F.col(f"_p{n}"), F.col(f"_r{n}"))
+        scored[f"_hits{n}"] = clipped_overlap(left, right)
+        scored[f"_total{n}"] = gram_total(p, n)
+        scored[f"_wanted{n}"] = gram_total(r, n)
+    return grams.withColumns(scored).drop(*[f"_{s}{n}" for n in longer for s in "pr"])
+
+
 def rouge_per_row(
     df: DataFrame, prediction: str = "prediction", reference: str = "response", stemmer=None
 ) -> DataFrame:
     """Add rouge1, rouge2 (A12) and rougeL (A13) F-scores to each row. The scores of
     a pair depend on that pair alone, so this is a map-only plan."""
-    staged = df.withColumns(
-        {
-            "_p": rouge_tokens(F.col(prediction), stemmer),
-            "_r": rouge_tokens(F.col(reference), stemmer),
-        }
+    staged = _with_overlaps(
+        df,
+        rouge_tokens(F.col(prediction), stemmer),
+        rouge_tokens(F.col(reference), stemmer),
+        ROUGE_ORDERS,
     )
     p, r = F.col("_p"), F.col("_r")
     scores = {
-        f"rouge{n}": f1(gram_hits(p, r, n), gram_total(p, n), gram_total(r, n))
+        f"rouge{n}": f1(F.col(f"_hits{n}"), F.col(f"_total{n}"), F.col(f"_wanted{n}"))
         for n in ROUGE_ORDERS
     }
     lcs = lcs_length(F.array_join(p, " "), F.array_join(r, " "))
     scores["rougeL"] = f1(lcs, F.size(p), F.size(r))
-    return staged.withColumns(scores).drop("_p", "_r")
+    return staged.withColumns(scores).select(*df.columns, *scores)
 
 
 def _rouge_means() -> list[Column]:
@@ -69,15 +91,12 @@ def bleu_per_row(
     df: DataFrame, prediction: str = "prediction", reference: str = "response"
 ) -> DataFrame:
     """Add clipped matches and totals per n-gram order and both lengths."""
-    staged = df.withColumns(
-        {"_p": bleu_tokens(F.col(prediction)), "_r": bleu_tokens(F.col(reference))}
+    staged = _with_overlaps(
+        df, bleu_tokens(F.col(prediction)), bleu_tokens(F.col(reference)), BLEU_ORDERS
     )
-    p, r = F.col("_p"), F.col("_r")
-    parts = {"_sys_len": F.size(p), "_ref_len": F.size(r)}
-    for n in BLEU_ORDERS:
-        parts[f"_hits{n}"] = gram_hits(p, r, n)
-        parts[f"_total{n}"] = gram_total(p, n)
-    return staged.withColumns(parts).drop("_p", "_r")
+    parts = {"_sys_len": F.size("_p"), "_ref_len": F.size("_r")}
+    names = [f"_{kind}{n}" for n in BLEU_ORDERS for kind in ("hits", "total")]
+    return staged.withColumns(parts).select(*df.columns, *names, *parts)
 
 
 def _bleu_sums() -> Column:

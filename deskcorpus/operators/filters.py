@@ -12,6 +12,7 @@ from deskcorpus.config import DEFAULTS
 from deskcorpus.functions.text import as_text, as_text_nan, strip, word_count
 from deskcorpus.operators.dedup import row_digest
 from deskcorpus.operators.schema import PAIR
+from deskcorpus.stages import evaluate_once
 
 # Categories kept by the ascii profile.
 CATEGORIES = (
@@ -49,7 +50,9 @@ def within_words(
     counter=word_count,
 ) -> DataFrame:
     """Keep rows whose word counts all lie in [low, high]."""
-    return df.where(_all([counter(F.col(c)).between(low, high) for c in columns]))
+    counted = evaluate_once(df, {f"_words_{c}": counter(F.col(c)) for c in columns})
+    kept = counted.where(_all([F.col(f"_words_{c}").between(low, high) for c in columns]))
+    return kept.select(*df.columns)
 
 
 def drop_nulls(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -86,7 +89,7 @@ def category_whitelist(
 def violations(df: DataFrame) -> DataFrame:
     """Post-conditions of a clean pair table as counts, one row."""
     digests = df.select(
-        row_digest(df, PAIR).alias("digest"),
+        row_digest(PAIR).alias("digest"),
         (F.length("instruction") == 0).cast("int").alias("no_instruction"),
         (F.length("response") == 0).cast("int").alias("no_response"),
     )

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from deskcorpus.functions.text import WORD, as_text, word_count
+from deskcorpus.functions.text import WORD, as_text, at_most_words
 from deskcorpus.operators.generate import Generation, reply_column
 
 # Words that mark a message as a shopping-support question.
@@ -41,7 +41,7 @@ def on_topic(
 ) -> Column:
     """Short messages and those that mention a keyword."""
     text = as_text(col)
-    return (word_count(text) <= SHORT_MESSAGE) | mentions(text, keywords, match)
+    return at_most_words(text, SHORT_MESSAGE) | mentions(text, keywords, match)
 
 
 def route_replies(

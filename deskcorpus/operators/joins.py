@@ -11,16 +11,25 @@ HEAVY_SHARE = 0.001
 
 
 def lookup_join(
-    facts: DataFrame, table: DataFrame, on: Sequence[str], share: float = HEAVY_SHARE
+    facts: DataFrame,
+    table: DataFrame,
+    on: Sequence[str],
+    weight: str | None = None,
+    share: float = HEAVY_SHARE,
 ) -> DataFrame:
     """Left join of ``facts`` with a table that is unique on ``on``.
 
     Keys that make up more than ``share`` of the facts number fewer than 1/share,
     so that slice of the table is broadcast, whatever the data looks like; all
-    other keys go through an ordinary shuffled join, where none is heavy."""
+    other keys go through an ordinary shuffled join, where none is heavy. When a
+    column of the table already says how common each key is among the facts, pass it
+    as ``weight`` and the facts are not counted again; weights only steer the plan."""
     on = list(on)
-    counts = facts.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-    total = facts.agg(F.count(F.lit(1)).alias("_t")).scalar()
+    if weight is None:
+        counts = facts.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
+    else:
+        counts = table.select(*on, F.col(weight).alias("_n"))
+    total = counts.agg(F.sum("_n").alias("_t")).scalar()
     heavy = counts.where(F.col("_n") > total * F.lit(share)).select(*on)
     heavy = F.broadcast(heavy)  # fewer than 1/share rows
     heavy_table = F.broadcast(table.join(heavy, on, "left_semi"))

@@ -7,10 +7,13 @@ from pyspark.sql import functions as F
 
 from deskcorpus.functions.tokens import words
 from deskcorpus.operators.joins import lookup_join
+from deskcorpus.stages import evaluate_once, materialize
 
 
 def _bigrams(df: DataFrame, text: str, *carry: str) -> DataFrame:
-    staged = df.select(*carry, words(F.lower(F.col(text))).alias("w"))
+    staged = evaluate_once(
+        df.select(*carry, F.col(text).alias("w")), {"w": words(F.lower(F.col("w")))}
+    )
     pairs = F.zip_with(
         F.col("w"),
         F.slice("w", 2, F.size("w")),
@@ -34,9 +37,10 @@ def bigram_losses(
     p(word | prev) = (n(prev, word) + k) / (n(prev) + k * V) and V is the training
     vocabulary plus one. Texts with fewer than two words have no loss.
 
-    The log of the quotient splits into two independent lookups, whose terms are
+    The counts are the model and are written once, as are the test pairs, so that each
+    text is tokenised a single time. The log of the quotient splits into two independent lookups, whose terms are
     added per text, so neither join has to wait for the other."""
-    pair_counts = bigram_counts(train, text)
+    pair_counts = materialize(bigram_counts(train, text))
     prev_counts = pair_counts.groupBy("prev").agg(F.sum("n").alias("m"))
     vocabulary = (
         pair_counts.select(F.explode(F.array("prev", "word")).alias("w"))
@@ -44,14 +48,14 @@ def bigram_losses(
         .agg(F.count(F.lit(1)) + 1)
         .scalar()
     )
-    facts = _bigrams(test, text, key)
+    facts = materialize(_bigrams(test, text, key))
     zero = F.lit(0)
-    top = lookup_join(facts, pair_counts, ["prev", "word"]).select(
+    top = lookup_join(facts, pair_counts, ["prev", "word"], weight="n").select(
         key,
         (-F.ln(F.coalesce("n", zero) + F.lit(k))).alias("term"),
         F.lit(1).alias("one"),
     )
-    bottom = lookup_join(facts.select(key, "prev"), prev_counts, ["prev"]).select(
+    bottom = lookup_join(facts.select(key, "prev"), prev_counts, ["prev"], weight="m").select(
         key,
         F.ln(F.coalesce("m", zero) + F.lit(k) * vocabulary).alias("term"),
         zero.alias("one"),

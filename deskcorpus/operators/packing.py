@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from deskcorpus.config import DEFAULTS
 from deskcorpus.functions.tokens import token_length, tokens
 from deskcorpus.operators.ranking import hash_order
+from deskcorpus.stages import evaluate_once
 
 
 def pack(
@@ -35,13 +36,11 @@ def pack(
     before = (
         Window.partitionBy("shard").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
     )
+    sized = df.select(
+        (slot % shards).cast("int").alias("shard"), F.col(key), F.col(text).alias("text")
+    )
     placed = (
-        df.select(
-            (slot % shards).cast("int").alias("shard"),
-            F.col(key),
-            F.col(text).alias("text"),
-            count(F.col(text)).cast("bigint").alias("n"),
-        )
+        evaluate_once(sized, {"n": count(F.col("text")).cast("bigint")})
         .where("n > 0")
         .withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0).cast("bigint")))
     )

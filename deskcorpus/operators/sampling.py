@@ -118,7 +118,7 @@ def split_leaks(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Values of ``columns`` that sit in more than one split. Cleaning after
     splitting can cause them; this reports and does not repair."""
     per_key = (
-        df.select(row_digest(df, columns).alias("digest"), "split")
+        df.select(row_digest(columns).alias("digest"), "split")
         .groupBy("digest")
         .agg(
             *[

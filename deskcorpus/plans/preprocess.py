@@ -19,6 +19,7 @@ from deskcorpus.functions.text import (
 from deskcorpus.operators.dedup import keep_first, row_digest
 from deskcorpus.operators.filters import drop_empty, drop_noisy, within_words
 from deskcorpus.operators.schema import PAIR, keep_columns, standardize
+from deskcorpus.stages import evaluate_once
 
 
 def clean_columns(
@@ -29,7 +30,9 @@ def clean_columns(
 ) -> DataFrame:
     """Clean some text columns with a profile's cleaner and its default case."""
     options = {} if lowercase is None else {"lowercase": lowercase}
-    return df.withColumns({c: CLEANERS[profile](F.col(c), **options) for c in columns})
+    return evaluate_once(
+        df, {c: CLEANERS[profile](F.col(c), **options) for c in columns}
+    )
 
 
 def preprocess_core(
@@ -74,18 +77,14 @@ def funnel_core(
     n_rows). Only digests and flags are shuffled; raw copies and cleaned copies are
     both counted with map-side combining."""
     raw = standardize(df)
-    cleaned = clean_columns(raw, "core", lowercase=lowercase)
     i, r = F.col("instruction"), F.col("response")
     wi, wr = word_count_squeezed(i), word_count_squeezed(r)
-    staged = (
-        raw.withColumn("raw", row_digest(raw, PAIR))
-        .withColumns({c: clean_core(F.col(c), lowercase) for c in PAIR})
-        .select(
-            "raw",
-            row_digest(cleaned, PAIR).alias("clean"),
-            ((F.length(i) > 0) & (F.length(r) > 0)).alias("filled"),
-            (wi.between(low, high) & wr.between(low, high)).alias("sized"),
-        )
+    marked = raw.withColumn("raw", row_digest(PAIR))
+    staged = clean_columns(marked, "core", lowercase=lowercase).select(
+        "raw",
+        row_digest(PAIR).alias("clean"),
+        ((F.length(i) > 0) & (F.length(r) > 0)).alias("filled"),
+        (wi.between(low, high) & wr.between(low, high)).alias("sized"),
     )
     # a raw digest determines the other columns
     per_raw = staged.groupBy("raw", "clean", "filled", "sized").agg(

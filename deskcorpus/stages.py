@@ -1,11 +1,12 @@
-"""Stage borders: shared scratch space and materialised intermediate tables."""
+"""Stage borders: shared scratch space, materialised tables, evaluate-once columns."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def scratch_dir(spark: SparkSession) -> str:
@@ -28,3 +29,16 @@ def materialize(df: DataFrame) -> DataFrame:
     path = scratch_dir(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def evaluate_once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Like ``withColumns``, for costly expressions that later filters refer to.
+
+    The optimiser moves a filter below a projection by copying the expression into
+    it, once per mention, so a text would be cleaned again for every condition. It
+    does not do that across a generator: the columns are produced by an ``inline``
+    of one row, while filters on other columns still pass through it."""
+    kept = [F.col(f"`{c}`") for c in df.columns if c not in columns]
+    row = F.struct(*[e.alias(n) for n, e in columns.items()])
+    names = [*df.columns, *(n for n in columns if n not in df.columns)]
+    return df.select(*kept, F.inline(F.array(row))).select(*[F.col(f"`{n}`") for n in names])
