@@ -14,15 +14,9 @@ def _bigrams(df: DataFrame, text: str, *carry: str) -> DataFrame:
     staged = evaluate_once(
         df.select(*carry, F.col(text).alias("w")), {"w": words(F.lower(F.col("w")))}
     )
-    pairs = F.zip_with(
-        F.col("w"),
-        F.slice("w", 2, F.size("w")),
-        lambda a, b: F.struct(a.alias("prev"), b.alias("word")),
-    )
-    # the last word has no successor, so its pair has a null second half
-    return staged.where(F.size("w") > 1).select(*carry, F.inline(pairs)).where(
-        "word is not null"
-    )
+    pairs = F.arrays_zip(F.col("w"), F.slice("w", 2, F.size("w")))
+    named = staged.select(*carry, F.inline(pairs)).toDF(*carry, "prev", "word")
+    return named.where("word is not null")  # the last word has no successor
 
 
 def bigram_counts(train: DataFrame, text: str) -> DataFrame:
