@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import groupby
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,9 +32,14 @@ SHORT_MESSAGE = 3
 def mentions(col: Column, keywords: Sequence[str] = KEYWORDS, match: str = "word") -> Column:
     """True when the lower-cased text holds a keyword as a whole word, or at the
     start of a word with ``match="prefix"``."""
+    # alternatives are grouped by first letter, which most positions fail at once
+    initials = "".join(sorted({k[0] for k in keywords}))
+    groups = "|".join(
+        f"{letter}(?:{'|'.join(k[1:] for k in words)})"
+        for letter, words in groupby(sorted(keywords), key=lambda k: k[0])
+    )
     end = f"(?![{WORD}])" if match == "word" else ""
-    pattern = f"(?<![{WORD}])(?:{'|'.join(keywords)}){end}"
-    return F.lower(col).rlike(pattern)
+    return F.lower(col).rlike(f"(?=[{initials}])(?<![{WORD}])(?:{groups}){end}")
 
 
 def on_topic(

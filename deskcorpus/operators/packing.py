@@ -13,6 +13,18 @@ from deskcorpus.operators.ranking import hash_order
 from deskcorpus.stages import evaluate_once
 
 
+SHARD_BYTES = 64 << 20
+UNKNOWN_BYTES = 1 << 60
+
+
+def default_shards(df: DataFrame) -> int:
+    """Shards of about SHARD_BYTES by the optimiser's size estimate, which comes from
+    file sizes and starts no job; never fewer than the shuffle partitions."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    by_size = size // SHARD_BYTES if 0 < size < UNKNOWN_BYTES else 0
+    return max(by_size, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def pack(
     df: DataFrame,
     key: str,
@@ -26,12 +38,11 @@ def pack(
 ) -> DataFrame:
     """Fixed-length token blocks (M01) as (shard, block, tokens, n_tokens).
 
-    Rows are spread over ``shards`` by a hash of their unique key, and every shard is
+    Rows are spread over ``shards`` (by default, as the data size demands) by a hash of their unique key, and every shard is
     one stream ordered by key; only its last block can be short. A row yields one
     piece per block it touches rather than one row per token, so the single shuffle
     moves the text once, and assembling blocks reuses that partitioning."""
-    spark = df.sparkSession
-    shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shards = shards or default_shards(df)
     slot = F.conv(F.substring(hash_order(key, seed), 1, 8), 16, 10).cast("bigint")
     before = (
         Window.partitionBy("shard").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)

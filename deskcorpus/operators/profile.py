@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column, DataFrame
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from deskcorpus.functions.text import WORD, as_text_nan
+from deskcorpus.operators.dedup import row_digest
 from deskcorpus.operators.ranking import exact_quantiles
 
 QUARTILES = (0.25, 0.5, 0.75)
@@ -104,9 +106,19 @@ def describe_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def describe_text(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """count, distinct values, most frequent value and its frequency per string
-    column (A06); among equally frequent values the smallest is reported."""
-    counts = _long(df, columns, "string").groupBy("name", "value").agg(
-        F.count(F.lit(1)).alias("n")
+    column (A06); of equally frequent values, the one with the smallest digest.
+
+    Only digests are shuffled and counted, however long the texts are. The winning
+    text is then read by a scan that stops at its first copy."""
+    entries = [
+        F.struct(F.lit(c).alias("name"), row_digest([c]).alias("digest"))
+        for c in columns
+    ]
+    filled = F.array_compact(
+        F.array(*[F.when(F.col(f"`{c}`").isNotNull(), e) for c, e in zip(columns, entries)])
+    )
+    counts = (
+        df.select(F.inline(filled)).groupBy("name", "digest").agg(F.count(F.lit(1)).alias("n"))
     )
     totals = counts.groupBy("name").agg(
         F.sum("n").alias("count"),
@@ -114,11 +126,19 @@ def describe_text(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         F.max("n").alias("freq"),
     )
     best = totals.select("name", F.col("freq").alias("n"))
-    top = (
+    winners = (
         counts.join(F.broadcast(best), ["name", "n"], "left_semi")  # a row per column
         .groupBy("name")
-        .agg(F.min("value").alias("top"))
+        .agg(F.min("digest").alias("digest"))
     )
+    parts = []
+    for c in columns:
+        winner = winners.where(F.col("name") == c).select("digest").scalar()
+        found = df.where(row_digest([c]) == winner).select(
+            F.lit(c).alias("name"), F.col(f"`{c}`").alias("top")
+        )
+        parts.append(found.limit(1))
+    top = reduce(DataFrame.unionByName, parts)
     names = df.sparkSession.createDataFrame([(c,) for c in columns], "name string")
     zero = F.lit(0).cast("bigint")
     return (

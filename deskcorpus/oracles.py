@@ -159,7 +159,7 @@ def describe(source: str, columns) -> str:
 def text_profile(source: str, columns) -> str:
     return " union all ".join(
         f"""select '{c}' as name, sum(n)::bigint as count, count(*) as "unique",
-        arg_min(v, (-n, v)) as top, max(n) as freq
+        arg_min(v, (-n, sha256(length(v)::varchar || ':' || v))) as top, max(n) as freq
         from (select {c} as v, count(*) as n from ({source}) where {c} is not null group by 1)"""
         for c in columns
     )

@@ -215,3 +215,12 @@ def test_evaluation_job_writes_its_outputs(spark, tmp_path):
     assert spark.read.option("header", True).csv(f"{tmp_path}/table").count() == 50
     metrics = spark.read.json(f"{tmp_path}/metrics").first()
     assert metrics.n_eval_samples == 50 and metrics.rouge1 == pytest.approx(report.rouge1)
+
+
+def test_default_shards_grow_with_the_data(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert packing.default_shards(docs) == partitions
+    wide = spark.range(10**9).select("id", F.lit("x" * 100).alias("t"))
+    assert packing.default_shards(wide) > partitions
+    assert packing.pack(docs, "doc_id", "text").count() > 0
