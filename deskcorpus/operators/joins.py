@@ -28,11 +28,12 @@ def lookup_join(
     if weight is None:
         counts = facts.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
     else:
-        counts = table.select(*on, F.col(weight).alias("_n"))
+        counts = table.withColumn("_n", F.col(weight))
     total = counts.agg(F.sum("_n").alias("_t")).scalar()
-    heavy = counts.where(F.col("_n") > total * F.lit(share)).select(*on)
+    heavy = counts.where(F.col("_n") > total * F.lit(share)).drop("_n")
+    if weight is None:
+        heavy = heavy.join(table, on, "left")
     heavy = F.broadcast(heavy)  # fewer than 1/share rows
-    heavy_table = F.broadcast(table.join(heavy, on, "left_semi"))
-    common = facts.join(heavy, on, "left_semi").join(heavy_table, on, "left")
-    rare = facts.join(heavy, on, "left_anti").join(table, on, "left")
+    common = facts.join(heavy, on)
+    rare = facts.join(heavy.select(*on), on, "left_anti").join(table, on, "left")
     return common.unionByName(rare)

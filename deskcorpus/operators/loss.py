@@ -35,7 +35,7 @@ def bigram_losses(
     text is tokenised a single time. The log of the quotient splits into two independent lookups, whose terms are
     added per text, so neither join has to wait for the other."""
     pair_counts = materialize(bigram_counts(train, text))
-    prev_counts = pair_counts.groupBy("prev").agg(F.sum("n").alias("m"))
+    prev_counts = materialize(pair_counts.groupBy("prev").agg(F.sum("n").alias("m")))
     vocabulary = (
         pair_counts.select(F.explode(F.array("prev", "word")).alias("w"))
         .distinct()

@@ -80,26 +80,13 @@ def describe_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         .groupBy("name", "value")
         .agg(F.count(F.lit(1)).alias("weight"))
     )
-    bounds = stats.select("name", "low", "high", "total")
-    quartiles = (
-        exact_quantiles(counts, bounds, QUARTILES)
-        .groupBy("name")
-        .agg(
-            *[
-                F.max(F.when(F.col("prob") == p, F.col("value"))).alias(f"q{int(p * 100)}")
-                for p in QUARTILES
-            ]
-        )
-    )
-    return stats.join(F.broadcast(quartiles), "name", "left").select(
+    return exact_quantiles(counts, stats, QUARTILES).select(
         "name",
         F.col("total").alias("count"),
         "mean",
         "std",
         F.col("low").alias("min"),
-        "q25",
-        "q50",
-        "q75",
+        *[f"q{round(p * 100)}" for p in QUARTILES],
         F.col("high").alias("max"),
     )
 

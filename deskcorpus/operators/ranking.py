@@ -126,9 +126,10 @@ def exact_quantiles(
     """Linear-interpolation quantiles per group.
 
     ``counts`` holds (name, value, weight) with one row per distinct value;
-    ``bounds`` holds (name, low, high, total), one row per name. Each refinement
-    splits the interval around a wanted rank into CELLS equal cells and keeps the
-    one that contains it; only what is left of the interval is ordered."""
+    ``bounds`` holds (name, low, high, total) and maybe more, one row per name; it
+    comes back with a column ``q{percent}`` per probability. Each refinement splits
+    the interval around a wanted rank into CELLS equal cells and keeps the one that
+    contains it; only what is left of the interval is ordered."""
     places = F.array(*[F.lit(float(p)) for p in probabilities])
     targets = (
         bounds.where("total > 0")
@@ -158,15 +159,19 @@ def exact_quantiles(
         .withColumn("upto", F.sum("weight").over(upto))
         .where("upto >= local and upto - weight < local")
     )
-    pairs = picked.groupBy("name", "prob").agg(
-        F.min("value").alias("below"), F.max("value").alias("above")
-    )
-    frac = F.expr("(total - 1) * prob - floor((total - 1) * prob)")
-    return pairs.join(F.broadcast(bounds), "name").select(
-        "name",
-        "prob",
-        (F.col("below") + (F.col("above") - F.col("below")) * frac).alias("value"),
-    )
+    ends = []
+    for i, p in enumerate(probabilities):
+        here = F.when(F.col("prob") == float(p), F.col("value"))
+        ends += [F.min(here).alias(f"below{i}"), F.max(here).alias(f"above{i}")]
+    found = picked.groupBy("name").agg(*ends)
+    quantiles = []
+    for i, p in enumerate(probabilities):
+        place = (F.col("total") - 1) * F.lit(float(p))
+        low, high = F.col(f"below{i}"), F.col(f"above{i}")
+        value = low + (high - low) * (place - F.floor(place))
+        quantiles.append(value.alias(f"q{round(p * 100)}"))
+    # one row per column on both sides
+    return bounds.join(F.broadcast(found), "name", "left").select(*bounds.columns, *quantiles)
 
 
 def _inside(counts: DataFrame, targets: DataFrame) -> DataFrame:
