@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from itertools import groupby
 
@@ -32,10 +33,12 @@ SHORT_MESSAGE = 3
 def mentions(col: Column, keywords: Sequence[str] = KEYWORDS, match: str = "word") -> Column:
     """True when the lower-cased text holds a keyword as a whole word, or at the
     start of a word with ``match="prefix"``."""
+    if not keywords:
+        return F.lit(False)
     # alternatives are grouped by first letter, which most positions fail at once
-    initials = "".join(sorted({k[0] for k in keywords}))
+    initials = "".join(re.escape(c) for c in sorted({k[0] for k in keywords}))
     groups = "|".join(
-        f"{letter}(?:{'|'.join(k[1:] for k in words)})"
+        f"{re.escape(letter)}(?:{'|'.join(re.escape(k[1:]) for k in words)})"
         for letter, words in groupby(sorted(keywords), key=lambda k: k[0])
     )
     end = f"(?![{WORD}])" if match == "word" else ""

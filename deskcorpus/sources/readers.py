@@ -59,10 +59,11 @@ def read_csv(
     na_strings: Sequence[str] = NA_STRINGS,
 ) -> DataFrame:
     """CSV with a header, multi-line quoted cells and doubled quotes (S03); missing
-    value strings become null. A multi-line file cannot be cut, so parallelism is
+    value strings become null in columns of any type. A multi-line file cannot be cut, so parallelism is
     one task per file: keep files near the split size, or land them as Parquet."""
+    raw = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
     df = (
-        spark.read.schema(schema)
+        spark.read.schema(raw)
         .options(
             header=True,
             multiLine=True,
@@ -74,9 +75,13 @@ def read_csv(
         )
         .csv(path)
     )
-    text = [f.name for f in schema.fields if isinstance(f.dataType, T.StringType)]
-    return df.withColumns(
-        {c: F.when(~F.col(c).isin(*na_strings), F.col(c)) for c in text}
+    return df.select(
+        *[
+            F.when(~F.col(f"`{f.name}`").isin(*na_strings), F.col(f"`{f.name}`"))
+            .cast(f.dataType)
+            .alias(f.name)
+            for f in schema.fields
+        ]
     )
 
 

@@ -28,9 +28,9 @@ def test_csv_round_trip(spark, tmp_path):
 
 def test_csv_reading(spark, tmp_path):
     path = tmp_path / "in.csv"
-    path.write_text('id,t\n1,"a ""q"" b"\n2,"l1\n\nl2, x"\n3,NA\n4,\n5,null\n6,n/a \n')
+    path.write_text('id,t\n1,"a ""q"" b"\n2,"l1\n\nl2, x"\n3,NA\n4,\n5,null\n6,n/a \nNA,x\n')
     got = {r.id: r.t for r in readers.read_csv(spark, str(path), SCHEMA).collect()}
-    assert got == {1: 'a "q" b', 2: "l1\n\nl2, x", 3: None, 4: None, 5: None, 6: "n/a "}
+    assert got == {1: 'a "q" b', 2: "l1\n\nl2, x", 3: None, 4: None, 5: None, 6: "n/a ", None: "x"}
 
 
 def test_sample_file_stays_whole(spark):
