@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -12,13 +15,16 @@ from pyspark.sql import functions as F
 def scratch_dir(spark: SparkSession) -> str:
     """A fresh path in the shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local session without that setting falls back to a temporary folder;
-    a cluster must name one that every executor can reach."""
+    Only a session whose executors are threads of this process sets a folder of its own
+    where the setting is missing, once, and removes it when the process ends; a cluster
+    must name one that every executor can reach."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         root = tempfile.mkdtemp(prefix="deskcorpus-")
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
+        spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/deskcorpus-{uuid.uuid4().hex}"
 
 
