@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from deskcorpus.llm import packing_dp, token_counts, token_files
+from deskcorpus.llm import packing_dp, quality, quality_sql, token_counts, token_files
 from deskcorpus.llm.common import table
 from deskcorpus.stages import scratch_dir
 
@@ -23,9 +23,14 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_checksums(manifest)
 
 
+def op10_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_table(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op4_length_histogram": op4_length_histogram,
     "op5_pack_sequences": op5_pack_sequences,
     "op9_token_files": op9_token_files,
+    "op10_quality_cascade": op10_quality_cascade,
 }
-ORACLES: dict[str, str] = {}
+ORACLES = {"op10_quality_cascade": quality_sql.QUALITY_SQL}
