@@ -4,11 +4,24 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from deskcorpus.llm import packing_dp, quality, quality_sql, token_counts, token_files
+from deskcorpus.llm import (
+    chosen_path,
+    dedup_sql,
+    digest_runs,
+    packing_dp,
+    quality,
+    quality_sql,
+    token_counts,
+    token_files,
+)
 from deskcorpus.llm.common import table
 from deskcorpus.stages import scratch_dir
 
 
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chosen_path.near_duplicates(table(spark, sf_dir, "documents"), width=4, percent=80)
+
+
 def op4_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.length_histogram(token_counts.encoded_lengths(table(spark, sf_dir, "documents")))
 
@@ -18,6 +31,10 @@ def op5_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing_dp.piece_checksums(tokens, packing_dp.pack_documents(tokens))
 
 
+def op6_digest_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest_runs.dedup_table(table(spark, sf_dir, "documents"))
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = token_files.write_token_files(table(spark, sf_dir, "documents"), scratch_dir(spark))
     return token_files.read_checksums(manifest)
@@ -28,9 +45,14 @@ def op10_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_near_duplicates": op2_near_duplicates,
     "op4_length_histogram": op4_length_histogram,
     "op5_pack_sequences": op5_pack_sequences,
+    "op6_digest_runs": op6_digest_runs,
     "op9_token_files": op9_token_files,
     "op10_quality_cascade": op10_quality_cascade,
 }
-ORACLES = {"op10_quality_cascade": quality_sql.QUALITY_SQL}
+ORACLES = {
+    "op6_digest_runs": dedup_sql.DEDUP_SQL,
+    "op10_quality_cascade": quality_sql.QUALITY_SQL,
+}
