@@ -8,6 +8,8 @@ from deskcorpus.llm import (
     chosen_path,
     dedup_sql,
     digest_runs,
+    mixing,
+    mixing_sql,
     packing_dp,
     quality,
     quality_sql,
@@ -22,6 +24,10 @@ def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chosen_path.near_duplicates(table(spark, sf_dir, "documents"), width=4, percent=80)
 
 
+def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_table(table(spark, sf_dir, "documents"))
+
+
 def op4_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.length_histogram(token_counts.encoded_lengths(table(spark, sf_dir, "documents")))
 
@@ -46,6 +52,7 @@ def op10_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_near_duplicates": op2_near_duplicates,
+    "op3_mix_sources": op3_mix_sources,
     "op4_length_histogram": op4_length_histogram,
     "op5_pack_sequences": op5_pack_sequences,
     "op6_digest_runs": op6_digest_runs,
@@ -53,6 +60,7 @@ QUERIES = {
     "op10_quality_cascade": op10_quality_cascade,
 }
 ORACLES = {
+    "op3_mix_sources": mixing_sql.MIXING_SQL,
     "op6_digest_runs": dedup_sql.DEDUP_SQL,
     "op10_quality_cascade": quality_sql.QUALITY_SQL,
 }
