@@ -8,6 +8,7 @@ from deskcorpus.llm import (
     chosen_path,
     dedup_sql,
     digest_runs,
+    licenses,
     mixing,
     mixing_sql,
     packing_dp,
@@ -41,6 +42,10 @@ def op6_digest_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest_runs.dedup_table(table(spark, sf_dir, "documents"))
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_table(table(spark, sf_dir, "documents"))
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = token_files.write_token_files(table(spark, sf_dir, "documents"), scratch_dir(spark))
     return token_files.read_checksums(manifest)
@@ -56,6 +61,7 @@ QUERIES = {
     "op4_length_histogram": op4_length_histogram,
     "op5_pack_sequences": op5_pack_sequences,
     "op6_digest_runs": op6_digest_runs,
+    "op8_license_scan": op8_license_scan,
     "op9_token_files": op9_token_files,
     "op10_quality_cascade": op10_quality_cascade,
 }
