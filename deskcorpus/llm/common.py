@@ -16,7 +16,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 HOT_SHARE = 0.001
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -105,6 +105,7 @@ def text_chunks(batch: pa.RecordBatch, column: str = "text", size: int = CHUNK_B
     while at < rows:
         upto = max(int(np.searchsorted(ends, ends[at] + size, "right")) - 1, at + 1)
         yield batch.slice(at, min(upto, rows) - at)
+        pa.default_memory_pool().release_unused()
         at = min(upto, rows)
 
 

@@ -3,7 +3,8 @@
 ``word_bpe`` tokenizers drop white space and never merge across it, and they lower-case.
 So a text's ids are its words' ids in a row: every distinct word goes through the
 tokenizers library once per worker, and texts are put together by array gathers.
-Words are kept in a bounded cache, which changes nothing but the speed."""
+The words met first are kept in a bounded cache; others are learnt anew by each chunk of
+texts. That changes nothing but the speed."""
 
 from __future__ import annotations
 
@@ -11,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CACHE_WORDS = 1_500_000
+CACHE_WORDS = 250_000
 GROUP = 256
 WORD_END = "</w>"
 STOPS = ".,;:!?#%&$*|)"  # after a letter, these always start another piece
@@ -31,7 +32,8 @@ class WordEncoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
-        self.model, self.ascii_letters, self.any_letters = (Tokenizer.from_file(path) for _ in range(3))
+        self.model = Tokenizer.from_file(path)
+        self.ascii_letters, self.any_letters = (Tokenizer(self.model.model) for _ in range(2))
         # for letters alone the costly patterns of the full tokenizer find nothing to do
         spaces = pre_tokenizers.WhitespaceSplit()
         as_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
@@ -44,16 +46,10 @@ class WordEncoder:
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, np.bool_)
         self.ends_word[[i for t, i in vocabulary.items() if t.endswith(WORD_END)]] = True
         self.tokens = vocabulary
-        self._forget()
-
-    def _forget(self):
-        self.places: dict[str, int] = {}
+        self.known = pa.array([], pa.string())
         self.pool = np.zeros(1 << 20, np.uint32)
         self.ends = np.zeros(1 << 16, np.int64)
 
-    def _plain(self, words: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.model.encode_batch_fast(words, add_special_tokens=False)]
-
     def _letters(self, model, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of words of letters alone, each of which is one piece to the tokenizer, so
         that its last id is the one that ends a word."""
@@ -65,30 +61,20 @@ class WordEncoder:
             raise ValueError("this tokenizer does not keep words apart")
         return flat, np.diff(upto, prepend=0)
 
-    def _learn(self, words: list[str]) -> None:
-        """Words that end in stops after an ASCII letter are learnt as the two parts,
-        between which the tokenizer always splits."""
-        bodies = [w.rstrip(STOPS) for w in words]
-        two = [len(m) < len(w) and m[-1:].isascii() and m[-1:].isalpha() for w, m in zip(words, bodies)]
-        need = [m if t else w for w, m, t in zip(words, bodies, two)]
-        need += {w[len(m) :] for w, m, t in zip(words, bodies, two) if t}
-        need = [w for w in dict.fromkeys(need) if w not in self.places]
-        plain = [w for w in need if w.isalpha() and w.isascii()]
-        letters = [w for w in need if w.isalpha() and not w.isascii() and w.lower().isalpha()]
-        known = {*plain, *letters}
-        other = [w for w in need if w not in known]
-        self._store(plain, *self._letters(self.ascii_letters, plain))
-        self._store(letters, *self._letters(self.any_letters, letters))
-        ids = self._plain(other)
-        self._store(
-            other,
-            np.array([i for x in ids for i in x], np.uint32),
-            np.fromiter(map(len, ids), np.int64, len(ids)),
-        )
-        whole = [w for w, t in zip(words, two) if t]
-        parts = [self.places[x] for w, m, t in zip(words, bodies, two) if t for x in (m, w[len(m) :])]
-        flat, sizes = self._gather(np.array(parts, np.int64))
-        self._store(whole, flat, sizes.reshape(-1, 2).sum(1))
+    def _any(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids = [e.ids for e in self.model.encode_batch_fast(words, add_special_tokens=False)]
+        return np.array([i for x in ids for i in x], np.uint32), np.fromiter(map(len, ids), np.int64, len(ids))
+
+    def _append(self, at: int, flat: np.ndarray, sizes: np.ndarray) -> int:
+        """Put entries after the first ``at``; returns how many there are then."""
+        upto = self.ends[at] + np.cumsum(sizes)
+        if at + len(sizes) + 1 > len(self.ends):
+            self.ends = np.resize(self.ends, 2 * (at + len(sizes) + 1))
+        if len(upto) and upto[-1] > len(self.pool):
+            self.pool = np.resize(self.pool, 2 * int(upto[-1]))
+        self.pool[self.ends[at] : self.ends[at] + len(flat)] = flat
+        self.ends[at + 1 : at + 1 + len(sizes)] = upto
+        return at + len(sizes)
 
     def _gather(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         first = self.ends[places]
@@ -96,39 +82,55 @@ class WordEncoder:
         before = np.cumsum(sizes) - sizes
         return self.pool[np.repeat(first - before, sizes) + np.arange(sizes.sum())], sizes
 
-    def _store(self, words: list[str], flat: np.ndarray, sizes: np.ndarray) -> None:
-        if not words:
-            return
-        k = len(self.places)
-        upto = self.ends[k] + np.cumsum(sizes)
-        if k + len(words) + 1 > len(self.ends):
-            self.ends = np.resize(self.ends, 2 * (k + len(words) + 1))
-        if upto[-1] > len(self.pool):
-            self.pool = np.resize(self.pool, 2 * int(upto[-1]))
-        self.pool[self.ends[k] : upto[-1]] = flat
-        self.ends[k + 1 : k + 1 + len(words)] = upto
-        self.places.update(zip(words, range(k, k + len(words))))
+    def _places(self, words: pa.Array) -> np.ndarray:
+        """Entry of every distinct word. Words that end in stops after an ASCII letter are
+        two parts, between which the tokenizer always splits; parts are what is kept."""
+        body = pc.utf8_rtrim(words, STOPS)
+        cut = pc.and_(pc.less(pc.binary_length(body), pc.binary_length(words)), pc.match_substring_regex(body, "[A-Za-z]$"))
+        two = np.flatnonzero(cut.to_numpy(zero_copy_only=False))
+        bodies = pc.if_else(cut, body, words)
+        pairs = zip(*(x.take(pa.array(two)).to_numpy(zero_copy_only=False) for x in (words, body)))
+        parts = pa.concat_arrays([bodies, pa.array([w[len(m) :] for w, m in pairs], pa.string())]).dictionary_encode()
+        names = parts.dictionary
+        found = pc.index_in(names, self.known).fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+        new = np.flatnonzero(found < 0)
+        plain = names.take(pa.array(new))
+        ascii_ = pc.and_(pc.ascii_is_alpha(plain), pc.string_is_ascii(plain)).to_numpy(zero_copy_only=False)
+        other = plain.filter(pa.array(~ascii_)).to_numpy(zero_copy_only=False)
+        letters = np.fromiter((w.isalpha() and w.lower().isalpha() for w in other), np.bool_, len(other))
+        others = new[~ascii_]
+        at = len(self.known)
+        kept = []
+        for model, which in (
+            (self.ascii_letters, new[ascii_]),
+            (self.any_letters, others[letters]),
+            (None, others[~letters]),
+        ):
+            chosen = names.take(pa.array(which))
+            strings = chosen.to_numpy(zero_copy_only=False).tolist()
+            flat, sizes = self._letters(model, strings) if model else self._any(strings)
+            found[which] = at + np.arange(len(which))
+            at = self._append(at, flat, sizes)
+            kept.append(chosen)
+        places = found[parts.indices.to_numpy(zero_copy_only=False)]
+        if len(two):
+            both = np.stack([places[two], places[len(words) :]], 1).ravel()
+            flat, sizes = self._gather(both)
+            places[two] = at + np.arange(len(two))
+            self._append(at, flat, sizes.reshape(-1, 2).sum(1))
+        if len(self.known) < CACHE_WORDS:  # the words met first are the common ones
+            self.known = pa.concat_arrays([self.known, *kept])
+        return places[: len(words)]
 
     def words(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Cache place of every word of the texts, and the words before each text."""
+        """Entry of every word of the texts, and the words before each text."""
         special = pc.match_substring(texts, "<|")
         lowered = pc.ascii_lower(texts)  # as the tokenizer does, but not inside special tokens
         if pc.any(special).as_py():
             lowered = pc.if_else(special, texts, lowered)
         lists = pc.ascii_split_whitespace(lowered)
         coded = lists.flatten().dictionary_encode()
-        distinct = coded.dictionary.to_numpy(zero_copy_only=False)
-        if len(self.places) > CACHE_WORDS:
-            self._forget()
-        found = [self.places.get(w, -1) for w in distinct]
-        missing = [w for w, k in zip(distinct, found) if k < 0 and w]
-        if missing:
-            self._learn(missing)
-        if "" not in self.places:
-            self._store([""], np.zeros(0, np.uint32), np.zeros(1, np.int64))  # split leaves empty strings at the ends of a text
-        if min(found, default=0) < 0:
-            found = [self.places[w] for w in distinct]
-        places = np.array(found, np.int64)
+        places = self._places(coded.dictionary)
         bounds = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))])
         return places[coded.indices.to_numpy(zero_copy_only=False)], bounds.astype(np.int64)
 

@@ -35,29 +35,41 @@ for _s, _n, _b in SELECTORS:
     COUNT[_s], BITS[_s] = _n, _b
 
 
+STEP = 2048 * BLOCK
+
+
 def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(words, first word of each block, escaped values, first escape of each block).
+    """(words, first word of each block, escaped values, first escape of each block)."""
+    parts = [_encode(values[i : i + STEP]) for i in range(0, max(len(values), 1), STEP)]
+    words, starts, odd, odd_starts = ([p[k] for p in parts] for k in range(4))
+    return np.concatenate(words), _joined(starts), np.concatenate(odd), _joined(odd_starts)
+
 
-    For every place and selector, a running count of values too wide for it tells whether
+def _joined(offsets: list[np.ndarray]) -> np.ndarray:
+    return np.concatenate([[0], np.cumsum(np.concatenate([np.diff(o) for o in offsets]))]).astype(np.int64)
+
+
+def _encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For every place and selector, a running count of values too wide for it tells whether
     the next values all fit; then all blocks advance together, a word at a time."""
     values = np.asarray(values, np.uint64)
     n = len(values)
     blocks = -(-n // BLOCK)
     ends = np.minimum(np.arange(1, blocks + 1) * BLOCK, n)
-    last = np.repeat(ends, np.diff(ends, prepend=0))  # end of each value's block
-    at = np.arange(n)
-    best = np.zeros(n, np.int64)
-    top = int(values.max()) if n else 0
-    for selector, count, bits in SELECTORS:
-        upto = np.minimum(at + count, last)
-        if top >> bits == 0:
-            fits = np.ones(n, np.bool_)
-        else:
-            wide = np.concatenate([[0], np.cumsum((values >> np.uint64(bits)) != 0)])
-            fits = wide[upto] == wide[:-1]
-        best = np.where((best == 0) & fits, selector, best)
-        if best.all():
-            break
+    left = np.repeat(ends, np.diff(ends, prepend=0)).astype(np.int32) - np.arange(n, dtype=np.int32)
+    best = np.zeros(n, np.int8)
+    wide = np.zeros(n + 1, np.int32)
+    for selector, count, bits in reversed(SELECTORS):  # a better one replaces those before
+        np.cumsum(values >= np.uint64(1 << bits), out=wide[1:], dtype=np.int32)
+        if wide[-1] == 0:
+            best[:] = selector
+            continue
+        fits = np.zeros(n, np.bool_)
+        full = max(n - count + 1, 0)
+        fits[:full] = wide[count:] == wide[:full] if full else False
+        short = np.flatnonzero(left < count)  # the block ends before the word is full
+        fits[short] = wide[short + left[short]] == wide[short]
+        best[fits] = selector
     place = np.arange(blocks) * BLOCK
     live = np.arange(blocks)
     rounds_word, rounds_block = [], []
@@ -66,7 +78,7 @@ def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     used = np.zeros(blocks, np.int64)
     while len(live):
         here = place[live]
-        chosen = best[here]
+        chosen = best[here].astype(np.int64)
         word = chosen.astype(np.uint64) << np.uint64(60)
         for selector in np.unique(chosen):
             these = np.flatnonzero(chosen == selector)

@@ -25,8 +25,8 @@ from deskcorpus.llm.storage import fresh_name, make_folder, open_input, write_by
 from deskcorpus.stages import materialize
 
 MAGIC = b"TOKS8B1\n"
-FILE_IDS = 8 << 20
-READ_BLOCKS = 8192
+FILE_IDS = 4 << 20
+READ_BLOCKS = 1024
 MANIFEST = "part int, number int, path string, n_docs long, n_ids long, bytes long"
 ARRAYS = (
     ("doc_ids", "<i8"),
