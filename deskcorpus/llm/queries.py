@@ -16,11 +16,17 @@ from deskcorpus.llm import (
     quality_sql,
     token_counts,
     token_files,
+    warc,
+    warc_sql,
 )
 from deskcorpus.llm.common import table
 from deskcorpus.stages import scratch_dir
 
 
+def op1_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_round_trip(table(spark, sf_dir, "pages"))
+
+
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chosen_path.near_duplicates(table(spark, sf_dir, "documents"), width=4, percent=80)
 
@@ -56,6 +62,7 @@ def op10_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_warc_round_trip": op1_warc_round_trip,
     "op2_near_duplicates": op2_near_duplicates,
     "op3_mix_sources": op3_mix_sources,
     "op4_length_histogram": op4_length_histogram,
@@ -66,6 +73,7 @@ QUERIES = {
     "op10_quality_cascade": op10_quality_cascade,
 }
 ORACLES = {
+    "op1_warc_round_trip": warc_sql.WARC_SQL,
     "op3_mix_sources": mixing_sql.MIXING_SQL,
     "op6_digest_runs": dedup_sql.DEDUP_SQL,
     "op10_quality_cascade": quality_sql.QUALITY_SQL,
