@@ -12,6 +12,8 @@ from deskcorpus.llm import (
     mixing,
     mixing_sql,
     packing_dp,
+    preference,
+    preference_sql,
     quality,
     quality_sql,
     token_counts,
@@ -48,6 +50,10 @@ def op6_digest_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest_runs.dedup_table(table(spark, sf_dir, "documents"))
 
 
+def op7_preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return preference.preference_table(table(spark, sf_dir, "conversations"))
+
+
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_table(table(spark, sf_dir, "documents"))
 
@@ -68,6 +74,7 @@ QUERIES = {
     "op4_length_histogram": op4_length_histogram,
     "op5_pack_sequences": op5_pack_sequences,
     "op6_digest_runs": op6_digest_runs,
+    "op7_preference_pairs": op7_preference_pairs,
     "op8_license_scan": op8_license_scan,
     "op9_token_files": op9_token_files,
     "op10_quality_cascade": op10_quality_cascade,
@@ -76,5 +83,6 @@ ORACLES = {
     "op1_warc_round_trip": warc_sql.WARC_SQL,
     "op3_mix_sources": mixing_sql.MIXING_SQL,
     "op6_digest_runs": dedup_sql.DEDUP_SQL,
+    "op7_preference_pairs": preference_sql.PREFERENCE_SQL,
     "op10_quality_cascade": quality_sql.QUALITY_SQL,
 }
