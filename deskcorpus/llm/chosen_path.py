@@ -329,18 +329,9 @@ def similar_classes(
         active = crowded(rest)
 
 
-def near_duplicates(
-    docs: DataFrame, width: int = 5, percent: int = 80, recall: float = TARGET_RECALL, key: str = "doc_id", text: str = "text"
-) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every row.
-
-    Words are parted by white space and compared after lower-casing A-Z; a document's set
-    has its distinct runs of ``width`` words, or its only, shorter one. Documents link
-    when 100 * intersection >= percent * union. ``component_id`` is the smallest identifier
-    reachable by links. Null texts and texts without words have an empty set and are linked
-    with nothing. Rows that repeat an identifier are each judged; a null identifier counts
-    as larger than any other, so it names only components of nulls alone."""
-    rows = materialize(sketch(docs, width, key, text))
+def component_table(docs: DataFrame, rows: DataFrame, width: int, percent: int, recall: float, key: str, text: str) -> DataFrame:
+    """(class, component_id, _n, _found) of the classes of several documents or with
+    links; ``_n`` is the number of a class's documents."""
     filled = rows.where("class is not null")
     classes = materialize(
         filled.groupBy("class").agg(
@@ -353,7 +344,7 @@ def near_duplicates(
     labels = similar_classes(docs, classes, width, percent, recall, key, text)
     ids = classes.select("class", "doc_id", "n_docs")
     if labels is None:
-        named = ids.select("class", F.col("doc_id").alias("component_id"), F.col("n_docs").alias("_n"), "n_docs")
+        named = ids.select("class", F.col("doc_id").alias("component_id"), F.col("n_docs").alias("_n")).where("_n > 1")
     else:
         linked = ids.join(labels.withColumnsRenamed({"node": "class"}), "class", "left")
         linked = linked.withColumn("root", F.coalesce("root", "class"))
@@ -365,11 +356,43 @@ def near_duplicates(
             F.when(F.col("_members").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
             F.col("n_docs").alias("_n"),
             F.coalesce("_members", F.lit(1)).alias("_members"),
-            "n_docs",
-        ).where("n_docs > 1 or _members > 1")
-    lookup = named.select("class", "component_id", "_n", F.lit(True).alias("_found"))
+        ).where("_n > 1 or _members > 1")
+    return named.select("class", "component_id", "_n", F.lit(True).alias("_found"))
+
+
+def _named(rows: DataFrame, lookup: DataFrame) -> DataFrame:
+    """``rows`` (with doc_id and class) and their ``component_id``."""
     answer = hot_lookup(rows, lookup, ["class"], "_n", rows.count())
     component = F.when(F.col("_found"), F.col("component_id")).otherwise(F.col("doc_id"))
+    return answer.withColumn("component_id", component).drop("_found")
+
+
+def near_duplicates(
+    docs: DataFrame, width: int = 5, percent: int = 80, recall: float = TARGET_RECALL, key: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) of every row.
+
+    Words are parted by white space and compared after lower-casing A-Z; a document's set
+    has its distinct runs of ``width`` words, or its only, shorter one. Documents link
+    when 100 * intersection >= percent * union. ``component_id`` is the smallest identifier
+    reachable by links. Null texts and texts without words have an empty set and are linked
+    with nothing. Rows that repeat an identifier are each judged; a null identifier counts
+    as larger than any other, so it names only components of nulls alone."""
+    rows = materialize(sketch(docs, width, key, text))
+    answer = _named(rows, component_table(docs, rows, width, percent, recall, key, text))
     return answer.select(
-        "doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
+        "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")
     )
+
+
+def keep_one(
+    docs: DataFrame, width: int = 5, percent: int = 80, recall: float = TARGET_RECALL, key: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """One document of each component, that with the smallest identifier, with the columns
+    of ``docs``. Rows that share an identifier stay if one of them is to stay."""
+    answer = near_duplicates(docs, width, percent, recall, key, text)
+    stays = answer.groupBy(F.col("doc_id").alias("_gone")).agg(F.bool_or("kept").alias("_kept"))
+    gone = materialize(stays.where("not _kept").select("_gone"))
+    if gone.count() <= BROADCAST_ROWS:
+        gone = F.broadcast(gone)
+    return docs.join(gone, F.col(f"`{key}`").eqNullSafe(F.col("_gone")), "left_anti")
