@@ -35,14 +35,43 @@ for _s, _n, _b in SELECTORS:
     COUNT[_s], BITS[_s] = _n, _b
 
 
-STEP = 2048 * BLOCK
+STEP = 1024 * BLOCK
+
+
+class Packer:
+    """Codes values as they come; between calls it holds words, and less than a block of
+    values."""
+
+    def __init__(self):
+        self.n = 0
+        self.rest = np.zeros(0, np.uint64)
+        self.parts: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
+
+    def add(self, values: np.ndarray) -> None:
+        self.n += len(values)
+        if len(self.rest):
+            take = min(BLOCK - len(self.rest), len(values))
+            self.rest = np.concatenate([self.rest, values[:take].astype(np.uint64)])
+            values = values[take:]
+            if len(self.rest) < BLOCK:
+                return
+            self.parts.append(_encode(self.rest))
+        full = len(values) - len(values) % BLOCK
+        self.parts += [_encode(values[i : min(i + STEP, full)].astype(np.uint64)) for i in range(0, full, STEP)]
+        self.rest = values[full:].astype(np.uint64)
+
+    def finish(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(words, first word of each block, escaped values, first escape of each block)."""
+        self.parts.append(_encode(self.rest))
+        words, starts, odd, odd_starts = ([p[k] for p in self.parts] for k in range(4))
+        return np.concatenate(words), _joined(starts), np.concatenate(odd), _joined(odd_starts)
 
 
 def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(words, first word of each block, escaped values, first escape of each block)."""
-    parts = [_encode(values[i : i + STEP]) for i in range(0, max(len(values), 1), STEP)]
-    words, starts, odd, odd_starts = ([p[k] for p in parts] for k in range(4))
-    return np.concatenate(words), _joined(starts), np.concatenate(odd), _joined(odd_starts)
+    """The code of an array, as of :meth:`Packer.finish`."""
+    packer = Packer()
+    packer.add(np.asarray(values, np.uint64))
+    return packer.finish()
 
 
 def _joined(offsets: list[np.ndarray]) -> np.ndarray:
@@ -52,7 +81,6 @@ def _joined(offsets: list[np.ndarray]) -> np.ndarray:
 def _encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """For every place and selector, a running count of values too wide for it tells whether
     the next values all fit; then all blocks advance together, a word at a time."""
-    values = np.asarray(values, np.uint64)
     n = len(values)
     blocks = -(-n // BLOCK)
     ends = np.minimum(np.arange(1, blocks + 1) * BLOCK, n)

@@ -23,12 +23,12 @@ def fresh_name(folder: str, part: int, number: int, suffix: str) -> str:
     return f"{folder.rstrip('/')}/part-{part:06d}-{number:04d}-{uuid.uuid4().hex}{suffix}"
 
 
-def write_bytes(path: str, parts: list[bytes]) -> int:
+def write_bytes(path: str, parts: list) -> int:
     files, inner = filesystem(path)
     with files.open_output_stream(inner, compression=None) as out:
         for p in parts:
             out.write(p)
-    return sum(map(len, parts))
+    return sum(memoryview(p).nbytes for p in parts)
 
 
 def open_input(path: str):

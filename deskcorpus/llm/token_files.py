@@ -39,8 +39,8 @@ ARRAYS = (
 )
 
 
-def write_file(path: str, doc_ids: list, lengths: np.ndarray, ids: np.ndarray) -> int:
-    words, starts, odd, odd_starts = simple8b.encode(ids)
+def write_file(path: str, doc_ids: list, lengths: np.ndarray, ids: simple8b.Packer) -> int:
+    words, starts, odd, odd_starts = ids.finish()
     arrays = (
         [0 if d is None else d for d in doc_ids],
         [d is None for d in doc_ids],
@@ -50,9 +50,9 @@ def write_file(path: str, doc_ids: list, lengths: np.ndarray, ids: np.ndarray) -
         words,
         odd,
     )
-    body = [np.asarray(a).astype(kind).tobytes() for a, (_, kind) in zip(arrays, ARRAYS)]
-    sizes = {name: len(b) for b, (name, _) in zip(body, ARRAYS)}
-    head = json.dumps({"n_ids": len(ids), "block": simple8b.BLOCK, "bytes": sizes}).encode()
+    body = [np.ascontiguousarray(a, kind) for a, (_, kind) in zip(arrays, ARRAYS)]
+    sizes = {name: b.nbytes for b, (name, _) in zip(body, ARRAYS)}
+    head = json.dumps({"n_ids": ids.n, "block": simple8b.BLOCK, "bytes": sizes}).encode()
     return write_bytes(path, [MAGIC, struct.pack("<I", len(head)), head, *body])
 
 
@@ -129,12 +129,12 @@ def write_token_files(
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, enc = TaskContext.get().partitionId(), encoder(tokenizer)
-        keys, lengths, flat, size, number = [], [], [], 0, 0
+        keys, lengths, packer, number = [], [], simple8b.Packer(), 0
 
         def flush() -> pa.RecordBatch:
-            path, ids = fresh_name(folder, part, number, ".s8b"), np.concatenate(flat)
-            written = write_file(path, keys, np.concatenate(lengths), ids)
-            row = {"part": part, "number": number, "path": path, "n_docs": len(keys), "n_ids": len(ids), "bytes": written}
+            path = fresh_name(folder, part, number, ".s8b")
+            written = write_file(path, keys, np.concatenate(lengths), packer)
+            row = {"part": part, "number": number, "path": path, "n_docs": len(keys), "n_ids": packer.n, "bytes": written}
             return pa.RecordBatch.from_pylist([row], schema=MANIFEST_ARROW)
 
         for batch in batches:
@@ -142,11 +142,10 @@ def write_token_files(
                 ids, bounds = enc.ids(chunk.column("text"))
                 keys += chunk.column("key").to_pylist()
                 lengths.append(np.diff(bounds))
-                flat.append(ids)
-                size += len(ids)
-                if size >= file_ids:
+                packer.add(ids)
+                if packer.n >= file_ids:
                     yield flush()
-                    keys, lengths, flat, size, number = [], [], [], 0, number + 1
+                    keys, lengths, packer, number = [], [], simple8b.Packer(), number + 1
         if keys:
             yield flush()
 
