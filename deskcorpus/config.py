@@ -23,12 +23,7 @@ class Settings:
     val_ratio: float = 0.1
     min_words: int = 2
     max_words: int = 512
-    max_seq_length: int = 2048
     packed_length: int = 512
-    scoring_length: int = 1024
-    max_samples: int = 6000
-    eval_samples: int = 50
-    eval_samples_ascii: int = 40
     eval_max_new_tokens: int = 128
     eval_temperature: float = 0.3
     default_max_new_tokens: int = 256

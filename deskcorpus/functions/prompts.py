@@ -114,9 +114,3 @@ def history_messages(history: Column) -> Column:
             turn.getField("content").alias("content"),
         ),
     )
-
-
-def last_user_turn(history: Column, new_message: Column) -> Column:
-    """A multi-turn call answers the new message only; history is kept for
-    display and does not reach the model (M04)."""
-    return new_message

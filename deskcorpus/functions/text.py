@@ -122,6 +122,7 @@ def _map_valid(texts: pa.Array, fn) -> pa.Array:
 
 @F.arrow_udf(StringType())
 def _nfkc(texts: pa.Array) -> pa.Array:
+    # Arrow's own normalisation follows another version of Unicode than Python
     return _map_valid(texts, lambda t: unicodedata.normalize("NFKC", t))
 
 

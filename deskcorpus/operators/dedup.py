@@ -6,16 +6,23 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, MapType, StructType, VariantType
 
 from deskcorpus.operators.schema import PAIR
 
 
-def row_digest(columns: Sequence[str]) -> Column:
+def row_digest(columns: Sequence[str], schema: StructType) -> Column:
     """256-bit digest of some columns. Every value is length-prefixed and null is
-    marked apart, so different rows never share an input."""
+    marked apart, so different rows never share an input. Nested values are written as
+    JSON: their plain form does not tell ``["a, b"]`` from ``["a", "b"]``."""
     parts = []
     for name in columns:
-        text = F.col(f"`{name}`").cast("string")
+        value = F.col(f"`{name}`")
+        if isinstance(schema[name].dataType, (ArrayType, MapType, StructType, VariantType)):
+            whole = F.to_json(F.struct(value.alias("v")), {"ignoreNullFields": "false"})
+            text = F.when(value.isNotNull(), whole)
+        else:
+            text = value.cast("string")
         parts += [
             F.coalesce(F.length(text), F.lit(-1)).cast("string"),
             F.lit(":"),
@@ -48,7 +55,7 @@ def duplicate_count(df: DataFrame, keys: Sequence[str] | None = None) -> DataFra
     """Rows that repeat an earlier one, on all columns or on ``keys`` (A02). Only
     digests are shuffled, after map-side counting."""
     per_key = (
-        df.select(row_digest(keys or df.columns).alias("digest"))
+        df.select(row_digest(keys or df.columns, df.schema).alias("digest"))
         .groupBy("digest")
         .count()
     )

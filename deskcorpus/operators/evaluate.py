@@ -21,8 +21,15 @@ ROUGE_ORDERS = (1, 2)
 
 
 def attach_predictions(df: DataFrame, predictions: DataFrame, key: str) -> DataFrame:
-    """Put predictions next to their rows by key, not by position."""
-    return df.join(predictions, key)
+    """Put predictions next to their rows by key, not by position (P09). Every row stays:
+    without a prediction it has null, which scores as an empty one. A key with several
+    predictions fails the job, for its row would be scored more than once."""
+    kept = [c for c in predictions.columns if c != key]
+    once = predictions.groupBy(key).agg(*[F.first(c).alias(c) for c in kept], F.count(F.lit(1)).alias("_n"))
+    repeated = F.concat(F.lit("several predictions for "), F.col(key).cast("string"))
+    checked = F.when(F.col("_n") > 1, F.raise_error(repeated).cast("int"))
+    joined = df.join(once, key, "left").withColumn("_n", checked)
+    return joined.where("_n is null").drop("_n")
 
 
 def comparison_table(df: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:

@@ -60,16 +60,16 @@ def drop_nulls(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.na.drop(subset=list(columns))
 
 
-def is_noisy(instruction: Column, response: Column) -> Column:
-    """True for pairs to drop (F04): a side shorter than 3 or longer than 2000
+def is_noisy(instruction: Column, response: Column, low: int = 3, high: int = 2000) -> Column:
+    """True for pairs to drop (F04): a side shorter than ``low`` or longer than ``high``
     characters, both sides equal after stripping, or a template slot left in."""
     i, r = as_text(instruction), as_text(response)
-    sized = F.length(i).between(3, 2000) & F.length(r).between(3, 2000)
+    sized = F.length(i).between(low, high) & F.length(r).between(low, high)
     return ~sized | (strip(i) == strip(r)) | i.contains("{{") | r.contains("{{")
 
 
-def drop_noisy(df: DataFrame) -> DataFrame:
-    return df.where(~is_noisy(F.col("instruction"), F.col("response")))
+def drop_noisy(df: DataFrame, low: int = 3, high: int = 2000) -> DataFrame:
+    return df.where(~is_noisy(F.col("instruction"), F.col("response"), low, high))
 
 
 def category_whitelist(
@@ -89,7 +89,7 @@ def category_whitelist(
 def violations(df: DataFrame) -> DataFrame:
     """Post-conditions of a clean pair table as counts, one row."""
     digests = df.select(
-        row_digest(PAIR).alias("digest"),
+        row_digest(PAIR, df.schema).alias("digest"),
         (F.length("instruction") == 0).cast("int").alias("no_instruction"),
         (F.length("response") == 0).cast("int").alias("no_response"),
     )

@@ -24,7 +24,7 @@ class Generation:
     """How to call the model. ``factory`` runs once per Python task and returns
     ``predict(prompts, *, max_new_tokens, temperature, top_p, do_sample)``, which maps
     a list of prompts to a list of texts. Prompts are strings, or message lists for
-    the ``chat`` style. ``echoes_prompt`` says that texts repeat their prompt."""
+    the ``chat`` style, and a call gets at most ``batch_size`` of them. ``echoes_prompt`` says that texts repeat their prompt."""
 
     factory: Callable[[], Callable]
     style: str = "instruction"
@@ -33,6 +33,7 @@ class Generation:
     temperature: float = DEFAULTS.default_temperature
     top_p: float = DEFAULTS.default_top_p
     temperature_floor: float = 1e-3
+    batch_size: int = 32
     settings: Settings = DEFAULTS
 
     def options(self) -> dict:
@@ -45,7 +46,7 @@ class Generation:
 
 
 def _predictor(generation: Generation):
-    factory, options = generation.factory, generation.options()
+    factory, options, size = generation.factory, generation.options(), generation.batch_size
 
     @F.arrow_udf(StringType())
     def predict_batches(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -53,7 +54,8 @@ def _predictor(generation: Generation):
         for prompts in batches:
             rows = prompts.to_pylist()
             asked = [p for p in rows if p is not None]
-            answers = iter(predict(asked, **options) if asked else [])
+            calls = (asked[i : i + size] for i in range(0, len(asked), size))
+            answers = iter([a for call in calls for a in predict(call, **options)])
             yield pa.array(
                 [None if p is None else next(answers) for p in rows], type=pa.string()
             )

@@ -4,33 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from deskcorpus.config import DEFAULTS
 from deskcorpus.functions.tokens import token_length, tokens
 from deskcorpus.operators.ranking import hash_order
+from deskcorpus.operators.running import prefix_sums
 from deskcorpus.stages import evaluate_once
 
 
-SHARD_BYTES = 64 << 20
-UNKNOWN_BYTES = 1 << 60
-
-
-def default_shards(df: DataFrame) -> int:
-    """Shards of about SHARD_BYTES by the optimiser's size estimate, which comes from
-    file sizes and starts no job; never fewer than the shuffle partitions."""
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    by_size = size // SHARD_BYTES if 0 < size < UNKNOWN_BYTES else 0
-    return max(by_size, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-
-
 def pack(
     df: DataFrame,
     key: str,
     text: str,
+    shards: int,
     length: int = DEFAULTS.packed_length,
-    shards: int | None = None,
     seed: int = DEFAULTS.seed,
     keep_tail: bool = True,
     tokenize: Callable[[Column], Column] = tokens,
@@ -38,45 +27,36 @@ def pack(
 ) -> DataFrame:
     """Fixed-length token blocks (M01) as (shard, block, tokens, n_tokens).
 
-    Rows are spread over ``shards`` (by default, as the data size demands) by a hash of their unique key, and every shard is
-    one stream ordered by key; only its last block can be short. A row yields one
-    piece per block it touches rather than one row per token, so the single shuffle
-    moves the text once, and assembling blocks reuses that partitioning."""
-    shards = shards or default_shards(df)
+    Rows are spread over ``shards`` streams by a hash of their unique key, and every shard
+    is one stream ordered by key, of which only the last block can be short. The number of
+    shards is a property of the result alone: a stream spans as many tasks as its size
+    asks for, because where a row starts is a prefix sum over key ranges. Each row is cut
+    into a piece per block it touches where its text is, and blocks are put together from
+    pieces. ``keep_tail=False`` leaves out the short last blocks: fewer than ``length``
+    tokens of each shard; see :func:`tail_tokens`."""
     slot = F.conv(F.substring(hash_order(key, seed), 1, 8), 16, 10).cast("bigint")
-    before = (
-        Window.partitionBy("shard").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
-    )
-    sized = df.select(
-        (slot % shards).cast("int").alias("shard"), F.col(key), F.col(text).alias("text")
-    )
-    placed = (
-        evaluate_once(sized, {"n": count(F.col("text")).cast("bigint")})
-        .where("n > 0")
-        .withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0).cast("bigint")))
-    )
-    pieces = (
-        placed.withColumn("tokens", tokenize(F.col("text")))
-        .select(
-            "shard",
-            "start",
-            "n",
-            "tokens",
-            F.explode(
-                F.expr(f"sequence(start div {length}, (start + n - 1) div {length})")
-            ).alias("block"),
-        )
-        .withColumn("skip", F.greatest(F.expr(f"block * {length} - start"), F.lit(0)))
-        .withColumn("upto", F.least(F.expr(f"(block + 1) * {length} - start"), "n"))
-        .select(
-            "shard",
-            "block",
-            F.struct(
-                (F.col("start") + F.col("skip")).alias("at"),
-                F.expr("slice(tokens, int(skip + 1), int(upto - skip))").alias("tokens"),
-            ).alias("piece"),
-        )
+    shard = (slot % shards).cast("int").alias("shard")
+    sized = evaluate_once(
+        df.select(shard, F.col(key), F.col(text).alias("text")),
+        {"n": count(F.col("text")).cast("bigint")},
+    ).where("n > 0")
+    starts = prefix_sums(sized.select("shard", key, "n"), [key], "n", "start", ["shard"])
+    placed = evaluate_once(
+        df.select(F.col(key), F.col(text).alias("text")).join(starts, key),
+        {"tokens": tokenize(F.col("text"))},
     )
+    bounds = f"sequence(start div {length}, (start + n - 1) div {length})"
+    piece = f"""transform({bounds}, b -> struct(
+        b as block,
+        struct(
+            greatest(start, b * {length}) as at,
+            slice(
+                tokens,
+                int(greatest(b * {length} - start, 0) + 1),
+                int(least((b + 1) * {length} - start, n) - greatest(b * {length} - start, 0))
+            ) as tokens
+        ) as piece))"""
+    pieces = placed.select("shard", F.inline(F.expr(piece)))
     blocks = (
         pieces.groupBy("shard", "block")
         .agg(F.array_sort(F.collect_list("piece")).alias("pieces"))  # <= length pieces
@@ -84,3 +64,12 @@ def pack(
         .withColumn("n_tokens", F.size("tokens"))
     )
     return blocks if keep_tail else blocks.where(F.col("n_tokens") == length)
+
+
+def tail_tokens(blocks: DataFrame, length: int = DEFAULTS.packed_length) -> DataFrame:
+    """(n_blocks, n_tokens) that ``keep_tail=False`` would leave out."""
+    short = F.col("n_tokens") < length
+    return blocks.agg(
+        F.count_if(short).alias("n_blocks"),
+        F.coalesce(F.sum(F.when(short, F.col("n_tokens"))), F.lit(0)).alias("n_tokens"),
+    )

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column, DataFrame
@@ -28,10 +27,25 @@ def _unpivot_row(row: DataFrame, names: Sequence[str], fields: Sequence[str]) ->
     return row.select(F.inline(F.array(*entries)))
 
 
+def present(df: DataFrame, column: str) -> Column:
+    """A column in which NaN is missing, like null."""
+    value = F.col(f"`{column}`")
+    if isinstance(df.schema[column].dataType, T.FractionalType) and not isinstance(
+        df.schema[column].dataType, T.DecimalType
+    ):
+        return F.when(~F.isnan(value), value)
+    return value
+
+
+def _number(df: DataFrame, column: str) -> Column:
+    return present(df, column).cast("double")
+
+
 def null_counts(df: DataFrame) -> DataFrame:
-    """Row, non-null and null count and type of every column, one pass."""
+    """Row, non-null and null count and type of every column, one pass (A04, A05). NaN
+    counts as null here and in all profiles."""
     aggs = [F.count(F.lit(1)).alias("__rows")]
-    aggs += [F.count(F.col(f"`{c}`")).alias(f"{c}__filled") for c in df.columns]
+    aggs += [F.count(present(df, c)).alias(f"{c}__filled") for c in df.columns]
     entries = [
         F.struct(
             F.lit(f.name).alias("name"),
@@ -48,7 +62,7 @@ def null_counts(df: DataFrame) -> DataFrame:
 def _moments(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     aggs = []
     for c in columns:
-        x = F.col(f"`{c}`").cast("double")
+        x = _number(df, c)
         aggs += [
             F.count(x).alias(f"{c}__total"),
             F.avg(x).alias(f"{c}__mean"),
@@ -60,12 +74,9 @@ def _moments(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return _unpivot_row(df.agg(*aggs), columns, fields)
 
 
-def _long(df: DataFrame, columns: Sequence[str], dtype: str) -> DataFrame:
-    """(name, value) rows of some columns, nulls left out."""
-    entries = [
-        F.struct(F.lit(c).alias("name"), F.col(f"`{c}`").cast(dtype).alias("value"))
-        for c in columns
-    ]
+def _long(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(name, value) rows of numeric columns, missing values left out."""
+    entries = [F.struct(F.lit(c).alias("name"), _number(df, c).alias("value")) for c in columns]
     return df.select(F.inline(F.array(*entries))).where("value is not null")
 
 
@@ -76,7 +87,7 @@ def describe_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     are then found by narrowing intervals, never by one task sorting a column."""
     stats = _moments(df, columns)
     counts = (
-        _long(df, columns, "double")
+        _long(df, columns)
         .groupBy("name", "value")
         .agg(F.count(F.lit(1)).alias("weight"))
     )
@@ -92,20 +103,31 @@ def describe_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def describe_text(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """count, distinct values, most frequent value and its frequency per string
-    column (A06); of equally frequent values, the one with the smallest digest.
+    """count, distinct values, most frequent value and its frequency per column, of any
+    type (A06); of equally frequent values, the one with the smallest digest. Values of
+    other types are shown as text, nested ones as JSON.
+
+    Only digests are shuffled and counted, however long the texts are. One more scan then
+    brings back the winning values of all columns."""
+    shown = df.select(*[_as_shown(df, c).alias(c) for c in columns])
+    digest = {c: row_digest([c], shown.schema) for c in columns}
+
+    def entries(**more: str) -> Column:
+        each = [
+            F.when(
+                F.col(f"`{c}`").isNotNull(),
+                F.struct(
+                    F.lit(c).alias("name"),
+                    digest[c].alias("digest"),
+                    *[F.col(f"`{c}`").alias(name) for name in more.values()],
+                ),
+            )
+            for c in columns
+        ]
+        return F.inline(F.array_compact(F.array(*each)))
 
-    Only digests are shuffled and counted, however long the texts are. The winning
-    text is then read by a scan that stops at its first copy."""
-    entries = [
-        F.struct(F.lit(c).alias("name"), row_digest([c]).alias("digest"))
-        for c in columns
-    ]
-    filled = F.array_compact(
-        F.array(*[F.when(F.col(f"`{c}`").isNotNull(), e) for c, e in zip(columns, entries)])
-    )
     counts = (
-        df.select(F.inline(filled)).groupBy("name", "digest").agg(F.count(F.lit(1)).alias("n"))
+        shown.select(entries()).groupBy("name", "digest").agg(F.count(F.lit(1)).alias("n"))
     )
     totals = counts.groupBy("name").agg(
         F.sum("n").alias("count"),
@@ -118,14 +140,12 @@ def describe_text(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         .groupBy("name")
         .agg(F.min("digest").alias("digest"))
     )
-    parts = []
-    for c in columns:
-        winner = winners.where(F.col("name") == c).select("digest").scalar()
-        found = df.where(row_digest([c]) == winner).select(
-            F.lit(c).alias("name"), F.col(f"`{c}`").alias("top")
-        )
-        parts.append(found.limit(1))
-    top = reduce(DataFrame.unionByName, parts)
+    top = (
+        shown.select(entries(value="top"))
+        .join(F.broadcast(winners), ["name", "digest"])  # a row per column
+        .groupBy("name")
+        .agg(F.min("top").alias("top"))
+    )
     names = df.sparkSession.createDataFrame([(c,) for c in columns], "name string")
     zero = F.lit(0).cast("bigint")
     return (
@@ -141,18 +161,26 @@ def describe_text(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
+def _as_shown(df: DataFrame, column: str) -> Column:
+    kind = df.schema[column].dataType
+    value = present(df, column)
+    if isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
+        return F.to_json(value)
+    return value.cast("string")
+
+
 def describe(df: DataFrame) -> DataFrame:
-    """Mixed profile of all columns (A06): text statistics for strings, numeric
-    ones for numbers, null where a statistic does not apply."""
+    """Mixed profile of all columns (A06): numeric statistics for numbers, counts and the
+    most frequent value for all others, null where a statistic does not apply."""
     numeric = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
-    text = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    text = [c for c in df.columns if c not in numeric]
     parts = []
     if text:
         parts.append(describe_text(df, text))
     if numeric:
         parts.append(describe_numeric(df, numeric))
     if not parts:
-        raise ValueError("no string or numeric columns to describe")
+        raise ValueError("no columns to describe")
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part, allowMissingColumns=True)
@@ -172,7 +200,7 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 def histogram(df: DataFrame, column: str, bins: int = 40) -> DataFrame:
     """Equal-width histogram with a closed last bin, empty bins included.
     The range comes in as a scalar subquery over the same column."""
-    x = F.col(column).cast("double")
+    x = _number(df, column)
     span = df.agg(
         F.struct(F.min(x).alias("low"), F.max(x).alias("high")).alias("s")
     ).scalar()
@@ -212,8 +240,8 @@ def default_stop_words() -> list[str]:
 def term_counts(
     df: DataFrame,
     columns: Sequence[str],
+    top: int | None,
     stop_words: Sequence[str] | None = None,
-    top: int | None = 200,
 ) -> DataFrame:
     """Most frequent terms over several text columns, lower-cased, without stop
     words and bare numbers (A11). Counting combines on the map side, so even the

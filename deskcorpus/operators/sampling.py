@@ -24,7 +24,7 @@ def sample_exact(
 
 
 def cap_rows(
-    df: DataFrame, key: str, limit: int = DEFAULTS.max_samples, seed: int = DEFAULTS.seed
+    df: DataFrame, key: str, limit: int, seed: int = DEFAULTS.seed
 ) -> DataFrame:
     """Seeded cap; a smaller table passes unchanged."""
     return sample_exact(df, limit, key, seed)
@@ -118,7 +118,7 @@ def split_leaks(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Values of ``columns`` that sit in more than one split. Cleaning after
     splitting can cause them; this reports and does not repair."""
     per_key = (
-        df.select(row_digest(columns).alias("digest"), "split")
+        df.select(row_digest(columns, df.schema).alias("digest"), "split")
         .groupBy("digest")
         .agg(
             *[

@@ -10,10 +10,9 @@ from deskcorpus.functions.prompts import CONTEXT_LEAD, CONTEXT_QUESTION
 from deskcorpus.operators.filters import CATEGORIES
 from deskcorpus.operators.guardrail import KEYWORDS, OFF_TOPIC_REPLY
 from deskcorpus.queries import DATA_KEYWORDS, PART_TYPES, STOP_WORDS
-from deskcorpus.sources.synthetic_values import CATEGORY_TEMPLATES, TOPIC_TEMPLATES
 
 TOKEN_RE = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]"
-PAIRS = """select u.conv_id * 1000 + u.turn as pair_id, u.text as instruction, u.reply as response
+PAIRS = """select u.conv_id || ':' || u.turn as pair_id, u.text as instruction, u.reply as response
     from (select *, lead(role) over w as next_role, lead(text) over w as reply
           from conversations window w as (partition by conv_id order by turn)) u
     where u.role = 'user' and u.next_role = 'assistant'"""
@@ -280,32 +279,6 @@ def packed(length: int, shards: int, keep_tail: bool) -> str:
         select shard, block, n_tokens, packed from b {full}"""
 
 
-def topics() -> str:
-    names_ = "[" + names(TOPIC_TEMPLATES) + "]"
-    options = "[" + ", ".join(
-        "[" + ", ".join(f"{{'q': {lit(q)}, 'a': {lit(a)}}}" for q, a in rows) + "]"
-        for rows in TOPIC_TEMPLATES.values()
-    ) + "]"
-    return f"""select o_orderkey, replace(x.q, '{{oid}}', oid) as instruction,
-        replace(x.a, '{{oid}}', oid) as response, category
-        from (select o_orderkey, (100000 + o_orderkey)::varchar as oid,
-              ({names_})[o_orderkey % 8 + 1] as category,
-              ({options})[o_orderkey % 8 + 1] as opts,
-              opts[o_orderkey % len(opts) + 1] as x from orders)"""
-
-
-def categories() -> str:
-    fields = ("i", "c", "t", "r")
-    options = "[" + ", ".join(
-        "{" + ", ".join(f"'{f}': {lit(v)}" for f, v in zip(fields, row)) + "}"
-        for row in CATEGORY_TEMPLATES
-    ) + "]"
-    return f"""select o_orderkey, replace(x.i, '{{oid}}', oid) as instruction, x.c as category,
-        x.t as intent, replace(x.r, '{{oid}}', oid) as response
-        from (select o_orderkey, (100000 + o_orderkey)::varchar as oid,
-              ({options})[o_orderkey % 6 + 1] as x from orders)"""
-
-
 def model(x: str) -> str:
     """What the counting stand-in model adds to a prompt."""
     return f"'This message has ' || length({prompt(x)})::varchar || ' characters.'"
@@ -335,8 +308,7 @@ def leaks() -> str:
 def eval_job() -> str:
     split = floor_split(PAIRS, "pair_id")
     chosen = f"""select pair_id, {model('instruction')} as instruction, response
-        from (select * from ({split}) where split = 'test'
-              qualify row_number() over ({order_by_hash('pair_id')}) <= 50)"""
+        from ({split}) where split = 'test'"""
     return report(chosen, "null::double")
 
 
@@ -443,7 +415,7 @@ def build() -> dict[str, str]:
             from ({text_profile('select * from customer', ['c_name', 'c_mktsegment'])})
             union all select name, count, null, null, null, round(mean, 6), round(std, 6),
                 round(min, 6), round(q25, 6), round(q50, 6), round(q75, 6), round(max, 6)
-            from ({describe('select * from customer', ['c_nationkey', 'c_acctbal'])})""",
+            from ({describe('select * from customer', ['c_custkey', 'c_nationkey', 'c_acctbal'])})""",
         "profile_text": text_profile("select * from documents", ["text", "lang", "source"]),
         "describe_lengths": f"""select name, count, round(mean, 6) as mean, round(std, 6) as std,
             min, round(q25, 6) as q25, round(q50, 6) as q50, round(q75, 6) as q75, max from ({
@@ -500,7 +472,8 @@ def build() -> dict[str, str]:
         "context_prefix": f"""select pair_id, case when coalesce(text, '') = '' then instruction
             else {lit(CONTEXT_LEAD)} || e'\\n' || text || e'\\n\\n' || {lit(CONTEXT_QUESTION)}
                  || e'\\n' || instruction end as message
-            from ({PAIRS}) p left join documents d on d.doc_id = p.pair_id""",
+            from ({PAIRS}) p
+            left join documents d on d.doc_id = split_part(p.pair_id, ':', 1)::bigint""",
         "context_truncate": f"""select doc_id,
             left({strip("lang || e'" + chr(92) + "n' || text || e'" + chr(92) + "n' || source")},
                  3000) as context from documents""",
@@ -529,16 +502,36 @@ def build() -> dict[str, str]:
         "bigram_loss": bigram_loss(),
         "loss_curves": """select event_id as step, case when event_type = 'view'
             then 'eval_loss' else 'train_loss' end as series, value from events""",
-        "synthetic_topics": topics(),
-        "synthetic_categories": categories(),
         "csv_roundtrip": "select * from documents",
         "jsonl_roundtrip": LABELLED,
-        "split_roundtrip": f"""select * from ({floor_split('select * from documents', 'doc_id')})
-            where split = 'val'""",
+        "split_roundtrip": floor_split("select * from documents", "doc_id"),
+        "raw_copy": "select * from documents",
+        "column_map": "select 'instruction' as text_col, 'response' as response_col, count(*) as n from orders",
+        "metrics_sink": report(PAIRS, "null::double"),
+        "caller_tokens": """select doc_id, len(string_split(text, ' ')) as n_tokens from documents""",
+        "order_status": """select o_orderkey, 'Order ' || o_orderkey || ': ' || o_orderstatus as message
+            from orders""",
+        "missing_predictions": f"""select pair_id, instruction, response as ground_truth,
+            case when length(instruction) % 2 = 0 then instruction end as prediction from ({PAIRS})""",
+        "duplicate_messages": """select count(*) as n_rows, count(distinct m) as n_distinct,
+            count(*) - count(distinct m) as n_duplicates from (
+            select [{'role': role, 'content': left(text, 3)}] as m from conversations)""",
+        "profile_nan": f"""select name, count, round(mean, 6) as mean, round(std, 6) as std,
+            round(min, 6) as min, round(q25, 6) as q25, round(q50, 6) as q50,
+            round(q75, 6) as q75, round(max, 6) as max from ({
+            describe("select case when l_discount > 0 then l_extendedprice / l_discount end as ratio from lineitem",
+                     ['ratio'])})""",
+        "profile_events": f"""select name, count, "unique", top, freq, null::double as mean,
+                null::double as std, null::double as min, null::double as q25,
+                null::double as q50, null::double as q75, null::double as max
+            from ({text_profile("select strftime(ts, '%Y-%m-%d %H:%M:%S') || case when microsecond(ts) % 1000000 = 0 then '' else '.' || rtrim(strftime(ts, '%f'), '0') end as ts, event_type, props from events", ['ts', 'event_type', 'props'])})
+            union all select name, count, null, null, null, round(mean, 6), round(std, 6),
+                round(min, 6), round(q25, 6), round(q50, 6), round(q75, 6), round(max, 6)
+            from ({describe('select * from events', ['event_id', 'user_id', 'value'])})""",
         "training_export": f"""select case split when 'val' then 'validation' else split end as split,
             {text_core} as text from ({ceil_split(PAIRS, 'pair_id')})""",
         "published_source": "select * from documents",
-        "fallback_source": categories(),
+        "fallback_source": "select * from documents",
         "preview_sample": documents_50,
         "stream_prepared": prepared,
     }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from deskcorpus.config import DEFAULTS
@@ -12,20 +12,37 @@ from deskcorpus.plans.preprocess import add_text, preprocess_core
 from deskcorpus.stages import materialize
 
 
+TURNS = 1000
+
+
 def reply_pairs(conversations: DataFrame) -> DataFrame:
     """(pair_id, instruction, response): each user turn with the assistant turn that
-    follows it. The join key is (conversation, turn), which is unique, so one very
-    long conversation spreads over all tasks; a window per conversation would not."""
-    user = conversations.where("role = 'user'").select(
-        "conv_id", "turn", F.col("text").alias("instruction")
+    comes next, whatever its number. ``pair_id`` is ``conversation:turn``.
+
+    A window spans at most TURNS numbers of a conversation, so a very long one spreads
+    over tasks; the first turn of the following stretch answers the last of this one."""
+    said = F.struct("role", "text")
+    stretch = ["conv_id", "stretch"]
+    turns = conversations.select(
+        "conv_id", "turn", "role", "text", F.floor(F.col("turn") / TURNS).alias("stretch")
+    )
+    inside = Window.partitionBy(*stretch).orderBy("turn")
+    following = Window.partitionBy("conv_id").orderBy("stretch")  # a row per stretch
+    firsts = (
+        turns.groupBy(*stretch)
+        .agg(F.min_by(said, "turn").alias("first"))
+        .select(*stretch, F.lead("first").over(following).alias("later"))
     )
-    reply = conversations.where("role = 'assistant'").select(
-        "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("response")
+    answered = (
+        turns.withColumn("next", F.lead(said).over(inside))
+        .where("role = 'user'")
+        .join(firsts, stretch)
+        .withColumn("next", F.coalesce("next", "later"))
     )
-    return user.join(reply, ["conv_id", "turn"]).select(
-        (F.col("conv_id") * 1000 + F.col("turn")).alias("pair_id"),
-        "instruction",
-        "response",
+    return answered.where("next.role = 'assistant'").select(
+        F.concat_ws(":", "conv_id", "turn").alias("pair_id"),
+        F.col("text").alias("instruction"),
+        F.col("next.text").alias("response"),
     )
 
 

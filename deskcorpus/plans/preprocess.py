@@ -79,10 +79,10 @@ def funnel_core(
     raw = standardize(df)
     i, r = F.col("instruction"), F.col("response")
     wi, wr = word_count_squeezed(i), word_count_squeezed(r)
-    marked = raw.withColumn("raw", row_digest(PAIR))
+    marked = raw.withColumn("raw", row_digest(PAIR, raw.schema))
     staged = clean_columns(marked, "core", lowercase=lowercase).select(
         "raw",
-        row_digest(PAIR).alias("clean"),
+        row_digest(PAIR, raw.schema).alias("clean"),
         ((F.length(i) > 0) & (F.length(r) > 0)).alias("filled"),
         (wi.between(low, high) & wr.between(low, high)).alias("sized"),
     )

@@ -19,7 +19,7 @@ from deskcorpus.operators.generate import Generation, generate_replies
 from deskcorpus.operators.loss import bigram_losses
 from deskcorpus.operators.packing import pack
 from deskcorpus.plans import corpus, evaluation, preprocess
-from deskcorpus.sources import readers, synthetic, writers
+from deskcorpus.sources import readers, writers
 from deskcorpus.stages import materialize, scratch_dir
 from deskcorpus.streaming import prepare
 
@@ -301,6 +301,15 @@ def duplicate_rows(spark, sf_dir):
     return dedup.duplicate_count(table(spark, sf_dir, "documents").drop("doc_id"))
 
 
+@query
+def duplicate_messages(spark, sf_dir):
+    """Duplicates among arrays of messages."""
+    message = F.struct("role", F.substring("text", 1, 3).alias("content"))
+    return dedup.duplicate_count(
+        table(spark, sf_dir, "conversations").select(F.array(message).alias("messages"))
+    )
+
+
 # --- profiling ----------------------------------------------------------------
 
 
@@ -311,7 +320,23 @@ def profile_nulls(spark, sf_dir):
 
 @query
 def profile_mixed(spark, sf_dir):
-    out = profile.describe(table(spark, sf_dir, "customer").drop("c_custkey"))
+    out = profile.describe(table(spark, sf_dir, "customer"))
+    return rounded(out, "mean", "std", "min", "q25", "q50", "q75", "max")
+
+
+@query
+def profile_events(spark, sf_dir):
+    """All columns, of any type."""
+    out = profile.describe(table(spark, sf_dir, "events"))
+    return rounded(out, "mean", "std", "min", "q25", "q50", "q75", "max")
+
+
+@query
+def profile_nan(spark, sf_dir):
+    """A column with NaN, which counts as missing."""
+    ratio = F.when(F.col("l_discount") > 0, F.col("l_extendedprice") / F.col("l_discount"))
+    rows = table(spark, sf_dir, "lineitem").select(F.coalesce(ratio, F.lit(float("nan"))).alias("ratio"))
+    out = profile.describe_numeric(rows, ["ratio"])
     return rounded(out, "mean", "std", "min", "q25", "q50", "q75", "max")
 
 
@@ -384,7 +409,7 @@ def sample_k(spark, sf_dir):
 
 @query
 def cap_k(spark, sf_dir):
-    return sampling.cap_rows(table(spark, sf_dir, "orders"), "o_orderkey").select(
+    return sampling.cap_rows(table(spark, sf_dir, "orders"), "o_orderkey", limit=6000).select(
         "o_orderkey", "o_custkey", "o_orderstatus"
     )
 
@@ -501,8 +526,9 @@ def extract_response(spark, sf_dir):
 
 @query
 def context_prefix(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("pair_id"), "text")
-    joined = pairs(spark, sf_dir).join(docs, "pair_id", "left")
+    conversation = F.split("pair_id", ":")[0].cast("bigint")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    joined = pairs(spark, sf_dir).withColumn("doc_id", conversation).join(docs, "doc_id", "left")
     return joined.select(
         "pair_id", P.with_context(F.col("instruction"), F.col("text")).alias("message")
     )
@@ -524,6 +550,23 @@ def token_lengths(spark, sf_dir):
     return corpus_text.select("pair_id", K.token_length(F.col("text")).alias("token_length"))
 
 
+@query
+def caller_tokens(spark, sf_dir):
+    """A caller's own tokeniser in place of the word one."""
+    docs = table(spark, sf_dir, "documents")
+    count = K.tokenizer_udf(lambda: lambda text: text.split(" "))
+    return docs.select("doc_id", count("text").alias("n_tokens"))
+
+
+@query
+def order_status(spark, sf_dir):
+    """A template filled from given columns."""
+    template = F.concat(F.lit("Order {oid}: "), "o_orderstatus")
+    return table(spark, sf_dir, "orders").select(
+        "o_orderkey", X.fill(template, F.col("o_orderkey")).alias("message")
+    )
+
+
 @query
 def truncate_tokens(spark, sf_dir):
     kept = K.truncate(K.tokens(F.col("text")), 512)
@@ -591,6 +634,15 @@ def comparison_table(spark, sf_dir):
     return evaluate.comparison_table(joined, carry=("pair_id",))
 
 
+@query
+def missing_predictions(spark, sf_dir):
+    base = pairs(spark, sf_dir)
+    some = base.where(F.length("instruction") % 2 == 0)
+    predictions = some.select("pair_id", F.col("instruction").alias("prediction"))
+    joined = evaluate.attach_predictions(base, predictions, "pair_id")
+    return evaluate.comparison_table(joined, carry=("pair_id",))
+
+
 @query
 def eval_report(spark, sf_dir):
     losses = table(spark, sf_dir, "events").select((F.col("value") / 100).alias("loss"))
@@ -632,17 +684,6 @@ def loss_curves(spark, sf_dir):
 # --- sources and sinks ----------------------------------------------------------
 
 
-@query
-def synthetic_topics(spark, sf_dir):
-    return synthetic.topic_pairs(table(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey")
-
-
-@query
-def synthetic_categories(spark, sf_dir):
-    keys = table(spark, sf_dir, "orders").select("o_orderkey")
-    return synthetic.category_pairs(keys, "o_orderkey")
-
-
 @query
 def csv_roundtrip(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
@@ -664,7 +705,7 @@ def split_roundtrip(spark, sf_dir):
     split = sampling.split_floor(table(spark, sf_dir, "documents"), "doc_id")
     path = scratch_dir(spark)
     writers.write_splits(split, path)
-    return readers.read_splits(spark, path, split.schema, split="val")
+    return readers.read_splits(spark, path, split.schema)
 
 
 @query
@@ -675,6 +716,31 @@ def training_export(spark, sf_dir):
     return spark.read.parquet(path).select("split", "text")
 
 
+@query
+def raw_copy(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    path = scratch_dir(spark)
+    writers.write_raw_copy(docs, path)
+    return readers.read_csv(spark, path, docs.schema)
+
+
+@query
+def column_map(spark, sf_dir):
+    path = scratch_dir(spark)
+    writers.write_column_map(spark, "instruction", "response", path)
+    names = readers.read_column_map(spark, path)
+    counted = table(spark, sf_dir, "orders").agg(F.count(F.lit(1)).alias("n"))
+    return counted.select(*[F.lit(names[c]).alias(c) for c in ("text_col", "response_col")], "n")
+
+
+@query
+def metrics_sink(spark, sf_dir):
+    path = scratch_dir(spark)
+    writers.write_metrics(evaluate.full_report(scored_pairs(spark, sf_dir)), path)
+    kinds = "rouge1 double, rouge2 double, rougeL double, bleu double, perplexity double, n_eval_samples long"
+    return rounded(spark.read.schema(kinds).json(path), "rouge1", "rouge2", "rougeL", "bleu")
+
+
 @query
 def published_source(spark, sf_dir):
     path = scratch_dir(spark)
@@ -687,7 +753,7 @@ def fallback_source(spark, sf_dir):
     missing = f"{scratch_dir(spark)}/absent"
     return readers.read_or_else(
         lambda: readers.read_published(spark, missing),
-        lambda: synthetic_categories(spark, sf_dir),
+        lambda: table(spark, sf_dir, "documents"),
     )
 
 

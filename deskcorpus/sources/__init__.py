@@ -1 +1 @@
-"""Readers, writers and synthetic sources."""
+"""Readers and writers."""

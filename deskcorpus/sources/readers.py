@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import logging
+import re
 from collections.abc import Sequence
 from typing import Callable
 
@@ -10,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+log = logging.getLogger(__name__)
+
 RAW_SCHEMA = T.StructType(
     [T.StructField(n, T.StringType()) for n in ("flags", "instruction", "category", "intent", "response")]
 )
@@ -30,26 +34,39 @@ def read_published(
     for split in splits:
         try:
             return spark.read.parquet(f"{root.rstrip('/')}/{split}")
-        except AnalysisException:
-            continue
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    path = hadoop.Path(root)
-    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    found = sorted(s.getPath().toString() for s in files.listStatus(path) if s.isDirectory())
-    if not found:
+        except AnalysisException as error:
+            if not _is_absent(error):
+                raise
+    # file names alone, from a listing that leaves out hidden and temporary folders
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+    base = root.rstrip("/").rsplit("/", 1)[-1]
+    split = F.regexp_extract("path", f"/{re.escape(base)}/([^/]+)/", 1)
+    first = files.select(split.alias("split")).where("split != ''").agg(F.min("split")).first()[0]
+    if first is None:
         raise FileNotFoundError(f"no splits under {root}")
-    return spark.read.parquet(found[0])
+    return spark.read.parquet(f"{root.rstrip('/')}/{first}")
+
+
+def _is_absent(error: AnalysisException) -> bool:
+    return error.getCondition() == "PATH_NOT_FOUND"
 
 
 def read_or_else(
     primary: Callable[[], DataFrame], fallback: Callable[[], DataFrame]
 ) -> DataFrame:
-    """The primary source, or the fallback when it cannot be opened (S02). Paths and
-    schemas are resolved while planning, so failure shows before any job starts."""
+    """The primary source, or the fallback when there is none at its path (S02), which is
+    logged. Any other failure is raised: a source that cannot be read is no reason to go
+    on with another one."""
     try:
         return primary()
-    except Exception:
-        return fallback()
+    except AnalysisException as error:
+        if not _is_absent(error):
+            raise
+        absent: Exception = error
+    except FileNotFoundError as error:
+        absent = error
+    log.warning("reading the fallback: %s", absent)
+    return fallback()
 
 
 def read_csv(
@@ -57,16 +74,18 @@ def read_csv(
     path: str,
     schema: T.StructType = RAW_SCHEMA,
     na_strings: Sequence[str] = NA_STRINGS,
+    multi_line: bool = True,
 ) -> DataFrame:
-    """CSV with a header, multi-line quoted cells and doubled quotes (S03); missing
-    value strings become null in columns of any type. A multi-line file cannot be cut, so parallelism is
-    one task per file: keep files near the split size, or land them as Parquet."""
+    """CSV with a header, quoted cells and doubled quotes (S03); missing value strings
+    become null in columns of any type. Cells may have line breaks with ``multi_line``,
+    but such a file cannot be cut, so it is one task's work: pass False where no cell has
+    any, and files of every size are read in parallel."""
     raw = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
     df = (
         spark.read.schema(raw)
         .options(
             header=True,
-            multiLine=True,
+            multiLine=multi_line,
             quote='"',
             escape='"',
             mode="FAILFAST",

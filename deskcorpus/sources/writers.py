@@ -18,12 +18,14 @@ CSV_OPTIONS = {
     "ignoreLeadingWhiteSpace": False,
     "ignoreTrailingWhiteSpace": False,
 }
+ROWS_PER_FILE = 100_000
 TRAINING_NAMES = {"train": "train", "val": "validation", "test": "test"}
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """CSV with header, doubled quotes and untouched cell white space."""
-    df.write.mode(mode).options(**CSV_OPTIONS).csv(path)
+    """CSV with header, doubled quotes and untouched cell white space (S04). Files are
+    bounded in rows, so that multi-line ones stay small enough for a task to read."""
+    df.write.mode(mode).options(maxRecordsPerFile=ROWS_PER_FILE, **CSV_OPTIONS).csv(path)
 
 
 def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> int:
@@ -69,4 +71,4 @@ def write_preview(
     df: DataFrame, path: str, key: str, k: int = 20, seed: int = DEFAULTS.seed
 ) -> None:
     """A seeded sample of min(k, n) rows as one small CSV."""
-    write_csv(sample_exact(df, k, key, seed).coalesce(1), path)
+    write_csv(sample_exact(df, k, key, seed).repartition(1), path)  # only the k rows move

@@ -5,7 +5,7 @@ from check_oracles import compare
 
 
 def test_names_agree():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_entry(spark):

@@ -10,11 +10,12 @@ from hypothesis import strategies as st
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
+from deskcorpus.config import Settings
 from deskcorpus.functions import prompts as P
 from deskcorpus.functions import scores, tokens
-from deskcorpus.operators import evaluate, guardrail, loss, packing
+from deskcorpus.operators import evaluate, generate, guardrail, loss, packing, running
 from deskcorpus.operators.generate import Generation, generate_replies
-from deskcorpus.plans import evaluation
+from deskcorpus.plans import corpus, evaluation
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 FEW = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
@@ -209,7 +210,13 @@ def test_evaluation_job_writes_its_outputs(spark, tmp_path):
     test = spark.createDataFrame([(i, f"question {i} here", f"fine {i}") for i in range(70)], "id int, instruction string, response string")
     model = Generation(strict_model, temperature=0.0)
     report = evaluation.evaluate_model(
-        test, model, "id", table_path=f"{tmp_path}/table", metrics_path=f"{tmp_path}/metrics"
+        test,
+        model,
+        "id",
+        samples=50,
+        table_path=f"{tmp_path}/table",
+        metrics_path=f"{tmp_path}/metrics",
+        settings=Settings(eval_max_new_tokens=256, eval_temperature=0.0),
     ).first()
     assert report.n_eval_samples == 50 and report.perplexity is None and 0 < report.rouge1 < 1
     assert spark.read.option("header", True).csv(f"{tmp_path}/table").count() == 50
@@ -217,10 +224,55 @@ def test_evaluation_job_writes_its_outputs(spark, tmp_path):
     assert metrics.n_eval_samples == 50 and metrics.rouge1 == pytest.approx(report.rouge1)
 
 
-def test_default_shards_grow_with_the_data(spark, sf_dir):
+def test_packing_does_not_depend_on_the_cluster(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    assert packing.default_shards(docs) == partitions
-    wide = spark.range(10**9).select("id", F.lit("x" * 100).alias("t"))
-    assert packing.default_shards(wide) > partitions
-    assert packing.pack(docs, "doc_id", "text").count() > 0
+    answers = []
+    for n in ("3", "7"):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        blocks = packing.pack(docs.repartition(int(n)), "doc_id", "text", shards=1, length=100)
+        answers.append(sorted((r.block, tuple(r.tokens)) for r in blocks.collect()))
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert answers[0] == answers[1]
+    tail = packing.tail_tokens(packing.pack(docs, "doc_id", "text", shards=1, length=100), 100).first()
+    assert (tail.n_blocks, tail.n_tokens) == (1, len(answers[0][-1][1]))
+
+
+def test_one_shard_is_many_tasks(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", F.lit(1).alias("n"), F.lit(0).alias("g"))
+    placed = running.prefix_sums(docs, ["doc_id"], "n", "before", ["g"])
+    spread = placed.select("doc_id", "before").collect()
+    assert sorted(r.before for r in spread) == list(range(len(spread)))
+    assert [r.doc_id for r in sorted(spread, key=lambda r: r.before)] == sorted(r.doc_id for r in spread)
+
+
+def test_predictions_stay_with_their_rows(spark):
+    rows = spark.createDataFrame([(1, "a", "b"), (2, "c", "d")], "id int, instruction string, response string")
+    some = spark.createDataFrame([(1, "p")], "id int, prediction string")
+    got = evaluate.attach_predictions(rows, some, "id")
+    assert sorted((r.id, r.prediction) for r in got.collect()) == [(1, "p"), (2, None)]
+    with pytest.raises(Exception, match="several predictions for 1"):
+        evaluate.attach_predictions(rows, some.unionByName(some), "id").collect()
+
+
+def test_model_calls_are_bounded(spark):
+    def factory():
+        def predict(prompts, **_):
+            assert len(prompts) <= 3
+            return [f"{p} ok" for p in prompts]
+
+        return predict
+
+    df = spark.range(20).select(F.col("id").cast("string").alias("m"))
+    got = generate.generate_replies(df, "m", Generation(factory, batch_size=3)).collect()
+    assert {r.prediction for r in got} == {"ok"}
+
+
+def test_pairs_over_gaps_and_long_conversations(spark):
+    turns = [(1, t, "user" if t % 2 == 0 else "assistant", f"a{t}") for t in range(2500)]
+    turns += [(2, 0, "user", "q"), (2, 5, "assistant", "far"), (2, 3000, "user", "late"), (2, 9000, "assistant", "later")]
+    turns += [(3, 0, "user", "x"), (3, 1, "user", "y")]
+    got = {r.pair_id: (r.instruction, r.response) for r in corpus.reply_pairs(
+        spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")).collect()}
+    assert len(got) == 1252
+    assert got["1:998"] == ("a998", "a999") and got["1:2498"] == ("a2498", "a2499")
+    assert got["2:0"] == ("q", "far") and got["2:3000"] == ("late", "later")

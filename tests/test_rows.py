@@ -7,6 +7,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from deskcorpus.operators import dedup, filters, joins, profile, ranking, sampling, schema
 from deskcorpus.plans import preprocess
@@ -89,7 +90,7 @@ def test_keep_first(spark, rows, partitions):
 
 def test_digest_tells_rows_apart(spark):
     rows = [("a", "bc"), ("ab", "c"), ("", None), (None, ""), ("1:a", "b"), ("1", ":ab"), (None, None)]
-    df = pair_table(spark, rows).select(dedup.row_digest(["instruction", "response"]).alias("d"))
+    df = pair_table(spark, rows).select(dedup.row_digest(["instruction", "response"], T.StructType.fromDDL("instruction string, response string")).alias("d"))
     assert df.distinct().count() == len(rows)
 
 
@@ -213,7 +214,7 @@ def test_profile_text_and_terms(spark):
     assert (rows["t"]["count"], rows["t"].unique, rows["t"].top, rows["t"].freq) == (4, 2, "a", 2)
     assert (rows["u"]["count"], rows["u"].unique, rows["u"].top) == (0, 0, None)
     texts = spark.createDataFrame([("The cat's hat 42 cat", "CAT the")], "a string, b string")
-    assert [tuple(r) for r in profile.term_counts(texts, ["a", "b"], ["the"]).collect()] == [
+    assert [tuple(r) for r in profile.term_counts(texts, ["a", "b"], 200, ["the"]).collect()] == [
         ("cat", 2), ("cat's", 1), ("hat", 1)]
     assert "the" in profile.default_stop_words()
 
@@ -230,3 +231,24 @@ def test_lookup_join(spark, weight):
 def test_unknown_style(spark):
     with pytest.raises(ValueError):
         preprocess.add_text(pair_table(spark, [("a", "b")]), style="other")
+
+
+def test_nested_values_are_told_apart(spark):
+    df = spark.createDataFrame([(["a, b"],), (["a", "b"],), (["a", "b"],), (None,)], "m array<string>")
+    got = dedup.duplicate_count(df).first()
+    assert (got.n_rows, got.n_distinct, got.n_duplicates) == (4, 3, 1)
+
+
+def test_nan_is_missing_in_profiles(spark):
+    df = spark.createDataFrame([(1.0,), (2.0,), (float("nan"),), (None,)], "x double")
+    assert profile.null_counts(df).first().nulls == 2
+    stats = profile.describe_numeric(df, ["x"]).first()
+    assert (stats["count"], stats["mean"], stats["q75"], stats["max"]) == (2, 1.5, 1.75, 2.0)
+    bins = profile.histogram(df, "x", bins=2).orderBy("bin").collect()
+    assert [b.n for b in bins] == [1, 1] and bins[0].left_edge == 1.0
+
+
+def test_profile_of_all_types(spark):
+    df = spark.sql("select true as b, date'2020-01-02' as d, array(1, 2) as a, cast(null as timestamp) as t, 3 as n")
+    got = {r.name: (r["count"], r.top) for r in profile.describe(df).collect()}
+    assert got == {"b": (1, "true"), "d": (1, "2020-01-02"), "a": (1, "[1,2]"), "t": (0, None), "n": (1, None)}

@@ -1,4 +1,4 @@
-"""Readers, writers, synthetic sources and streams."""
+"""Readers, writers and streams."""
 
 import json
 from types import SimpleNamespace
@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from deskcorpus import stages
 from deskcorpus.operators import sampling
-from deskcorpus.sources import readers, synthetic, writers
+from deskcorpus.sources import readers, writers
 from deskcorpus.streaming import prepare
 
 TEXTS = ['a "q" b', "l1\n\nl2, x", "  padded  ", "tab\there", "é 😀", "back\\slash", 'ends "', ",", "plain"]
@@ -86,20 +86,29 @@ def test_published_source_and_fallback(spark, tmp_path):
     assert readers.read_published(spark, f"{tmp_path}/d").first().t == "u"
     made = readers.read_or_else(
         lambda: readers.read_published(spark, f"{tmp_path}/none"),
-        lambda: synthetic.build_topics(spark, 10),
+        lambda: table(spark, ["t"] * 10),
     )
     assert made.count() == 10
 
 
-def test_synthetic_sources(spark):
-    first, second = synthetic.build_topics(spark), synthetic.build_categories(spark)
-    assert first.count() == second.count() == 500
-    assert first.select("instruction", "response").distinct().count() == 70
-    assert second.select("instruction", "response").distinct().count() == 418
-    assert first.select("category").distinct().count() == 8
-    assert second.select("category").distinct().count() == 6
-    assert "#100000" in synthetic.topic_pairs(spark.range(1), "id").first().instruction
-    assert first.collect() == synthetic.build_topics(spark).collect()
+def test_unreadable_sources_are_not_replaced(spark, tmp_path):
+    (tmp_path / "bad" / "train").mkdir(parents=True)
+    (tmp_path / "bad" / "train" / "part-0.parquet").write_bytes(b"no parquet")
+    with pytest.raises(Exception, match="(?i)parquet"):
+        readers.read_published(spark, f"{tmp_path}/bad").count()
+    table(spark, ["t"]).write.parquet(f"{tmp_path}/h/_temporary")
+    table(spark, ["v"]).write.parquet(f"{tmp_path}/h/val")
+    assert readers.read_published(spark, f"{tmp_path}/h").first().t == "v"
+    with pytest.raises(ZeroDivisionError):
+        readers.read_or_else(lambda: 1 / 0, lambda: table(spark, ["x"]))
+
+
+def test_preview_moves_only_its_rows(spark):
+    from deskcorpus.operators.sampling import sample_exact
+
+    df = spark.range(0, 1000, 1, 8)
+    plan = sample_exact(df, 5, "id").repartition(1)._jdf.queryExecution().executedPlan().toString()
+    assert "Coalesce" not in plan and "Exchange SinglePartition, REPARTITION_BY_NUM" in plan
 
 
 def test_stream_equals_batch(spark, tmp_path):
@@ -114,9 +123,10 @@ def test_stream_equals_batch(spark, tmp_path):
     assert sorted(got.collect()) == sorted(want.collect()) and got.count() == 30
 
 
-def fake_session(master, folder):
+def fake_session(master, root):
+    settings = {} if root is None else {"spark.checkpoint.dir": root}
     return SimpleNamespace(
-        conf=SimpleNamespace(get=lambda name, default: folder),
+        conf=SimpleNamespace(get=settings.get, set=settings.__setitem__),
         sparkContext=SimpleNamespace(master=master),
     )
 
@@ -126,7 +136,11 @@ def test_scratch_space(spark, tmp_path):
     assert one.startswith("hdfs://x/deskcorpus-") and one != two
     with pytest.raises(ValueError):
         stages.scratch_dir(fake_session("spark://h", None))
-    assert stages.scratch_dir(fake_session("local[2]", None))
+    with pytest.raises(ValueError):
+        stages.scratch_dir(fake_session("local-cluster[2,1,1024]", None))
+    alone = fake_session("local[2]", None)
+    first, second = stages.scratch_dir(alone), stages.scratch_dir(alone)
+    assert first != second and first.startswith(alone.conf.get("spark.checkpoint.dir"))
     assert stages.materialize(spark.range(5)).count() == 5
 
 
