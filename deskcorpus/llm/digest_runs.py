@@ -53,7 +53,7 @@ def _collapse():
         for batch in batches:
             if not batch.num_rows:
                 continue
-            table = pa.Table.from_batches([batch])
+            table = pa.table(dict(zip(batch.schema.names, batch.columns)))
             if rest is not None:
                 table = pa.concat_tables([rest, table])
             table = table.combine_chunks()
