@@ -17,6 +17,7 @@ is left out: a node ends when all classes but those of one component have been p
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -28,11 +29,13 @@ from deskcorpus.llm.components import components
 from deskcorpus.llm.shingles import least_agreement, set_name, shingle_sets, signatures
 from deskcorpus.stages import materialize
 
-SIZE = 64  # places of a signature
+TOKENS = 32  # minwise tokens to branch on, 32 bits each
+MARKS = 256  # places of the signature that pairs are compared by, 8 bits each
 BRANCHES = 2
-NODE_LIMIT = 256
+NODE_LIMIT = 2048  # classes that a task compares exhaustively
 MAX_DEPTH = 6
 PIVOTS = 8
+DEEP_PIVOTS = 256
 TARGET_RECALL = 0.9999
 LOSS = 1e-6  # chance that the signatures hide a link
 PAIRS_AT_ONCE = 100_000
@@ -56,30 +59,46 @@ def trees_for(recall: float, similarity: float) -> int:
 
 
 def sketch(docs: DataFrame, width: int, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, class, signature) of every row; empty sets have no class."""
+    """(doc_id, n_shingles, class, tokens, marks) of every row; empty sets have no class."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk in text_chunks(batch):
                 values, bounds = shingle_sets(chunk.column("text"), width)
                 names = [set_name(values[a:b]) if b > a else None for a, b in zip(bounds[:-1], bounds[1:])]
-                made = iter(signatures(values, bounds, SIZE, SEED))
-                marks = [None if n is None else next(made).tobytes() for n in names]
+                made = signatures(values, bounds, TOKENS + MARKS, SEED)
+                parts = (made[:, :TOKENS], made[:, TOKENS:].astype(np.uint8))
+                cells = [iter([row.tobytes() for row in np.ascontiguousarray(p)]) for p in parts]
+                tokens, marks = ([None if n is None else next(c) for n in names] for c in cells)
                 yield pa.RecordBatch.from_arrays(
-                    [chunk.column("doc_id"), pa.array(np.diff(bounds), pa.int64()), binary(names), binary(marks)],
-                    names=["doc_id", "n_shingles", "class", "signature"],
+                    [
+                        chunk.column("doc_id"),
+                        pa.array(np.diff(bounds), pa.int64()),
+                        *map(binary, (names, tokens, marks)),
+                    ],
+                    names=["doc_id", "n_shingles", "class", "tokens", "marks"],
                 )
 
     rows = docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), text_of(f"`{text}`").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, n_shingles long, class binary, signature binary")
+    return rows.mapInArrow(run, "doc_id long, n_shingles long, class binary, tokens binary, marks binary")
 
 
-def children(members: DataFrame, depth: int) -> DataFrame:
-    """(node, class, depth) of the members' children; ``members`` has the signature."""
-    ways = members.select("class", "signature", "node", F.explode(F.array(*map(F.lit, range(BRANCHES)))).alias("_k"))
-    token = F.substring("signature", 4 * F.pmod(F.xxhash64("node", "_k"), F.lit(SIZE)).cast("int") + 1, F.lit(4))
-    child = F.xxhash64("node", "_k", token)
-    return ways.select(child.alias("node"), "class", F.lit(depth).alias("depth")).distinct()
+def first_nodes(classes: DataFrame, trees: int) -> DataFrame:
+    """(node, class, depth) below the roots: all branches of all trees take places of
+    their own, so that each is a new chance to meet."""
+    if trees * BRANCHES > TOKENS:
+        raise ValueError(f"{trees} trees need more than {TOKENS} minwise tokens")
+    token = F.substring("tokens", 4 * F.col("_place") + 1, F.lit(4))
+    ways = classes.select("class", "tokens", F.explode(F.sequence(F.lit(0), F.lit(trees * BRANCHES - 1))).alias("_place"))
+    return ways.select(F.xxhash64("_place", token).alias("node"), "class", F.lit(1).alias("depth"))
+
+
+def children(members: DataFrame) -> DataFrame:
+    """(node, class, depth) of the members' children; ``members`` has the tokens."""
+    ways = members.select("class", "tokens", "node", "depth", F.explode(F.array(*map(F.lit, range(BRANCHES)))).alias("_k"))
+    place = F.pmod(F.xxhash64("node", "_k"), F.lit(TOKENS)).cast("int")
+    child = F.xxhash64("node", "_k", F.substring("tokens", 4 * place + 1, F.lit(4)))
+    return ways.select(child.alias("node"), "class", (F.col("depth") + 1).alias("depth")).distinct()
 
 
 def crowded(members: DataFrame) -> DataFrame:
@@ -107,7 +126,7 @@ def _columns(table: pa.RecordBatch, *names: str) -> list[np.ndarray]:
 
 
 def _marks(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, SIZE)
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, MARKS)
 
 
 def _pair_batch(names: np.ndarray, i: np.ndarray, j: np.ndarray) -> pa.RecordBatch:
@@ -124,7 +143,7 @@ def compare_small(members: DataFrame, best_only: bool, least: int, percent: int)
     def pairs(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         node, names, labels, sizes = _columns(batch, "node", "class", "label", "n_shingles")
         _, labels = np.unique(labels, return_inverse=True)
-        marks = _marks(batch.column("signature"))
+        marks = _marks(batch.column("marks"))
         starts = np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1]]))
         begin = np.repeat(starts, np.diff(np.append(starts, len(node))))
         earlier = np.arange(len(node)) - begin  # each class against those before it
@@ -163,7 +182,7 @@ def compare_small(members: DataFrame, best_only: bool, least: int, percent: int)
             yield from pairs(rest.combine_chunks().to_batches()[0])
 
     return (
-        members.select("node", "class", "label", "n_shingles", "signature")
+        members.select("node", "class", "label", "n_shingles", "marks")
         .repartition(partitions(members.sparkSession), "node")
         .sortWithinPartitions("node", "class")
         .mapInArrow(run, PAIR)
@@ -171,14 +190,17 @@ def compare_small(members: DataFrame, best_only: bool, least: int, percent: int)
 
 
 def compare_pivots(members: DataFrame, pivots: DataFrame, total: int, least: int, percent: int) -> DataFrame:
-    """Candidate pairs of the pivots of large nodes with all other members."""
+    """Candidate pairs of the members of large nodes with the node's pivots: all at the
+    depth limit, before it only with the most similar pivot."""
+
+    deepest = MAX_DEPTH
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             names, labels, sizes = _columns(batch, "class", "label", "n_shingles")
-            marks = _marks(batch.column("signature"))
+            marks = _marks(batch.column("marks"))
             lists = batch.column("pivots")
             flat = lists.flatten()
             parts = [flat.field(k) for k in range(4)]
@@ -192,7 +214,12 @@ def compare_pivots(members: DataFrame, pivots: DataFrame, total: int, least: int
                 np.concatenate([marks, _marks(parts[3])]), np.concatenate([sizes, p_sizes]), i, j, least, percent
             )
             good &= all_labels[i] != all_labels[j]
-            yield _pair_batch(everyone, i[good], j[good])
+            i, j, same = i[good], j[good], same[good]
+            deep = batch.column("depth").to_numpy()[i] == deepest
+            order = np.lexsort((j, -same, i))
+            i, j, deep = i[order], j[order], deep[order]
+            first = np.concatenate([[True], i[1:] != i[:-1]])[: len(i)]
+            yield _pair_batch(everyone, i[first | deep], j[first | deep])
 
     weighed = pivots.select("node", "pivots", "n")
     found = hot_lookup(members, weighed, ["node"], "n", total)
@@ -200,12 +227,13 @@ def compare_pivots(members: DataFrame, pivots: DataFrame, total: int, least: int
 
 
 def choose_pivots(members: DataFrame, large: DataFrame, turn: int) -> DataFrame:
-    """(node, n, pivots) for large nodes: classes of up to PIVOTS labels, of small
-    labels first, from those that have not been pivots."""
+    """(node, n, pivots) for large nodes: classes of up to PIVOTS labels, or DEEP_PIVOTS at
+    the depth limit, of small labels first, from those that have not been pivots."""
     open_members = members.where("not done").join(large.select("node"), "node", "left_semi")
-    one = F.struct("class", "label", "n_shingles", "signature")
-    by_label = open_members.groupBy("node", "label").agg(F.count(F.lit(1)).alias("k"), F.min(one).alias("p"))
-    slot = F.pmod(F.xxhash64("label", F.lit(turn)), F.lit(PIVOTS))
+    one = F.struct("class", "label", "n_shingles", "marks")
+    by_label = open_members.groupBy("node", "depth", "label").agg(F.count(F.lit(1)).alias("k"), F.min(one).alias("p"))
+    most = F.when(F.col("depth") == MAX_DEPTH, DEEP_PIVOTS).otherwise(PIVOTS)
+    slot = F.pmod(F.xxhash64("label", F.lit(turn)), most)
     chosen = by_label.groupBy("node", slot.alias("slot")).agg(F.min(F.struct("k", "p")).alias("s"))
     return chosen.groupBy("node").agg(F.collect_list("s.p").alias("pivots")).join(large.select("node", "n"), "node")
 
@@ -255,25 +283,19 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def similar_classes(
     docs: DataFrame, classes: DataFrame, width: int, percent: int, recall: float = TARGET_RECALL, key: str = "doc_id", text: str = "text"
 ) -> DataFrame | None:
-    """(node, root) over the classes that have links, or None where there are none."""
-    spark = docs.sparkSession
-    least = least_agreement(SIZE, percent / 100, LOSS)
-    roots = F.array(*[F.xxhash64(F.lit(SEED), F.lit(t)) for t in range(trees_for(recall, percent / 100))])
-    start = classes.select("class", "signature", F.explode(roots).alias("node"))
-    active = crowded(children(start, 1).withColumn("done", F.lit(False)))
-    links: DataFrame | None = None
-    tested: DataFrame | None = None
+    """(class, root) of the classes that have links, or None where there are none."""
+    least = least_agreement(MARKS, percent / 100, LOSS)
+    start = first_nodes(classes, trees_for(recall, percent / 100))
+    active = crowded(start.withColumn("done", F.lit(False)))
+    tested: list[DataFrame] = []
     labels: DataFrame | None = None
     turn = 0
     while True:
         turn += 1
-        members = active
-        if labels is not None:
-            # every class is in a bounded number of nodes, and has one label
-            members = members.join(labels.select(F.col("node").alias("class"), F.col("root")), "class", "left")
-        else:
-            members = members.withColumn("root", F.lit(None).cast("binary"))
-        members = members.withColumn("label", F.coalesce("root", "class")).drop("root")
+        # a class is in a bounded number of nodes, and has one label
+        known = F.lit(None).cast("binary").alias("root")
+        named = active.select("*", known) if labels is None else active.join(labels, "class", "left")
+        members = named.withColumn("label", F.coalesce("root", "class")).drop("root")
         open_label = F.when(~F.col("done"), F.col("label"))
         nodes = materialize(
             members.groupBy("node")
@@ -284,49 +306,48 @@ def similar_classes(
                 F.min(open_label).alias("o1"),
                 F.max(open_label).alias("o2"),
             )
-            .where("l1 != l2 and (n <= %d or o1 != o2)" % NODE_LIMIT)
+            .where(f"l1 != l2 and (n <= {NODE_LIMIT} or o1 != o2)")
             .select("node", "n")
         )
-        if nodes.isEmpty():
+        sizes = nodes.agg(F.count(F.lit(1)).alias("all"), F.count_if(F.col("n") > NODE_LIMIT).alias("large")).first()
+        if not sizes["all"]:
             return labels
-        marked = classes.select("class", "n_shingles", "signature")
-        small = members.join(nodes.where(f"n <= {NODE_LIMIT}").select("node"), "node", "left_semi").join(marked, "class")
+        marked = classes.select("class", "n_shingles", "marks")
+        small_nodes = nodes.where(f"n <= {NODE_LIMIT}").select("node")
+        small = members.join(small_nodes, "node", "left_semi").join(marked, "class")
         pairs = compare_small(small, turn == 1, least, percent)
-        large = nodes.where(f"n > {NODE_LIMIT}")
-        has_large = not large.isEmpty()
-        if has_large:
-            full = materialize(members.join(large.select("node"), "node", "left_semi").join(marked, "class"))
+        if sizes["large"]:
+            large = nodes.where(f"n > {NODE_LIMIT}")
+            full = members.join(large.select("node"), "node", "left_semi")
+            full = materialize(full.join(classes.select("class", "n_shingles", "marks", "tokens"), "class"))
             pivots = materialize(choose_pivots(full, large, turn))
             pairs = pairs.unionByName(compare_pivots(full, pivots, full.count(), least, percent))
         pairs = pairs.distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+        for before in tested:
+            pairs = pairs.join(before, ["a", "b"], "left_anti")
         pairs = materialize(pairs)
         if not pairs.isEmpty():
             ends = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
             wanted = materialize(ends.join(classes.select("class", "doc_id"), "class"))
             sets = materialize(fetch_sets(docs, wanted, width, key, text))
-            found = materialize(confirm(pairs, sets, percent))
-            tested = pairs if tested is None else tested.unionByName(pairs)
-            links = found if links is None else links.unionByName(found)
-            if not found.isEmpty():
-                labels = components(links)
-        # small nodes have been gone through after their second turn, large ones branch
-        again = [active.join(nodes.where(f"n <= {NODE_LIMIT}").select("node"), "node", "left_semi")] if turn == 1 else []
-        if has_large:
+            links = materialize(confirm(pairs, sets, percent))
+            tested = [materialize(pairs.unionByName(tested[0]))] if tested else [pairs]
+            if not links.isEmpty():
+                if labels is not None:
+                    links = links.unionByName(labels.select(F.col("class").alias("a"), F.col("root").alias("b")))
+                labels = components(links).withColumnRenamed("node", "class")
+        # small nodes are through after their second turn, large ones branch
+        rest = [active.join(small_nodes, "node", "left_semi")] if turn == 1 else []
+        if sizes["large"]:
             used = pivots.select("node", F.explode("pivots.class").alias("class")).withColumn("_used", F.lit(True))
             deep = full.where(f"depth = {MAX_DEPTH}").select("node", "class", "depth", "done")
             deep = deep.join(used, ["node", "class"], "left")
-            again.append(deep.select("node", "class", "depth", F.expr("done or _used is not null").alias("done")))
-            for depth in range(1, MAX_DEPTH):
-                level = children(full.where(f"depth = {depth}"), depth + 1)
-                again.append(level.withColumn("done", F.lit(False)))
-        if not again:
+            rest.append(deep.select("node", "class", "depth", F.expr("done or _used is not null").alias("done")))
+            shallow = full.where(f"depth < {MAX_DEPTH}")
+            rest.append(children(shallow).withColumn("done", F.lit(False)))
+        if not rest:
             return labels
-        rest = again[0]
-        for more in again[1:]:
-            rest = rest.unionByName(more)
-        active = crowded(rest)
+        active = crowded(rest[0] if len(rest) == 1 else reduce(DataFrame.unionByName, rest))
 
 
 def component_table(docs: DataFrame, rows: DataFrame, width: int, percent: int, recall: float, key: str, text: str) -> DataFrame:
@@ -338,7 +359,8 @@ def component_table(docs: DataFrame, rows: DataFrame, width: int, percent: int,
             F.min("doc_id").alias("doc_id"),
             F.count(F.lit(1)).alias("n_docs"),
             F.first("n_shingles").alias("n_shingles"),
-            F.first("signature").alias("signature"),
+            F.first("tokens").alias("tokens"),
+            F.first("marks").alias("marks"),
         )
     )
     labels = similar_classes(docs, classes, width, percent, recall, key, text)
@@ -346,7 +368,7 @@ def component_table(docs: DataFrame, rows: DataFrame, width: int, percent: int,
     if labels is None:
         named = ids.select("class", F.col("doc_id").alias("component_id"), F.col("n_docs").alias("_n")).where("_n > 1")
     else:
-        linked = ids.join(labels.withColumnsRenamed({"node": "class"}), "class", "left")
+        linked = ids.join(labels, "class", "left")
         linked = linked.withColumn("root", F.coalesce("root", "class"))
         least = linked.groupBy("root").agg(F.min("doc_id").alias("component_id"), F.count(F.lit(1)).alias("_members"))
         several = least.where("_members > 1").withColumn("_n", F.col("_members"))

@@ -41,9 +41,11 @@ def test_exact_rounds_and_empty_table(spark):
 def test_hot_text_over_many_rounds(spark):
     rows = [(i, "hot" if i % 3 else f"t{i % 50}") for i in range(900)]
     spark.conf.set("spark.sql.shuffle.partitions", "40")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
     try:
         got = digest_runs.dedup_table(frame(spark, rows)).toPandas()
     finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
         spark.conf.set("spark.sql.shuffle.partitions", "4")
     hot = got[got.group_size == 600]
     assert len(hot) == 600 and (hot.keep_id == 899).all() and hot.kept.sum() == 1
@@ -82,11 +84,15 @@ def test_near_against_all_pairs(spark):
 
 
 def test_near_with_crowded_nodes(spark, monkeypatch):
-    """Small limits send the same data through pivots, branching and the depth limit."""
+    """Small limits send the same data through pivots, branching and the depth limit, and
+    nodes through several batches."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "11")
     monkeypatch.setattr(chosen_path, "NODE_LIMIT", 4)
     monkeypatch.setattr(chosen_path, "PIVOTS", 3)
+    monkeypatch.setattr(chosen_path, "DEEP_PIVOTS", 5)
     monkeypatch.setattr(chosen_path, "MAX_DEPTH", 2)
     check_near(spark, near_rows(5))
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
 def test_near_repeats_nulls_and_empty(spark):
