@@ -117,7 +117,21 @@ def with_rank(df: DataFrame, key: str, seed: int, name: str = "rank") -> DataFra
 # --- quantiles ---------------------------------------------------------------
 
 CELLS = 4096
-REFINEMENTS = 2
+
+
+def _even(x: Column) -> Column:
+    return x
+
+
+def _by_size(x: Column) -> Column:
+    """A scale that never falls with x and grows evenly with the magnitude of numbers on
+    either side of zero; infinities have an end of it to themselves."""
+    magnitude = F.least(F.ln(F.greatest(F.abs(x), F.lit(5e-324))) + 746, F.lit(1500.0))
+    return F.when(x == 0, F.lit(0.0)).otherwise(F.signum(x) * magnitude)
+
+
+# values of any magnitude are told apart first, then those within a factor of two
+REFINEMENTS = (_by_size, _even, _even)
 
 
 def exact_quantiles(
@@ -128,8 +142,8 @@ def exact_quantiles(
     ``counts`` holds (name, value, weight) with one row per distinct value;
     ``bounds`` holds (name, low, high, total) and maybe more, one row per name; it
     comes back with a column ``q{percent}`` per probability. Each refinement splits
-    the interval around a wanted rank into CELLS equal cells and keeps the one that
-    contains it; only what is left of the interval is ordered."""
+    the interval around a wanted rank into CELLS cells, even on some scale, and keeps the
+    one that contains it; only what is left of the interval is ordered."""
     places = F.array(*[F.lit(float(p)) for p in probabilities])
     targets = (
         bounds.where("total > 0")
@@ -147,8 +161,8 @@ def exact_quantiles(
         .withColumn("local", F.col("rank"))
     )
     identity = ["name", "prob", "rank"]
-    for _ in range(REFINEMENTS):
-        targets = _refine(counts, targets, identity)
+    for scale in REFINEMENTS:
+        targets = _refine(counts, targets, identity, scale)
     upto = (
         Window.partitionBy(*identity)
         .orderBy("value")
@@ -185,8 +199,11 @@ def _inside(counts: DataFrame, targets: DataFrame) -> DataFrame:
     return c.join(t, on).select("t.*", "c.value", "c.weight")
 
 
-def _refine(counts: DataFrame, targets: DataFrame, identity: list[str]) -> DataFrame:
-    share = F.expr("try_divide(value - low, high - low)")
+def _refine(
+    counts: DataFrame, targets: DataFrame, identity: list[str], scale: Callable[[Column], Column]
+) -> DataFrame:
+    value, low, high = (scale(F.col(c)) for c in ("value", "low", "high"))
+    share = F.nanvl(F.try_divide(value - low, high - low), F.lit(0.0))
     cell = F.least(F.floor(F.coalesce(share, F.lit(0.0)) * CELLS), F.lit(CELLS - 1))
     upto = (
         Window.partitionBy(*identity)
