@@ -23,7 +23,8 @@ def lookup_join(
     so that slice of the table is broadcast, whatever the data looks like; all
     other keys go through an ordinary shuffled join, where none is heavy. When a
     column of the table already says how common each key is among the facts, pass it
-    as ``weight`` and the facts are not counted again; weights only steer the plan."""
+    as ``weight`` and the facts are not counted again. Weights only steer the plan, but
+    they must speak of the facts: keys that the table lacks then count as rare."""
     on = list(on)
     if weight is None:
         counts = facts.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))

@@ -31,31 +31,35 @@ def bigram_losses(
     p(word | prev) = (n(prev, word) + k) / (n(prev) + k * V) and V is the training
     vocabulary plus one. Texts with fewer than two words have no loss.
 
-    The counts are the model and are written once, as are the test pairs, so that each
-    text is tokenised a single time. The log of the quotient splits into two independent lookups, whose terms are
-    added per text, so neither join has to wait for the other."""
+    The counts are the model and are written once, as are the test pairs, counted per text
+    so that repeats travel once. The log of the quotient splits into two independent
+    lookups, whose terms are added per text, so neither join has to wait for the other.
+    Which pairs are heavy is told by the test texts themselves: a pair may be frequent
+    there and yet unknown to the model."""
     pair_counts = materialize(bigram_counts(train, text))
-    prev_counts = materialize(pair_counts.groupBy("prev").agg(F.sum("n").alias("m")))
+    prev_counts = pair_counts.groupBy("prev").agg(F.sum("n").alias("m"))
     vocabulary = (
         pair_counts.select(F.explode(F.array("prev", "word")).alias("w"))
         .distinct()
         .agg(F.count(F.lit(1)) + 1)
         .scalar()
     )
-    facts = materialize(_bigrams(test, text, key))
-    zero = F.lit(0)
-    top = lookup_join(facts, pair_counts, ["prev", "word"], weight="n").select(
+    seen = _bigrams(test, text, key).groupBy(key, "prev", "word")
+    facts = materialize(seen.agg(F.count(F.lit(1)).alias("times")))
+    zero, times = F.lit(0), F.col("times")
+    top = lookup_join(facts, pair_counts, ["prev", "word"]).select(
         key,
-        (-F.ln(F.coalesce("n", zero) + F.lit(k))).alias("term"),
-        F.lit(1).alias("one"),
+        (-times * F.ln(F.coalesce("n", zero) + F.lit(k))).alias("term"),
+        times.alias("pairs"),
     )
-    bottom = lookup_join(facts.select(key, "prev"), prev_counts, ["prev"], weight="m").select(
+    firsts = facts.groupBy(key, "prev").agg(F.sum("times").alias("times"))
+    bottom = lookup_join(firsts, prev_counts, ["prev"]).select(
         key,
-        F.ln(F.coalesce("m", zero) + F.lit(k) * vocabulary).alias("term"),
-        zero.alias("one"),
+        (times * F.ln(F.coalesce("m", zero) + F.lit(k) * vocabulary)).alias("term"),
+        zero.cast("bigint").alias("pairs"),
     )
     return (
         top.unionByName(bottom)
         .groupBy(key)
-        .agg((F.sum("term") / F.sum("one")).alias("loss"))
+        .agg((F.sum("term") / F.sum("pairs")).alias("loss"))
     )

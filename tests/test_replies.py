@@ -276,3 +276,11 @@ def test_pairs_over_gaps_and_long_conversations(spark):
     assert len(got) == 1252
     assert got["1:998"] == ("a998", "a999") and got["1:2498"] == ("a2498", "a2499")
     assert got["2:0"] == ("q", "far") and got["2:3000"] == ("late", "later")
+
+
+def test_loss_with_a_hot_pair_unseen_in_training(spark):
+    train = spark.createDataFrame([(1, "a b a b c")], "id int, text string")
+    test = spark.createDataFrame([(2, "x y " * 500), (3, "a b")], "id int, text string")
+    got = {r.id: r.loss for r in loss.bigram_losses(train, test, "id", "text").collect()}
+    p = lambda n, m: -math.log((n + 1) / (m + 4))
+    assert got[2] == pytest.approx(p(0, 0)) and got[3] == pytest.approx(p(2, 2))
