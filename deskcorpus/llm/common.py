@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType
 
-from deskcorpus.stages import materialize
 
 SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -51,8 +52,9 @@ def hot_lookup(
     ``weight`` is a column of the table with the number of facts of a key, ``total`` the
     number of all facts. Keys above ``share`` of the facts are fewer than 1/share by
     counting, so their rows are broadcast; facts they match keep that answer and go to
-    the shuffled join under a key of their own, so no task gets a hot key. Null keys
-    match nothing. ``weight`` is dropped."""
+    the shuffled join by a hash of their own values, so no task gets a hot key. That hash
+    is the same in every attempt of a task. Null keys match nothing. ``weight`` is
+    dropped."""
     on = list(on)
     values = [c for c in table.columns if c not in on and c != weight]
     hot = table.where(F.col(weight) > share * max(total, 1)).select(
@@ -62,7 +64,8 @@ def hot_lookup(
         F.xxhash64(*on).alias("_slot"), *[F.col(c).alias(f"_{c}") for c in on], F.struct(*values).alias("_rest")
     )
     first = facts.join(F.broadcast(hot), on, "left")  # fewer than 1/share rows
-    spread = F.when(F.col("_hot").isNull(), F.xxhash64(*on)).otherwise(F.xxhash64(F.rand(7)))
+    plain = [f.name for f in facts.schema.fields if isinstance(f.dataType, AtomicType)]
+    spread = F.when(F.col("_hot").isNull(), F.xxhash64(*on)).otherwise(F.xxhash64(*[F.col(f"`{c}`") for c in plain]))
     same = [F.when(F.col("_hot").isNull(), F.col(c)) == F.col(f"_{c}") for c in on]
     joined = first.withColumn("_at", spread).join(
         rest, [F.col("_at") == F.col("_slot"), *same], "left"
@@ -71,31 +74,13 @@ def hot_lookup(
     return joined.select(*facts.columns, *[found[c].alias(c) for c in values])
 
 
-def prefix_sums(df: DataFrame, order: Sequence[str], value: str, name: str) -> DataFrame:
-    """Add the sum of ``value`` over all rows before, in the total order of the columns
-    ``order``. Rows are range-partitioned, each range is summed, and the few range totals
-    (one per partition) are added up and broadcast; a window then works inside a range.
-    The ranges are written once, so both readings see the same ones, and the result does
-    not depend on where they lie."""
-    spark = df.sparkSession
-    ranges = materialize(
-        df.repartitionByRange(partitions(spark), *order).withColumn("_range", F.spark_partition_id())
-    )
-    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        ranges.groupBy("_range")
-        .agg(F.sum(value).alias("_sum"))
-        .select("_range", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_before"))
-    )
-    inside = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    return (
-        ranges.join(F.broadcast(starts), "_range")  # a row per partition
-        .withColumn(name, (F.col("_before") + F.coalesce(F.sum(value).over(inside), F.lit(0))).cast("long"))
-        .drop("_range", "_before")
-    )
+# --- inside Arrow functions ----------------------------------------------------------
 
 
-# --- inside Arrow functions ----------------------------------------------------------
+def worker_cache(kind: str) -> dict:
+    """Objects that live as long as a Python worker. Functions travel to workers by value,
+    with a copy of their module, so a variable of the module would be new in every task."""
+    return sys.__dict__.setdefault(f"_deskcorpus_{kind}", {})
 
 
 def text_chunks(batch: pa.RecordBatch, column: str = "text", size: int = CHUNK_BYTES):

@@ -12,12 +12,13 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from deskcorpus.llm.common import worker_cache
+
 CACHE_WORDS = 250_000
 GROUP = 256
 WORD_END = "</w>"
 STOPS = ".,;:!?#%&$*|)"  # after a letter, these always start another piece
 END_ID = 1
-_encoders: dict[str, WordEncoder] = {}
 
 
 def default_tokenizer() -> str:
@@ -153,6 +154,7 @@ class WordEncoder:
 
 def encoder(path: str) -> WordEncoder:
     """The worker's encoder for a tokenizer file; it lives as long as the worker."""
-    if path not in _encoders:
-        _encoders[path] = WordEncoder(path)
-    return _encoders[path]
+    known = worker_cache("encoders")
+    if path not in known:
+        known[path] = WordEncoder(path)
+    return known[path]

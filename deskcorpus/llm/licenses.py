@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from deskcorpus.llm.common import text_bytes, text_chunks, text_of, word_bounds
+from deskcorpus.llm.common import text_bytes, text_chunks, text_of, word_bounds, worker_cache
 from deskcorpus.llm.license_rules import BASE_PHRASES, Rule, build, gates
 
 IS_WORD = np.zeros(256, np.bool_)
@@ -78,7 +78,6 @@ SCHEMA = (
     "n_words long, n_base long, first_word long, last_word long, base_labels string, labels string,"
     " score double, spans array<struct<first: long, end: long, label: string, priority: int>>"
 )
-_scanners: dict[int, Scanner] = {}
 
 
 def scan_licenses(docs: DataFrame, rules: Sequence[Rule] | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -91,7 +90,10 @@ def scan_licenses(docs: DataFrame, rules: Sequence[Rule] | None = None, key: str
     top = max([r.priority for r in rules], default=1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner = _scanners.setdefault(hash(rules), Scanner(rules))
+        known = worker_cache("scanners")
+        if (name := hash(rules)) not in known:
+            known[name] = Scanner(rules)
+        scanner = known[name]
         for batch in batches:
             for chunk in text_chunks(batch):
                 texts = pc.ascii_lower(chunk.column("text"))

@@ -22,8 +22,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from deskcorpus.llm.common import partitions, prefix_sums, slices_as_binary, text_chunks, text_of
+from deskcorpus.llm.common import partitions, slices_as_binary, text_chunks, text_of
 from deskcorpus.llm.encode import WORD_END, default_tokenizer, encoder
+from deskcorpus.operators.running import prefix_sums
 from deskcorpus.stages import materialize
 
 LENGTH = 2048

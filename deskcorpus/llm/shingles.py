@@ -8,7 +8,7 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 
-from deskcorpus.llm.common import text_bytes, word_bounds
+from deskcorpus.llm.common import text_bytes, word_bounds, worker_cache
 
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
@@ -18,7 +18,6 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 IS_WORD = np.ones(256, np.bool_)
 IS_WORD[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = False
-_powers: dict[str, np.ndarray] = {}
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -29,11 +28,12 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def _table(name: str, factor: np.uint64, n: int) -> np.ndarray:
-    if len(_powers.get(name, ())) < n:
+    known = worker_cache("powers")
+    if len(known.get(name, ())) < n:
         steps = np.full(max(n, SEGMENT), factor, np.uint64)
         steps[0] = 1
-        _powers[name] = np.cumprod(steps)
-    return _powers[name][:n]
+        known[name] = np.cumprod(steps)
+    return known[name][:n]
 
 
 def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
