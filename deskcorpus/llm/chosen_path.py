@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from deskcorpus.llm.common import binary, hot_lookup, partitions, text_chunks, text_of
+from deskcorpus.llm.common import binary, hot_lookup, partitions, text_chunks, text_of, tidy
 from deskcorpus.llm.components import components
 from deskcorpus.llm.shingles import least_agreement, set_name, shingle_sets, signatures
 from deskcorpus.stages import materialize
@@ -80,7 +80,7 @@ def sketch(docs: DataFrame, width: int, key: str = "doc_id", text: str = "text")
                 )
 
     rows = docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), text_of(f"`{text}`").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, n_shingles long, class binary, tokens binary, marks binary")
+    return rows.mapInArrow(tidy(run), "doc_id long, n_shingles long, class binary, tokens binary, marks binary")
 
 
 def first_nodes(classes: DataFrame, trees: int) -> DataFrame:
@@ -185,7 +185,7 @@ def compare_small(members: DataFrame, best_only: bool, least: int, percent: int)
         members.select("node", "class", "label", "n_shingles", "marks")
         .repartition(partitions(members.sparkSession), "node")
         .sortWithinPartitions("node", "class")
-        .mapInArrow(run, PAIR)
+        .mapInArrow(tidy(run), PAIR)
     )
 
 
@@ -223,7 +223,7 @@ def compare_pivots(members: DataFrame, pivots: DataFrame, total: int, least: int
 
     weighed = pivots.select("node", "pivots", "n")
     found = hot_lookup(members, weighed, ["node"], "n", total)
-    return found.where("pivots is not null").mapInArrow(run, PAIR)
+    return found.where("pivots is not null").mapInArrow(tidy(run), PAIR)
 
 
 def choose_pivots(members: DataFrame, large: DataFrame, turn: int) -> DataFrame:
@@ -258,7 +258,7 @@ def fetch_sets(docs: DataFrame, wanted: DataFrame, width: int, key: str, text: s
                     names=["class", "shingles"],
                 )
 
-    sets = rows.select("text").mapInArrow(run, "class binary, shingles binary")
+    sets = rows.select("text").mapInArrow(tidy(run), "class binary, shingles binary")
     return sets.join(wanted.select("class"), "class", "left_semi").groupBy("class").agg(F.first("shingles").alias("shingles"))
 
 
@@ -277,7 +277,7 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     left = sets.select(F.col("class").alias("a"), F.col("shingles").alias("x"))
     right = sets.select(F.col("class").alias("b"), F.col("shingles").alias("y"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, PAIR)
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(tidy(run), PAIR)
 
 
 def similar_classes(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import sys
 from collections.abc import Sequence
 
@@ -17,7 +19,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 HOT_SHARE = 0.001
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -77,6 +79,24 @@ def hot_lookup(
 # --- inside Arrow functions ----------------------------------------------------------
 
 
+def tidy(run):
+    """For functions over Arrow batches: at its end a task hands free memory back to the
+    system. Workers are kept between tasks, and what one stage has grown to would otherwise
+    stay with the executor for all later ones."""
+
+    def whole(batches):
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+
+    return whole
+
+
 def worker_cache(kind: str) -> dict:
     """Objects that live as long as a Python worker. Functions travel to workers by value,
     with a copy of their module, so a variable of the module would be new in every task."""

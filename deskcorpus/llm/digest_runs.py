@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from deskcorpus.llm.common import ascii_lower, hot_lookup, partitions, text_of
+from deskcorpus.llm.common import ascii_lower, hot_lookup, partitions, text_of, tidy
 from deskcorpus.stages import evaluate_once, materialize
 
 FAN_BITS = 3  # a merge takes runs of up to 2**FAN_BITS partitions
@@ -86,7 +86,7 @@ def merge_runs(rows: DataFrame, largest: bool = True, fan_bits: int = FAN_BITS)
     runs, steps = rounds(partitions(rows.sparkSession), fan_bits)
 
     def merged(df: DataFrame) -> DataFrame:
-        return df.sortWithinPartitions(*order).mapInArrow(_collapse(), RUN)
+        return df.sortWithinPartitions(*order).mapInArrow(tidy(_collapse()), RUN)
 
     state = merged(rows.select(*IDENTITY, F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size")))
     place = F.pmod(F.conv(F.hex(F.substring("digest", 1, 4)), 16, 10).cast("long"), F.lit(runs))

@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from deskcorpus.llm.common import text_bytes, text_chunks, text_of, word_bounds, worker_cache
+from deskcorpus.llm.common import text_bytes, text_chunks, text_of, tidy, word_bounds, worker_cache
 from deskcorpus.llm.license_rules import BASE_PHRASES, Rule, build, gates
 
 IS_WORD = np.zeros(256, np.bool_)
@@ -114,7 +114,7 @@ def scan_licenses(docs: DataFrame, rules: Sequence[Rule] | None = None, key: str
                 )
 
     rows = docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), text_of(f"`{text}`").alias("text"))
-    return rows.mapInArrow(run, f"doc_id long, {SCHEMA}")
+    return rows.mapInArrow(tidy(run), f"doc_id long, {SCHEMA}")
 
 
 SPANS = pa.list_(

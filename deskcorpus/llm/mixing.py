@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from deskcorpus.llm.common import WORD, text_of
+from deskcorpus.llm.common import WORD, text_of, tidy
 from deskcorpus.stages import materialize
 
 WEIGHTS = (5, 2, 1)
@@ -279,4 +279,4 @@ def _first_words(parts: DataFrame, docs: DataFrame, text: str) -> DataFrame:
             columns[text] = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
-    return parts.mapInArrow(cut, docs.schema)
+    return parts.mapInArrow(tidy(cut), docs.schema)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from deskcorpus.llm.common import partitions, slices_as_binary, text_chunks, text_of
+from deskcorpus.llm.common import partitions, slices_as_binary, text_chunks, text_of, tidy
 from deskcorpus.llm.encode import WORD_END, default_tokenizer, encoder
 from deskcorpus.operators.running import prefix_sums
 from deskcorpus.stages import materialize
@@ -148,7 +148,7 @@ def encoded(docs: DataFrame, tokenizer: str | None = None, key: str = "doc_id",
         F.monotonically_increasing_id().alias("row"), F.col(key).cast("long").alias("key"), text_of(text).alias("text")
     )
     return materialize(
-        rows.mapInArrow(encode, "row long, key long, ids binary, ids_crc32 long, doc_tokens long, cuts binary")
+        rows.mapInArrow(tidy(encode), "row long, key long, ids binary, ids_crc32 long, doc_tokens long, cuts binary")
     )
 
 
@@ -207,7 +207,7 @@ def pack_documents(
         .repartition(partitions(tokens.sparkSession), "block")
         .sortWithinPartitions("block", "begin")
         .select("block", "row", "doc_tokens", "cuts")
-        .mapInArrow(solve, f"row long, {PIECES}")
+        .mapInArrow(tidy(solve), f"row long, {PIECES}")
     )
 
 
@@ -255,5 +255,5 @@ def _pieces(tokens: DataFrame, packed: DataFrame, column: str, make, kind: pa.Da
 
     joined = tokens.select("row", "key", "ids", "doc_tokens").join(packed, "row")
     return joined.drop("row").mapInArrow(
-        cut, f"doc_id long, start long, length long, {column}, doc_tokens long, sequence_id long, offset long"
+        tidy(cut), f"doc_id long, start long, length long, {column}, doc_tokens long, sequence_id long, offset long"
     )

@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from deskcorpus.llm.common import text_chunks, text_of
+from deskcorpus.llm.common import text_chunks, text_of, tidy
 from deskcorpus.llm.encode import default_tokenizer, encoder
 
 
@@ -24,7 +24,7 @@ def encoded_lengths(docs: DataFrame, tokenizer: str | None = None, text: str = "
                 lengths = enc.lengths(chunk.column("text")) + end
                 yield pa.RecordBatch.from_arrays([pa.array(lengths, pa.int64())], names=["length"])
 
-    return docs.select(text_of(text).alias("text")).mapInArrow(measure, "length long")
+    return docs.select(text_of(text).alias("text")).mapInArrow(tidy(measure), "length long")
 
 
 def length_histogram(lengths: DataFrame) -> DataFrame:

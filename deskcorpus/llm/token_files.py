@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from deskcorpus.llm import simple8b
-from deskcorpus.llm.common import partitions, text_chunks, text_of
+from deskcorpus.llm.common import partitions, text_chunks, text_of, tidy
 from deskcorpus.llm.encode import default_tokenizer, encoder
 from deskcorpus.llm.storage import fresh_name, make_folder, open_input, write_bytes
 from deskcorpus.stages import materialize
@@ -154,7 +154,7 @@ def write_token_files(
         .repartitionByRange(partitions(docs.sparkSession), "key")
         .sortWithinPartitions("key", "text")
     )
-    return materialize(ordered.mapInArrow(write, MANIFEST))
+    return materialize(ordered.mapInArrow(tidy(write), MANIFEST))
 
 
 MANIFEST_ARROW = pa.schema(
@@ -202,7 +202,7 @@ def _read(manifest: DataFrame, column: str, make, kind: pa.DataType) -> DataFram
                 yield _rows(rows, name, kind)
                 file.close()
 
-    return files.mapInArrow(read, f"doc_id long, start long, n_tokens long, {column}")
+    return files.mapInArrow(tidy(read), f"doc_id long, start long, n_tokens long, {column}")
 
 
 def _rows(rows: tuple, name: str, kind: pa.DataType) -> pa.RecordBatch:
