@@ -136,57 +136,120 @@ def _pair_batch(names: np.ndarray, i: np.ndarray, j: np.ndarray) -> pa.RecordBat
     return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], schema=_PAIR)
 
 
-def compare_small(members: DataFrame, best_only: bool, least: int, percent: int) -> DataFrame:
-    """Candidate pairs of different labels within small nodes: all, or for each class only
-    the most similar of those before it."""
-
-    def pairs(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        node, names, labels, sizes = _columns(batch, "node", "class", "label", "n_shingles")
-        _, labels = np.unique(labels, return_inverse=True)
-        marks = _marks(batch.column("marks"))
-        starts = np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1]]))
-        begin = np.repeat(starts, np.diff(np.append(starts, len(node))))
-        earlier = np.arange(len(node)) - begin  # each class against those before it
-        upto = np.cumsum(earlier)
-        at = 0
-        while at < len(node):
-            base = upto[at - 1] if at else 0
-            stop = max(int(np.searchsorted(upto, base + PAIRS_AT_ONCE, "right")), at + 1)
-            n = earlier[at:stop]
-            j = np.repeat(np.arange(at, stop), n)
-            i = begin[j] + np.arange(len(j)) - np.repeat(np.cumsum(n) - n, n)
-            same, good = _agreeing(marks, sizes, i, j, least, percent)
-            good &= labels[i] != labels[j]
-            i, j, same = i[good], j[good], same[good]
-            if best_only and len(j):
+def _whole_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches sorted by node, cut anew between nodes."""
+    rest: pa.Table | None = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        table = pa.Table.from_batches([batch])
+        table = (table if rest is None else pa.concat_tables([rest, table])).combine_chunks()
+        node = table.column("node").to_numpy()
+        cut = int(np.searchsorted(node == node[-1], True))
+        rest = table.slice(cut)
+        if cut:
+            yield table.slice(0, cut).combine_chunks().to_batches()[0]
+    if rest is not None:
+        yield rest.combine_chunks().to_batches()[0]
+
+
+def _similar(batch: pa.RecordBatch, least: int, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Rows i, j of the batch, i before j in the same node but of another label, that may
+    be links, and in how many places they agree; a bounded number of pairs at a time."""
+    node, labels, sizes = _columns(batch, "node", "label", "n_shingles")
+    _, labels = np.unique(labels, return_inverse=True)
+    marks = _marks(batch.column("marks"))
+    starts = np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1]]))
+    begin = np.repeat(starts, np.diff(np.append(starts, len(node))))
+    earlier = np.arange(len(node)) - begin  # each class against those before it
+    upto = np.cumsum(earlier)
+    at = 0
+    while at < len(node):
+        base = upto[at - 1] if at else 0
+        stop = max(int(np.searchsorted(upto, base + PAIRS_AT_ONCE, "right")), at + 1)
+        n = earlier[at:stop]
+        j = np.repeat(np.arange(at, stop), n)
+        i = begin[j] + np.arange(len(j)) - np.repeat(np.cumsum(n) - n, n)
+        same, good = _agreeing(marks, sizes, i, j, least, percent)
+        good &= labels[i] != labels[j]
+        yield i[good], j[good], same[good]
+        at = stop
+
+
+def _by_node(members: DataFrame, *more: str) -> DataFrame:
+    return (
+        members.select("node", "class", "label", "n_shingles", "marks", *more)
+        .repartition(partitions(members.sparkSession), "node")
+        .sortWithinPartitions("node", "class")
+    )
+
+
+def best_pairs(members: DataFrame, least: int, percent: int) -> DataFrame:
+    """For each class of a small node, the most similar of those before it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _whole_nodes(batches):
+            (names,) = _columns(batch, "class")
+            for i, j, same in _similar(batch, least, percent):
                 order = np.lexsort((i, -same, j))
                 i, j = i[order], j[order]
-                first = np.concatenate([[True], j[1:] != j[:-1]])
-                i, j = i[first], j[first]
-            yield _pair_batch(names, i, j)
-            at = stop
+                first = np.concatenate([[True], j[1:] != j[:-1]])[: len(j)]
+                yield _pair_batch(names, i[first], j[first])
+
+    return _by_node(members).mapInArrow(tidy(run), PAIR)
+
+
+def contested(members: DataFrame, least: int, percent: int) -> DataFrame:
+    """(node, class) of the classes that may link to another label in a small node."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest: pa.Table | None = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            table = pa.Table.from_batches([batch])
-            table = (table if rest is None else pa.concat_tables([rest, table])).combine_chunks()
-            node = table.column("node").to_numpy()
-            cut = int(np.searchsorted(node == node[-1], True)) if len(node) else 0
-            rest = table.slice(cut)
-            if cut:
-                yield from pairs(table.slice(0, cut).combine_chunks().to_batches()[0])
-        if rest is not None and rest.num_rows:
-            yield from pairs(rest.combine_chunks().to_batches()[0])
+        for batch in _whole_nodes(batches):
+            found = np.zeros(batch.num_rows, np.bool_)
+            for i, j, _ in _similar(batch, least, percent):
+                found[i] = found[j] = True
+            yield batch.select(["node", "class"]).filter(pa.array(found))
 
-    return (
-        members.select("node", "class", "label", "n_shingles", "marks")
-        .repartition(partitions(members.sparkSession), "node")
-        .sortWithinPartitions("node", "class")
-        .mapInArrow(tidy(run), PAIR)
-    )
+    return _by_node(members).mapInArrow(tidy(run), "node long, class binary")
+
+
+def confirmed_links(members: DataFrame, least: int, percent: int) -> DataFrame:
+    """Links between labels in small nodes, confirmed where the node is, on the full sets
+    that ``members`` brings along. Of the links between two components one is enough, so a
+    node gives fewer links than it has classes, however many of its pairs are similar."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _whole_nodes(batches):
+            node, names, labels = _columns(batch, "node", "class", "label")
+            sets = batch.column("shingles")
+            known: dict[tuple, int] = {}
+            root = [known.setdefault(k, n) for n, k in enumerate(zip(node.tolist(), labels))]
+
+            def find(x: int) -> int:
+                while root[x] != x:
+                    root[x] = root[root[x]]
+                    x = root[x]
+                return x
+
+            left, right = [], []
+            for i, j, same in _similar(batch, least, percent):
+                order = np.argsort(-same, kind="stable")
+                for x, y in zip(i[order].tolist(), j[order].tolist()):
+                    a, b = find(x), find(y)
+                    if a != b and _linked(sets[x].as_buffer(), sets[y].as_buffer(), percent):
+                        root[max(a, b)] = min(a, b)
+                        left.append(x)
+                        right.append(y)
+            yield _pair_batch(names, np.array(left, np.int64), np.array(right, np.int64))
+
+    return _by_node(members, "shingles").mapInArrow(tidy(run), PAIR)
+
+
+def _linked(x, y, percent: int) -> bool:
+    """Whether two sets, given as sorted 64-bit numbers, are similar enough."""
+    x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+    both = np.sort(np.concatenate([x, y]), kind="stable")
+    common = int((both[1:] == both[:-1]).sum())
+    return 100 * common >= percent * (len(both) - common)
 
 
 def compare_pivots(members: DataFrame, pivots: DataFrame, total: int, least: int, percent: int) -> DataFrame:
@@ -267,12 +330,8 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            good = []
-            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
-                n = (len(x) + len(y)) // 8
-                both = np.sort(np.concatenate([np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)]), kind="stable")
-                common = int((both[1:] == both[:-1]).sum())
-                good.append(100 * common >= percent * (n - common))
+            pairs = zip(batch.column("x"), batch.column("y"))
+            good = [_linked(x.as_buffer(), y.as_buffer(), percent) for x, y in pairs]
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     left = sets.select(F.col("class").alias("a"), F.col("shingles").alias("x"))
@@ -315,27 +374,38 @@ def similar_classes(
         marked = classes.select("class", "n_shingles", "marks")
         small_nodes = nodes.where(f"n <= {NODE_LIMIT}").select("node")
         small = members.join(small_nodes, "node", "left_semi").join(marked, "class")
-        pairs = compare_small(small, turn == 1, least, percent)
+        pairs, links = None, []
+        if turn == 1:
+            pairs = best_pairs(small, least, percent)
+        elif sizes["all"] > sizes["large"]:
+            small = materialize(small)
+            open_rows = materialize(contested(small, least, percent))
+            if not open_rows.isEmpty():
+                sets = _sets_of(docs, open_rows.select("class").distinct(), classes, width, key, text)
+                rows = small.join(open_rows, ["node", "class"], "left_semi").join(sets, "class")
+                links.append(materialize(confirmed_links(rows, least, percent)))
         if sizes["large"]:
             large = nodes.where(f"n > {NODE_LIMIT}")
             full = members.join(large.select("node"), "node", "left_semi")
             full = materialize(full.join(classes.select("class", "n_shingles", "marks", "tokens"), "class"))
             pivots = materialize(choose_pivots(full, large, turn))
-            pairs = pairs.unionByName(compare_pivots(full, pivots, full.count(), least, percent))
-        pairs = pairs.distinct()
-        for before in tested:
-            pairs = pairs.join(before, ["a", "b"], "left_anti")
-        pairs = materialize(pairs)
-        if not pairs.isEmpty():
-            ends = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
-            wanted = materialize(ends.join(classes.select("class", "doc_id"), "class"))
-            sets = materialize(fetch_sets(docs, wanted, width, key, text))
-            links = materialize(confirm(pairs, sets, percent))
-            tested = [materialize(pairs.unionByName(tested[0]))] if tested else [pairs]
-            if not links.isEmpty():
-                if labels is not None:
-                    links = links.unionByName(labels.select(F.col("class").alias("a"), F.col("root").alias("b")))
-                labels = components(links).withColumnRenamed("node", "class")
+            far = compare_pivots(full, pivots, full.count(), least, percent)
+            pairs = far if pairs is None else pairs.unionByName(far)
+        if pairs is not None:
+            pairs = pairs.distinct()
+            for before in tested:
+                pairs = pairs.join(before, ["a", "b"], "left_anti")
+            pairs = materialize(pairs)
+            if not pairs.isEmpty():
+                ends = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
+                sets = _sets_of(docs, ends, classes, width, key, text)
+                links.append(materialize(confirm(pairs, sets, percent)))
+                tested = [materialize(pairs.unionByName(tested[0]))] if tested else [pairs]
+        links = [x for x in links if not x.isEmpty()]
+        if links:
+            if labels is not None:
+                links.append(labels.select(F.col("class").alias("a"), F.col("root").alias("b")))
+            labels = components(reduce(DataFrame.unionByName, links)).withColumnRenamed("node", "class")
         # small nodes are through after their second turn, large ones branch
         rest = [active.join(small_nodes, "node", "left_semi")] if turn == 1 else []
         if sizes["large"]:
@@ -350,6 +420,12 @@ def similar_classes(
         active = crowded(rest[0] if len(rest) == 1 else reduce(DataFrame.unionByName, rest))
 
 
+def _sets_of(docs: DataFrame, wanted: DataFrame, classes: DataFrame, width: int, key: str, text: str) -> DataFrame:
+    """(class, shingles) of the wanted classes, written."""
+    named = materialize(wanted.join(classes.select("class", "doc_id"), "class"))
+    return materialize(fetch_sets(docs, named, width, key, text))
+
+
 def component_table(docs: DataFrame, rows: DataFrame, width: int, percent: int, recall: float, key: str, text: str) -> DataFrame:
     """(class, component_id, _n, _found) of the classes of several documents or with
     links; ``_n`` is the number of a class's documents."""
