@@ -8,6 +8,8 @@ texts. That changes nothing but the speed."""
 
 from __future__ import annotations
 
+from unicodedata import normalize
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -27,6 +29,12 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def _only_letters(word: str) -> bool:
+    """Whether the tokenizer sees letters alone: its normal form takes some letters apart
+    into a letter and a mark, at which it splits."""
+    return word.isalpha() and (word := normalize("NFC", word)).isalpha() and word.lower().isalpha()
+
+
 class WordEncoder:
     """For tokenizers that treat white-space separated words on their own."""
 
@@ -98,7 +106,7 @@ class WordEncoder:
         plain = names.take(pa.array(new))
         ascii_ = pc.and_(pc.ascii_is_alpha(plain), pc.string_is_ascii(plain)).to_numpy(zero_copy_only=False)
         other = plain.filter(pa.array(~ascii_)).to_numpy(zero_copy_only=False)
-        letters = np.fromiter((w.isalpha() and w.lower().isalpha() for w in other), np.bool_, len(other))
+        letters = np.fromiter(map(_only_letters, other), np.bool_, len(other))
         others = new[~ascii_]
         at = len(self.known)
         kept = []

@@ -1,4 +1,5 @@
 import zlib
+from unicodedata import normalize
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +35,16 @@ def test_encoder_agrees_with_the_library(texts):
     assert (encoder(default_tokenizer()).lengths(pa.array(texts, pa.string())) + 1 == np.diff(bounds)).all()
 
 
+def test_letters_that_the_normal_form_takes_apart():
+    letters = [chr(c) for c in range(0x110000) if chr(c).isalpha()]
+    apart = [c for c in letters if not normalize("NFC", c).isalpha()]
+    assert len(apart) >= 59
+    texts = ["\u0958\u0932\u092e", "\u09b9\u09df", *apart, *(f"{a}{c}{b}" for c in letters for a, b in (("a", "b"), ("\u0932", "\u092e")))]
+    ids, bounds = encoder(default_tokenizer()).ids(pa.array(texts, pa.string()), end=None)
+    full = MODEL.encode_batch(texts, add_special_tokens=False)
+    assert [t for t, e, a, b in zip(texts, full, bounds[:-1], bounds[1:]) if ids[a:b].tolist() != e.ids] == []
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.one_of(st.integers(0, 3), st.integers(0, 2**20), st.integers(0, 2**64 - 1)), max_size=900), st.integers(1, 9))
 def test_simple8b_round_trip(values, parts):
