@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from deskcorpus.llm.common import hot_lookup
+from deskcorpus.llm.common import HOT_SHARE, hot_lookup
 from deskcorpus.stages import materialize
 
 
@@ -77,11 +77,13 @@ def preference_segments(
     sides = [df.withColumn("_null", F.col("conv_id").isNull()).withColumn("_conv", F.coalesce("conv_id", F.lit(0))) for df in sides]
     differs = materialize(first_differences(*sides))
     sizes = sides[0].unionByName(sides[1]).groupBy("conv_id").agg(F.count(F.lit(1)).alias("_n"))
-    cuts = differs.withColumnRenamed("conv_id", "_c").join(sizes, F.col("_c").eqNullSafe(F.col("conv_id")))
+    cuts = sizes.join(differs.withColumnRenamed("conv_id", "_c"), F.col("_c").eqNullSafe(F.col("conv_id")), "left")
     cuts = materialize(
         cuts.select(F.col("conv_id").isNull().alias("_null"), F.coalesce("conv_id", F.lit(0)).alias("_conv"), "differs_at", "_n")
     )
     total = cuts.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
+    # a hot conversation is looked up even where its sides agree, so that its turns are spread
+    cuts = cuts.where((F.col("_n") > HOT_SHARE * max(total, 1)) | F.col("differs_at").isNotNull())
     parts = []
     for side, df in zip(("chosen", "rejected"), sides):
         placed = hot_lookup(df, cuts, ["_null", "_conv"], "_n", total)
@@ -127,12 +129,14 @@ def assemble(segments: DataFrame) -> DataFrame:
 
 def curtailed(conversations: DataFrame) -> DataFrame:
     """Rejected sides for conversations that come without: the last answer of each stops
-    half-way through its characters."""
-    turns = _turns(conversations, "conv_id", "turn", "role", "text").where("conv_id is not null")
-    last = turns.groupBy("conv_id").agg(
-        F.max(F.when(F.col("role") == "assistant", F.col("turn"))).alias("_last"), F.count(F.lit(1)).alias("_n")
-    )
-    placed = hot_lookup(turns, materialize(last), ["conv_id"], "_n", turns.count())
+    half-way through its characters. Turns of no conversation (a null key) have no last
+    answer and stay as they are."""
+    turns = _turns(conversations, "conv_id", "turn", "role", "text")
+    # null keys take part in the lookup under a flag, which spreads them if they are many
+    turns = turns.withColumn("_null", F.col("conv_id").isNull()).withColumn("_conv", F.coalesce("conv_id", F.lit(0)))
+    answer = (F.col("role") == "assistant") & ~F.col("_null")
+    last = turns.groupBy("_null", "_conv").agg(F.max(F.when(answer, F.col("turn"))).alias("_last"), F.count(F.lit(1)).alias("_n"))
+    placed = hot_lookup(turns, materialize(last), ["_null", "_conv"], "_n", turns.count())
     half = F.expr("left(text, char_length(text) div 2)")
     cut = (F.col("role") == "assistant") & (F.col("turn") == F.col("_last"))
     return placed.select("conv_id", "turn", "role", F.when(cut, half).otherwise(F.col("text")).alias("text"))

@@ -2,14 +2,16 @@
 
 import zlib
 
+import duckdb
 import numpy as np
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from check_oracles import compare
+from check_oracles import canonical, compare
 from deskcorpus.llm import chosen_path, licenses
 from deskcorpus.llm.encode import default_tokenizer
 from deskcorpus.llm.license_rules import BASE_PHRASES
@@ -38,6 +40,19 @@ def test_against_sql(spark, sf_dir):
     assert compare(spark, sf_dir, list(ORACLES)) == []
 
 
+def test_preference_pairs_without_a_conversation(spark, sf_dir, tmp_path):
+    """A third of the turns have a null conv_id."""
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    turns = turns.withColumn("conv_id", F.when(F.crc32(F.concat_ws(":", "conv_id", "turn")) % 3 != 0, F.col("conv_id")))
+    turns.write.parquet(f"{tmp_path}/conversations.parquet")
+    got = QUERIES["op7_preference_pairs"](spark, str(tmp_path)).toPandas()
+    con = duckdb.connect()
+    con.execute(f"create view conversations as select * from '{tmp_path}/conversations.parquet/*.parquet'")
+    assert canonical(got) == canonical(con.execute(ORACLES["op7_preference_pairs"]).df())
+    lost = got[got.conv_id.isna()]
+    assert len(lost) == turns.where("conv_id is null").count() > 0 and set(lost.part) == {"prompt"} and not lost.loss.any()
+
+
 def test_near_duplicates(spark, sf_dir, docs):
     got = QUERIES["op2_near_duplicates"](spark, sf_dir).toPandas().set_index("doc_id")
     roots, sizes = near_components(list(zip(docs.doc_id, docs.text)), 4, 80)
