@@ -14,15 +14,16 @@ from collections import deque
 from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from deskcorpus.llm.common import WORD, text_of, tidy
+from deskcorpus.llm.common import HOT_SHARE, WORD, text_of, tidy
+from deskcorpus.operators.running import prefix_sums
 from deskcorpus.stages import materialize
 
 WEIGHTS = (5, 2, 1)
 MAX_REPEATS = 3
-MAX_PATTERNS = 100_000  # the flow is solved on the driver; more patterns raise an error
+MAX_PATTERNS = 100_000  # that the driver takes; of more, only what a flow is needed for
 CELL_DIGITS = 3  # hex digits of the order that each of two levels of cells takes
 SEED = 20
 
@@ -161,14 +162,15 @@ def mix(
     ``taken`` the words that the mix takes of the document, repetitions counted, at most
     ``repeats`` times its size. ``stats`` has for each source of the pattern its size and
     target. A null source is a source; rows of no source at all are not taken. Identical
-    rows are taken each on its own. Sources and patterns are collected: at most
-    MAX_PATTERNS of them, else an error is raised."""
+    rows are taken each on its own. Up to MAX_PATTERNS patterns are collected. Of more,
+    only those linked by documents of several sources are, and more than MAX_PATTERNS of
+    these raise an error; so do more sources than that with a ``weigh`` of the caller's."""
     spark = docs.sparkSession
     sources = F.array("source") if sources is None else sources
     rows = materialize(measured(docs, sources, key, text, seed))
     found = rows.groupBy("pattern").agg(F.sum("size").alias("size")).limit(MAX_PATTERNS + 1).collect()
     if len(found) > MAX_PATTERNS:
-        raise ValueError(f"more than {MAX_PATTERNS} membership patterns")
+        return _mix_many(rows, weigh, repeats)
     patterns = {tuple(r.pattern or ()): r["size"] for r in found}
     sizes: dict[str | None, int] = {}
     for pattern, size in patterns.items():
@@ -178,6 +180,16 @@ def mix(
     total, wanted = sum(patterns.values()), sum(goal.values())
     if wanted > total:  # sources that overlap are larger together than all documents
         goal = {s: t * total / wanted for s, t in goal.items()}
+    return _take(rows, _shares(spark, patterns, sizes, goal, repeats))
+
+
+SHARES = "pattern array<string>, passes long, rest long, stats array<struct<source: string, source_size: long, target: double>>"
+
+
+def _shares(
+    spark: SparkSession, patterns: Mapping[tuple, int], sizes: Mapping[str | None, int], goal: Mapping[str | None, float], repeats: int
+) -> DataFrame:
+    """(pattern, passes, rest, stats) of patterns, by the flow."""
     sent = route(patterns, {s: int(t) for s, t in goal.items()}, repeats)
     table = []
     for p, size in patterns.items():
@@ -185,12 +197,87 @@ def mix(
         passes, rest = divmod(words, size) if size else (0, 0)
         stats = [(s, sizes[s], goal[s]) for s in p]
         table.append((list(p), passes, rest, stats))
-    shares = spark.createDataFrame(
-        table,
-        "pattern array<string>, passes long, rest long,"
-        " stats array<struct<source: string, source_size: long, target: double>>",
+    return spark.createDataFrame(table, SHARES)
+
+
+def _mix_many(rows: DataFrame, weigh: Callable, repeats: int) -> DataFrame:
+    """The mix of more patterns than the driver takes. A source that no document shares
+    with another is sent what its target and its own words allow; the others, with all
+    their patterns, make up flows of their own, so these alone go to the driver."""
+    groups = materialize(rows.groupBy("pattern").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n")))
+    member = F.explode("pattern").alias("source")
+    sources = groups.select(member, "size", (F.size("pattern") > 1).alias("linked")).groupBy("source")
+    sources = sources.agg(F.sum("size").alias("source_size"), F.max("linked").alias("linked"))
+    sources = materialize(_targets(materialize(_weighed(sources, weigh)), groups, repeats))
+    own = sources.where("not linked").withColumn("_sent", F.least(F.floor("target"), F.lit(repeats) * F.col("source_size")))
+    own = own.select(
+        F.array("source").alias("pattern"),
+        F.when(F.col("source_size") > 0, F.expr("_sent div source_size")).otherwise(0).cast("long").alias("passes"),
+        F.when(F.col("source_size") > 0, F.expr("_sent % source_size")).otherwise(0).cast("long").alias("rest"),
+        F.array(F.struct("source", "source_size", "target")).alias("stats"),
     )
-    return _take(rows, shares)
+    linked = sources.where("linked").withColumnRenamed("source", "_s")
+    flows = groups.select("pattern", "size", F.explode_outer("pattern").alias("source")).join(linked, _same("source", "_s"), "left")
+    flows = flows.where("linked or size(pattern) = 0").groupBy("pattern").agg(
+        F.first("size").alias("size"), F.collect_list(F.struct("source", "source_size", "target")).alias("stats")
+    )
+    found = flows.limit(MAX_PATTERNS + 1).collect()
+    if len(found) > MAX_PATTERNS:
+        raise ValueError(f"more than {MAX_PATTERNS} membership patterns are linked by documents of several sources")
+    of_sources = {x.source: x for r in found if r.pattern for x in r.stats}
+    driven = _shares(
+        rows.sparkSession,
+        {tuple(r.pattern): r["size"] for r in found},
+        {s: x.source_size for s, x in of_sources.items()},
+        {s: x.target for s, x in of_sources.items()},
+        repeats,
+    )
+    shares = materialize(own.unionByName(driven))
+    # patterns of many rows are gone through by cells, the others each in a task
+    total = groups.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    hot = groups.where(F.col("n") > HOT_SHARE * total).select(F.col("pattern").alias("_hot"))  # fewer than 1/HOT_SHARE
+    hot = F.broadcast(materialize(hot))
+    few = _take(rows, shares.join(hot, _same("pattern", "_hot"), "left_semi"))
+    rest = rows.join(hot, _same("pattern", "_hot"), "left_anti").withColumnRenamed("pattern", "_p")
+    rest = rest.join(shares, F.col("_p") == F.col("pattern")).drop("_p")
+    order = Window.partitionBy("pattern").orderBy("place", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    left = F.col("rest") - F.coalesce(F.sum("size").over(order), F.lit(0))
+    taken = F.col("passes") * F.col("size") + F.greatest(F.least("size", left), F.lit(0))
+    return few.unionByName(rest.withColumn("taken", taken).select(few.columns))
+
+
+def _weighed(sources: DataFrame, weigh: Callable) -> DataFrame:
+    """Sources with their weight ``w``; the default weights go by rank, which needs no list."""
+    if weigh is cycle_weights:
+        ranked = sources.withColumns({"_null": F.col("source").isNull(), "_one": F.lit(1)})
+        ranked = prefix_sums(ranked, ["_null", "source"], "_one", "_rank")
+        turns = F.array(*map(F.lit, WEIGHTS))
+        return ranked.withColumn("w", F.get(turns, F.col("_rank") % len(WEIGHTS)).cast("double")).drop("_null", "_one", "_rank")
+    names = [r.source for r in sources.select("source").limit(MAX_PATTERNS + 1).collect()]
+    if len(names) > MAX_PATTERNS:
+        raise ValueError(f"more than {MAX_PATTERNS} sources for a function that weighs them together")
+    weights = sources.sparkSession.createDataFrame([(s, float(w)) for s, w in weigh(names).items()], "_s string, w double")
+    return sources.join(weights, _same("source", "_s")).drop("_s")
+
+
+def _targets(sources: DataFrame, groups: DataFrame, repeats: int) -> DataFrame:
+    """Sources with their target, as ``capped_targets`` finds them, by a pass over the
+    sources for each round: the level only rises, so it tells which sources are capped."""
+    most = F.lit(repeats) * F.col("source_size")
+    total = sources.agg(F.coalesce(F.sum("source_size"), F.lit(0))).first()[0]
+    words = groups.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    level = 0.0
+    while True:
+        over = F.col("w") * F.lit(level) > most
+        r = sources.agg(F.sum(F.when(over, most)).alias("capped"), F.sum(F.when(~over, F.col("w"))).alias("free")).first()
+        risen = (total - (r.capped or 0)) / r.free if r.free else 0.0
+        if risen <= level:
+            break
+        level = risen
+    target = F.when(F.col("w") * F.lit(level) > most, most.cast("double")).otherwise(F.col("w") * F.lit(level))
+    if total > words:  # sources that overlap are larger together than all documents
+        target = target * F.lit(words) / F.lit(total)
+    return sources.withColumn("target", target)
 
 
 def _same(a: str, b: str) -> Column:
@@ -201,7 +288,7 @@ def _take(rows: DataFrame, shares: DataFrame) -> DataFrame:
     """Each row's words. A pattern's partial pass ends at the row where the sizes, in
     seeded order, reach ``rest``: cells of the order are summed, then the cells within the
     one that holds the end, and only the rows of that one are gone through in order."""
-    shares = F.broadcast(shares)  # at most MAX_PATTERNS rows
+    shares = F.broadcast(shares)  # at most MAX_PATTERNS rows, or the hot ones of more
     cell = lambda k: F.substring("place", 1 + k * CELL_DIGITS, CELL_DIGITS)
     joined = rows.withColumnRenamed("pattern", "_p").join(shares, _same("_p", "pattern")).drop("_p")
     upto = Window.partitionBy("pattern").orderBy("cell").rowsBetween(Window.unboundedPreceding, 0)

@@ -146,3 +146,32 @@ def test_overlapping_sources(spark):
     assert got.taken.sum() <= 400
     shared = got[got.pattern.map(len) == 2]
     assert shared.taken.sum() >= 100  # b has its quota only from documents of both
+
+
+def test_more_sources_than_the_driver_takes(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    rows = [(i, "w " * (i % 7 + 1), f"s{i * i % 83}") for i in range(1200)]
+    rows += [(i, "w " * 40, "s0") for i in range(2000, 2300)] + [(i, "w", f"t{i}") for i in range(3000, 3400)]
+    rows += [(900, None, "s3"), (901, "", "empty"), (902, "x y", None), (902, "x y", None), (None, "big " * 500, "s2")]
+    both = F.when(F.col("doc_id") % 97 == 5, F.array("source", F.lit("both"))).otherwise(F.array("source"))
+    both = F.when(F.col("doc_id") != 7, both).otherwise(F.array().cast("array<string>"))
+    small = frame(spark, rows)
+    mixes = []
+    for limit in (100_000, 100):
+        monkeypatch.setattr(mixing, "MAX_PATTERNS", limit)
+        mixes.append((mixing.mix(small).collect(), mixing.mix(small, both).collect()))
+    (one, shared), (one_many, shared_many) = mixes
+    values = lambda r: (str(r.doc_id), r.place, r["size"], r.taken, [tuple(x) for x in r.stats])
+    assert sorted(map(repr, map(values, one_many))) == sorted(map(repr, map(values, one))) and len(one) == len(rows)
+    # flows can differ in the way they take, not in how much
+    assert len(shared_many) == len(rows) and all(0 <= r.taken <= 3 * r["size"] for r in shared_many)
+    linked = {s for r in shared if len(r.pattern) > 1 for s in r.pattern}
+    taken = [collections.Counter(), collections.Counter()]
+    for sums, got in zip(taken, (shared, shared_many)):
+        for r in got:
+            sums["linked" if linked & set(r.pattern) else str(r.pattern)] += r.taken
+    assert 2 < len(linked) < 40 and all(abs(taken[0][k] - taken[1][k]) <= (len(linked) if k == "linked" else 1) for k in taken[0])
+    monkeypatch.setattr(mixing, "MAX_PATTERNS", 3)
+    with pytest.raises(ValueError, match="several sources"):
+        mixing.mix(small, both)
