@@ -516,6 +516,10 @@ def build() -> dict[str, str]:
         "duplicate_messages": """select count(*) as n_rows, count(distinct m) as n_distinct,
             count(*) - count(distinct m) as n_duplicates from (
             select [{'role': role, 'content': left(text, 3)}] as m from conversations)""",
+        "duplicate_exchanges": f"""select count(*) as n_rows, count(distinct m) as n_distinct,
+            count(*) - count(distinct m) as n_duplicates from (
+            select [{{'role': 'user', 'content': instruction}},
+                {{'role': 'assistant', 'content': response}}] as m from ({PAIRS}))""",
         "profile_nan": f"""select name, count, round(mean, 6) as mean, round(std, 6) as std,
             round(min, 6) as min, round(q25, 6) as q25, round(q50, 6) as q50,
             round(q75, 6) as q75, round(max, 6) as max from ({

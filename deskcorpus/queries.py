@@ -310,6 +310,18 @@ def duplicate_messages(spark, sf_dir):
     )
 
 
+@query
+def duplicate_exchanges(spark, sf_dir):
+    """Duplicates among exchanges, arrays of a turn and its reply with their whole texts."""
+    asked, replied = (
+        F.struct(F.lit(role).alias("role"), F.col(text).alias("content"))
+        for role, text in (("user", "instruction"), ("assistant", "response"))
+    )
+    return dedup.duplicate_count(
+        pairs(spark, sf_dir).select(F.array(asked, replied).alias("messages"))
+    )
+
+
 # --- profiling ----------------------------------------------------------------
 
 

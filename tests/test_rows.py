@@ -265,3 +265,14 @@ def test_quantiles_leave_little_to_order(spark, spread):
     got = ranking.exact_quantiles(counts, bounds, (0.5,)).first()
     ordered = sorted(r.value for r in counts.collect())
     assert got.q50 == pytest.approx(statistics.median(ordered), rel=1e-12)
+
+
+def test_duplicate_exchanges_read_whole_texts(spark, tmp_path):
+    """Replies that start alike, or whose texts only join alike, are no duplicates."""
+    import __spark_entry__ as entry
+
+    said = [("hello", "yes, at once"), ("hello", "yes, later"), ("hello", "yes, at once"), ("hello yes", ", at once"), ("help", "yes, at once")]
+    turns = [(i, t, r, x) for i, (a, b) in enumerate(said) for t, (r, x) in enumerate([("user", a), ("assistant", b)])]
+    spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    got = entry.queries()["duplicate_exchanges"](spark, str(tmp_path)).first()
+    assert (got.n_rows, got.n_distinct, got.n_duplicates) == (5, 4, 1)
