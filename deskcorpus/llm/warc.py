@@ -138,9 +138,15 @@ class PlainRecords:
 
 
 class GzipRecords(PlainRecords):
-    """The records of a file of gzip members; one is inflated only as far as asked for."""
+    """The records of a file of gzip members, one or more in each; a member whose header
+    gives its length holds one, and is inflated only as far as asked for."""
+
+    inside = False  # a member that holds another record
 
     def next(self) -> bool:
+        if self.inside:
+            self.inside = False
+            return True
         if self.at >= self.size:
             return False
         self.file.seek(self.at)
@@ -187,8 +193,17 @@ class GzipRecords(PlainRecords):
 
     def leave(self, start: int, length: int) -> None:
         if self.member is None:
-            while self._more(1 << 20):
-                self.data = b""
+            left = start + length
+            while len(self.data) < left:
+                left, self.data = left - len(self.data), b""
+                if not self._more(1 << 20):
+                    raise ValueError("a member ends inside its record")
+            self.data = self.data[left:].lstrip(b"\r\n")
+            while not self.data and self._more(1 << 12):
+                self.data = self.data.lstrip(b"\r\n")
+            if self.data:
+                self.inside = True
+                return
             self.member = self.read - len(self.inflate.unused_data)
         self.at += self.member
 

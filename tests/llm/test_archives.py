@@ -74,6 +74,17 @@ def test_archives_of_other_writers(spark, tmp_path):
     assert warc.read_warc(spark, str(tmp_path)).where("record_type = 'metadata'").count() == 2
 
 
+def test_archives_of_few_members(spark, tmp_path):
+    records = [record("resource", b"r%d" % i * 40_000 * (i % 3), WARC_Record_ID=f"<urn:{i}>") for i in range(9)]
+    whole = b"".join(records)
+    (tmp_path / "one.warc.gz").write_bytes(gzip.compress(whole))
+    (tmp_path / "few.warc.gz").write_bytes(b"".join(gzip.compress(b"".join(records[a:b])) for a, b in ((0, 4), (4, 5), (5, 9))))
+    rows = warc.read_warc(spark, str(tmp_path)).collect()
+    assert sorted((r.record_id, r.payload) for r in rows) == sorted((f"urn:{i}", b"r%d" % i * 40_000 * (i % 3)) for i in [*range(9)] * 2)
+    assert warc.read_warc(spark, str(tmp_path), payload=False).count() == 18
+    assert warc.read_warc(spark, str(tmp_path)).where("record_id = 'urn:7'").count() == 2
+
+
 def test_members_are_ordinary_gzip():
     data = warc.info_record() * 50
     assert gzip.decompress(warc.gzip_member(data) + warc.gzip_member(b"")) == data
