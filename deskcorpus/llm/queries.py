@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from deskcorpus.llm import (
+    best_fit,
     chosen_path,
     dedup_sql,
     digest_runs,
+    lexical,
+    lexical_sql,
     licenses,
     mixing,
     mixing_sql,
@@ -20,6 +23,7 @@ from deskcorpus.llm import (
     token_files,
     warc,
     warc_sql,
+    whitening,
 )
 from deskcorpus.llm.common import table
 from deskcorpus.stages import scratch_dir
@@ -67,6 +71,18 @@ def op10_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_table(table(spark, sf_dir, "documents"))
 
 
+def op11_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit.pack_table(table(spark, sf_dir, "documents"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten_table(table(spark, sf_dir, "embeddings"))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search_table(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_warc_round_trip": op1_warc_round_trip,
     "op2_near_duplicates": op2_near_duplicates,
@@ -78,6 +94,9 @@ QUERIES = {
     "op8_license_scan": op8_license_scan,
     "op9_token_files": op9_token_files,
     "op10_quality_cascade": op10_quality_cascade,
+    "op11_best_fit": op11_best_fit,
+    "op12_whitening": op12_whitening,
+    "op13_lexical_search": op13_lexical_search,
 }
 ORACLES = {
     "op1_warc_round_trip": warc_sql.WARC_SQL,
@@ -85,4 +104,5 @@ ORACLES = {
     "op6_digest_runs": dedup_sql.DEDUP_SQL,
     "op7_preference_pairs": preference_sql.PREFERENCE_SQL,
     "op10_quality_cascade": quality_sql.QUALITY_SQL,
+    "op13_lexical_search": lexical_sql.SEARCH_SQL,
 }
