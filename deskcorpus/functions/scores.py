@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -70,6 +72,76 @@ def lcs_length(left: pa.Array, right: pa.Array) -> pa.Array:
     return pa.array([length(a or "", b or "") for a, b in pairs], type=pa.int32())
 
 
+def lcs_places(first: list[str], second: list[str]) -> list[int]:
+    """Places in ``first`` of one longest common subsequence, ascending. Of several, the one
+    met by going back from the ends, stepping to an earlier token of ``second`` only where
+    one of ``first`` would lose length, as published scores do.
+
+    Each token of ``second`` leaves the places at which the length grows as bits of one
+    integer, so the table takes a bit per cell."""
+    at: dict[str, int] = {}
+    for i, token in enumerate(first):
+        at[token] = at.get(token, 0) | (1 << i)
+    full = (1 << len(first)) - 1
+    row, grows = full, []
+    for token in second:
+        hit = row & at.get(token, 0)
+        row = ((row + hit) | (row - hit)) & full
+        grows.append(full ^ row)
+    i, j, places = len(first) - 1, len(second) - 1, []
+    while i >= 0 and j >= 0:
+        if first[i] == second[j]:
+            places.append(i)
+            i, j = i - 1, j - 1
+        elif grows[j] >> i & 1:
+            j -= 1
+        else:
+            i -= 1
+    return places[::-1]
+
+
+def summary_hits(prediction: list[list[str]], reference: list[list[str]]) -> int:
+    """Tokens of the reference that its lines have in common with the prediction's: each
+    line's union of its longest common subsequences with all lines of the prediction, no
+    token counted more often than either side has it. Lines without a token in common are
+    never compared, and equal lines once."""
+    lines = list(dict.fromkeys(map(tuple, prediction)))
+    holders: dict[str, list[int]] = {}
+    for k, line in enumerate(lines):
+        for token in set(line):
+            holders.setdefault(token, []).append(k)
+    left = Counter(t for line in prediction for t in line) & Counter(t for line in reference for t in line)
+    known: dict[tuple[str, ...], list[int]] = {}
+    hits = 0
+    for line in map(tuple, reference):
+        if line not in known:
+            related = sorted({k for token in set(line) for k in holders.get(token, ())})
+            known[line] = sorted({i for k in related for i in lcs_places(line, lines[k])})
+        for i in known[line]:
+            if left[line[i]] > 0:
+                left[line[i]] -= 1
+                hits += 1
+    return hits
+
+
+@F.arrow_udf(IntegerType())
+def summary_overlap(prediction: pa.Array, reference: pa.Array) -> pa.Array:
+    """:func:`summary_hits` of two texts, tokens joined by spaces and lines by line breaks."""
+
+    def lines(text: str | None) -> list[list[str]]:
+        return [line.split() for line in (text or "").split("\n")]
+
+    pairs = zip(prediction.to_pylist(), reference.to_pylist())
+    return pa.array([summary_hits(lines(p), lines(r)) for p, r in pairs], type=pa.int32())
+
+
+def rouge_lines(col: Column, stemmer=None) -> Column:
+    """The tokens of :func:`rouge_tokens`, joined by spaces, with the line breaks kept."""
+    return F.array_join(
+        F.transform(F.split(as_text(col), "\n"), lambda line: F.array_join(rouge_tokens(line, stemmer), " ")), "\n"
+    )
+
+
 def bleu_score(hits: list[Column], totals: list[Column], sys_len: Column, ref_len: Column) -> Column:
     """Corpus BLEU (0-100) from summed matches and totals per order. An order
     without a match is smoothed by a halving factor, one without n-grams gives 0."""

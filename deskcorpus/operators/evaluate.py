@@ -12,7 +12,9 @@ from deskcorpus.functions.scores import (
     f1,
     gram_total,
     lcs_length,
+    rouge_lines,
     rouge_tokens,
+    summary_overlap,
 )
 from deskcorpus.functions.tokens import clipped_overlap, ngrams
 from deskcorpus.stages import evaluate_once
@@ -81,6 +83,28 @@ def rouge_per_row(
     return staged.withColumns(scores).select(*df.columns, *scores)
 
 
+def rouge_summary_per_row(
+    df: DataFrame, prediction: str = "prediction", reference: str = "response", stemmer=None
+) -> DataFrame:
+    """Add rougeLsum (A13): every line of the reference is compared with all lines of the
+    prediction. Null texts count as empty and score 0; where neither text has a line break
+    the score is rougeL. Map-only, like :func:`rouge_per_row`."""
+    staged = evaluate_once(
+        df, {"_p": rouge_lines(F.col(prediction), stemmer), "_r": rouge_lines(F.col(reference), stemmer)}
+    )
+    sizes = [F.size(F.array_remove(F.split(F.col(c), r"[ \n]+"), "")) for c in ("_p", "_r")]
+    score = f1(summary_overlap("_p", "_r"), *sizes)
+    return staged.withColumn("rougeLsum", score).select(*df.columns, "rougeLsum")
+
+
+def rouge_summary(
+    df: DataFrame, prediction: str = "prediction", reference: str = "response", stemmer=None
+) -> DataFrame:
+    """Mean rougeLsum, one row; 0 for an empty table."""
+    scored = rouge_summary_per_row(df, prediction, reference, stemmer)
+    return scored.agg(F.coalesce(F.avg("rougeLsum"), F.lit(0.0)).alias("rougeLsum"))
+
+
 def _rouge_means() -> list[Column]:
     return [
         F.coalesce(F.avg(c), F.lit(0.0)).alias(c) for c in ("rouge1", "rouge2", "rougeL")

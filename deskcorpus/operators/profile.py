@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import heapq
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,7 +13,8 @@ from pyspark.sql import types as T
 
 from deskcorpus.functions.text import WORD, as_text_nan
 from deskcorpus.operators.dedup import row_digest
-from deskcorpus.operators.ranking import exact_quantiles
+from deskcorpus.operators.ranking import radix_quantiles
+from deskcorpus.stages import materialize
 
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -83,15 +86,10 @@ def _long(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def describe_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """count, mean, std, min, exact quartiles and max per numeric column.
 
-    Values are first counted per distinct value with map-side combining; quartiles
-    are then found by narrowing intervals, never by one task sorting a column."""
+    Quartiles are found by counting digits of the values, so no value is shuffled however
+    many distinct ones a column has."""
     stats = _moments(df, columns)
-    counts = (
-        _long(df, columns)
-        .groupBy("name", "value")
-        .agg(F.count(F.lit(1)).alias("weight"))
-    )
-    return exact_quantiles(counts, stats, QUARTILES).select(
+    return radix_quantiles(_long(df, columns), stats, QUARTILES).select(
         "name",
         F.col("total").alias("count"),
         "mean",
@@ -197,6 +195,24 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
     )
 
 
+def value_counts_all(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(name, value, count): :func:`value_counts` of several columns, of any types, in one
+    scan and one shuffle by grouping sets (A08). Values are shown as text, nested ones as
+    JSON; missing ones, NaN included, are left out. Counts combine on the map side, so a
+    frequent value reaches the reducers as a row per task."""
+    shown = df.select(*[_as_shown(df, c).alias(f"v{i}") for i, c in enumerate(columns)])
+    sets = [[F.col(f"v{i}")] for i in range(len(columns))]
+    # the bit of a column is 0 where the rows are grouped by it
+    at = F.lit(len(columns) - 1) - F.log2((F.lit((1 << len(columns)) - 1) - F.grouping_id()).cast("double"))
+    counted = shown.groupingSets(sets, *[F.col(f"v{i}") for i in range(len(columns))]).agg(
+        at.cast("int").alias("_at"), F.count(F.lit(1)).alias("count")
+    )
+    names = F.array(*map(F.lit, columns))
+    values = F.coalesce(*[F.col(f"v{i}") for i in range(len(columns))])
+    named = counted.select(F.get(names, F.col("_at")).alias("name"), values.alias("value"), "count")
+    return named.where("value is not null").orderBy("name", F.desc("count"), "value")
+
+
 def histogram(df: DataFrame, column: str, bins: int = 40) -> DataFrame:
     """Equal-width histogram with a closed last bin, empty bins included.
     The range comes in as a scalar subquery over the same column."""
@@ -237,6 +253,14 @@ def default_stop_words() -> list[str]:
     return StopWordsRemover.loadDefaultStopWords("english")
 
 
+def _terms(df: DataFrame, columns: Sequence[str], stop: Sequence[str]) -> DataFrame:
+    text = F.lower(F.concat_ws(" ", *[as_text_nan(F.col(c)) for c in columns]))
+    pattern = rf"[{WORD}][{WORD}']*"
+    return df.select(
+        F.explode(F.regexp_extract_all(text, F.lit(pattern), F.lit(0))).alias("term")
+    ).where(~F.col("term").isin(*stop) & ~F.col("term").rlike(r"^\p{N}+$"))
+
+
 def term_counts(
     df: DataFrame,
     columns: Sequence[str],
@@ -247,11 +271,72 @@ def term_counts(
     words and bare numbers (A11). Counting combines on the map side, so even the
     commonest word reaches the reducer as one row per task."""
     stop = default_stop_words() if stop_words is None else stop_words
-    text = F.lower(F.concat_ws(" ", *[as_text_nan(F.col(c)) for c in columns]))
-    pattern = rf"[{WORD}][{WORD}']*"
-    terms = df.select(
-        F.explode(F.regexp_extract_all(text, F.lit(pattern), F.lit(0))).alias("term")
-    ).where(~F.col("term").isin(*stop) & ~F.col("term").rlike(r"^\p{N}+$"))
-    counted = terms.groupBy("term").agg(F.count(F.lit(1)).alias("count"))
+    counted = _terms(df, columns, stop).groupBy("term").agg(F.count(F.lit(1)).alias("count"))
     ordered = counted.orderBy(F.desc("count"), "term")
     return ordered.limit(top) if top is not None else ordered
+
+
+# --- frequent terms without a shuffle of the vocabulary ---------------------------
+
+CAPACITY = 20_000
+
+
+def term_summaries(terms: DataFrame, capacity: int) -> DataFrame:
+    """(term, least) of each task's bounded summary of its ``terms``, and a row with a null
+    term for what a count may fall short by. A term's true count is at least the sum of
+    its ``least`` and at most that plus the sum of all shortfalls.
+
+    A summary that outgrows twice its capacity takes the count of the first term beyond it off
+    all terms and forgets those without any left, so the shortfall is at most the terms seen
+    over the capacity."""
+
+    def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: dict[str, int] = {}
+        short = 0
+
+        def shrink() -> int:
+            nonlocal counts
+            cut = heapq.nlargest(capacity + 1, counts.values())[-1]
+            counts = {t: c - cut for t, c in counts.items() if c > cut}
+            return cut
+
+        for batch in batches:
+            seen = batch.column(0).value_counts()
+            for t, c in zip(seen.field(0).to_pylist(), seen.field(1).to_pylist()):
+                counts[t] = counts.get(t, 0) + c
+                if len(counts) > 2 * capacity:
+                    short += shrink()
+        if len(counts) > capacity:
+            short += shrink()
+        names = pa.array([None, *counts], pa.string())
+        yield pa.RecordBatch.from_arrays([names, pa.array([short, *counts.values()], pa.int64())], names=["term", "least"])
+
+    return terms.mapInArrow(summarise, "term string, least long")
+
+
+def frequent_terms(
+    df: DataFrame,
+    columns: Sequence[str],
+    top: int,
+    stop_words: Sequence[str] | None = None,
+    capacity: int = CAPACITY,
+) -> DataFrame:
+    """The same terms and counts as :func:`term_counts` with ``top`` (A11), for vocabularies
+    too large to shuffle. Tasks send at most ``capacity`` terms each; what may be among the
+    top by the merged bounds, at most ``capacity`` terms too, is counted exactly in a second
+    pass. Where the bounds cannot prove that no other term belongs there, the whole vocabulary
+    is counted instead, so the result is exact in any case."""
+    stop = default_stop_words() if stop_words is None else stop_words
+    terms = _terms(df, columns, stop)
+    merged = materialize(term_summaries(terms, capacity).groupBy("term").agg(F.sum("least").alias("least")))
+    short = merged.where("term is null").agg(F.coalesce(F.sum("least"), F.lit(0))).first()[0]
+    known = merged.where("term is not null")
+    best = known.orderBy(F.desc("least")).limit(top).agg(F.min("least"), F.count(F.lit(1))).first()
+    enough = best[0] if best[1] == top else 0
+    survivors = known.where(F.col("least") + short >= enough).select("term")
+    # a term in no summary has a count of at most the shortfall
+    if (short and short >= enough) or survivors.limit(capacity + 1).count() > capacity:
+        return term_counts(df, columns, top, stop_words)
+    counted = terms.join(F.broadcast(survivors), "term", "left_semi")  # at most capacity rows
+    ordered = counted.groupBy("term").agg(F.count(F.lit(1)).alias("count"))
+    return ordered.orderBy(F.desc("count"), "term").limit(top)

@@ -8,6 +8,7 @@ rows that are to be kept are never moved; they are compared with the cut value.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -224,3 +225,102 @@ def _refine(
             *identity, "low", "high", F.expr("local - (upto - size)").alias("local")
         )
     )
+
+
+# --- quantiles by radix narrowing ------------------------------------------------
+
+DIGIT_BITS = 16
+DIGITS = 64 // DIGIT_BITS
+TOP_BIT = -(1 << 63)
+
+
+def ordered_image(value: Column) -> Column:
+    """A double as a 64-bit integer that orders like it: the bits of the number, with all but
+    the sign flipped below zero. Both zeros have one image, null has none."""
+    number = F.coalesce(value, F.lit(0.0)) + F.lit(0.0)
+    bits = F.call_function("reflect", F.lit("java.lang.Double"), F.lit("doubleToLongBits"), number).cast("bigint")
+    flipped = lambda b: b.bitwiseXOR(F.shiftright(b, 63).bitwiseAND(F.lit((1 << 63) - 1)))
+    # a function over an array of one element names the bits, which are costly to find
+    return F.when(value.isNotNull(), F.get(F.transform(F.array(bits), flipped), F.lit(0)))
+
+
+def _digit(value: Column, place: int) -> Column:
+    """Digit ``place`` of the image, the highest being 0, in the order of the values."""
+    unsigned = ordered_image(value).bitwiseXOR(F.lit(TOP_BIT))
+    return F.shiftrightunsigned(unsigned, 64 - DIGIT_BITS * (place + 1)).bitwiseAND(F.lit((1 << DIGIT_BITS) - 1))
+
+
+def radix_counts(values: DataFrame, spans: DataFrame, place: int) -> DataFrame:
+    """Per name, span of values and digit: how many values, the smallest and the largest.
+    Values are only counted, on the map side first, so that a task sends a row per counter
+    at most, and none of the values. ``spans`` (name, low, high) is broadcast: it has a row
+    per rank that is sought."""
+    v, s = values.alias("v"), F.broadcast(spans).alias("s")
+    inside = (F.col("v.name") == F.col("s.name")) & F.col("v.value").between(F.col("s.low"), F.col("s.high"))
+    return (
+        v.join(s, inside)
+        .groupBy("s.name", "s.low", _digit(F.col("v.value"), place).alias("digit"))
+        .agg(
+            F.count(F.lit(1)).alias("size"),
+            F.min("v.value").alias("first"),
+            F.max("v.value").alias("last"),
+        )
+    )
+
+
+def radix_quantiles(
+    values: DataFrame, bounds: DataFrame, probabilities: Sequence[float]
+) -> DataFrame:
+    """Linear-interpolation quantiles per group, like :func:`exact_quantiles`, from the values
+    themselves: ``values`` holds (name, value) rows without missing ones, ``bounds`` (name,
+    low, high, total) and maybe more, one row per name.
+
+    Each round counts the values around every wanted rank by their next 16 bits and goes
+    on with the span of one count. Four rounds tell any two doubles apart, so nothing is
+    ever ordered or shuffled but counters; columns of few distinct values need fewer.
+    Driver and broadcasts hold two ranks per name and probability."""
+    spark = values.sparkSession
+    known = [r.asDict() for r in bounds.select("name", "low", "high", "total").collect()]
+    sought = {}
+    for row in known:
+        for p in probabilities if row["total"] else ():
+            place = (row["total"] - 1) * float(p)
+            for rank in (math.floor(place) + 1, math.ceil(place) + 1):
+                sought[row["name"], rank] = {"low": row["low"], "high": row["high"], "local": rank}
+    for place in range(DIGITS):
+        wide = {key: s for key, s in sought.items() if s["low"] != s["high"]}
+        if not wide:
+            break
+        targets = spark.createDataFrame(
+            [(name, rank, s["low"], s["high"], s["local"]) for (name, rank), s in wide.items()],
+            "name string, rank long, low double, high double, local long",
+        )
+        counts = radix_counts(values, targets.select("name", "low", "high").distinct(), place)
+        upto = (
+            Window.partitionBy("name", "low")
+            .orderBy("digit")
+            .rowsBetween(Window.unboundedPreceding, 0)
+        )
+        cells = counts.withColumn("upto", F.sum("size").over(upto))
+        found = (
+            cells.join(F.broadcast(targets), ["name", "low"])  # a row per rank sought
+            .where("upto >= local and upto - size < local")
+            .select("name", "rank", "first", "last", F.expr("local - (upto - size)").alias("local"))
+        )
+        for r in found.collect():
+            sought[r["name"], r["rank"]] = {"low": r["first"], "high": r["last"], "local": r["local"]}
+    rows = []
+    for row in known:
+        ends = []
+        for p in probabilities:
+            place = (row["total"] - 1) * float(p)
+            if not row["total"]:
+                ends += [None]
+                continue
+            low, high = (sought[row["name"], math.floor(place) + 1]["low"], sought[row["name"], math.ceil(place) + 1]["low"])
+            share = place - math.floor(place)
+            ends += [low + (high - low) * share if share and low != high else low]
+        rows.append((row["name"], *ends))
+    names = [f"q{round(p * 100)}" for p in probabilities]
+    found = spark.createDataFrame(rows, ", ".join(["name string", *[f"{n} double" for n in names]]))
+    return bounds.join(F.broadcast(found), "name", "left").select(*bounds.columns, *names)  # a row per name

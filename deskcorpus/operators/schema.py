@@ -66,3 +66,20 @@ def standardize(df: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
         F.col(response).alias("response"),
         *(F.col(c) for c in extra if c not in carry),
     )
+
+
+def standardize_mapped(df: DataFrame, names: dict[str, str], carry: Sequence[str] = ()) -> DataFrame:
+    """Like :func:`standardize`, with the columns that a stored column map names (S12). A
+    map that names a missing column is an error: it belongs to another table."""
+    wanted = [names["text_col"], names["response_col"]]
+    absent = [n for n in wanted if n not in df.columns]
+    if absent:
+        raise ValueError(f"the column map names {absent}, not among {df.columns}")
+    text, response = (F.col(f"`{n}`") for n in wanted)
+    extra = [c for c in ("category", *carry) if c in df.columns]
+    return df.select(
+        *(F.col(f"`{c}`") for c in extra if c in carry),
+        text.alias("instruction"),
+        response.alias("response"),
+        *(F.col(f"`{c}`") for c in extra if c not in carry),
+    )

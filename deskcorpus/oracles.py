@@ -266,6 +266,38 @@ def bigram_loss() -> str:
         from f left join c2 using (prev, word) left join c1 using (prev), v group by doc_id"""
 
 
+def backoff_loss(order: int = 3, d: float = 0.75) -> str:
+    """The model by its definition, order by order, for every place of the test texts."""
+    split = approx_split("select doc_id, text from documents", "doc_id")
+    some = range(1, order + 1)
+    words = "list_filter(regexp_split_to_array(lower(text), '\\s+'), lambda t: t <> '')"
+    steps, p = [], "1.0::double / (v + 1)"
+    for n in some:
+        raw = f"r where n = {n}" if n == order else f"""(select context[2:] as context, word
+            from r where n = {n + 1}) group by all"""
+        count = "count" if n == order else "count(*) as count"
+        steps.append(f"g{n} as materialized (select context, word, {count} from {raw})")
+        steps.append(f"h{n} as materialized (select context, sum(count) as total, count(*) as kinds from g{n} group by all)")
+    joins = ""
+    for n in some:
+        tail = f"f.context[len(f.context) - {n - 2}:]" if n > 1 else "f.context[1:0]"
+        joins += f""" left join h{n} on f.n >= {n} and h{n}.context = {tail}
+            left join g{n} on f.n >= {n} and g{n}.context = {tail} and g{n}.word = f.word"""
+        p = f"""case when h{n}.total is null then {p} else greatest(coalesce(g{n}.count, 0) - {d}::double, 0) / h{n}.total
+            + {d}::double * h{n}.kinds / h{n}.total * ({p}) end"""
+    places = f"""select *, unnest(range(1, len(w) + 1)) as i from (select *, {words} as w from s)"""
+    return f"""with s as materialized ({split}),
+        places as materialized ({places}),
+        r as materialized (select n, context, word, count(*) as count from (
+            select n, w[i - n + 1:i - 1] as context, w[i] as word
+            from (select *, unnest(range(1, least(i, {order}) + 1)) as n from places where split = 'train')) group by all),
+        v as (select count(*) as v from r where n = 1),
+        {", ".join(steps)},
+        f as materialized (select doc_id, least(i, {order}) as n, w[i] as word,
+                  w[i - least(i, {order}) + 1:i - 1] as context from places where split = 'test')
+        select doc_id, round(avg(-ln({p})), 6) as loss from f {joins}, v group by doc_id"""
+
+
 def packed(length: int, shards: int, keep_tail: bool) -> str:
     shard = f"(('0x' || substr(md5('42:' || doc_id::varchar), 1, 8))::bigint % {shards})::int"
     full = "" if keep_tail else f"where n_tokens = {length}"
@@ -390,11 +422,22 @@ def build() -> dict[str, str]:
             union all select 'document', doc_id, text from documents)""",
         "guardrail_keywords": f"""select doc_id, {on_topic('text', DATA_KEYWORDS)} as whole_word,
             {on_topic('text', DATA_KEYWORDS, False)} as prefix from documents""",
+        "guardrail_phrases": rf"""with d as (select doc_id, regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}_]+') as w from documents),
+            b as (select regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}_]+') as w from benchmark),
+            p as (select distinct array_to_string(w[i:i + 2], ' ') as phrase, 3 as k
+                  from (select w, unnest(range(1, len(w) - 1)) as i from b)
+                  union all select unnest([{names(DATA_KEYWORDS)}]), 1),
+            g as (select doc_id, i - 1 as position, k, array_to_string(w[i:i + k - 1], ' ') as phrase
+                  from (select *, unnest(range(1, len(w) + 1)) as i from d), (select distinct k from p)
+                  where i + k - 1 <= len(w))
+            select doc_id, phrase, position::int as position from g join p using (phrase, k)""",
         "guardrail_routed": f"""select pair_id, on_topic,
             case when on_topic then {model('instruction')} else {lit(OFF_TOPIC_REPLY)} end as reply
             from (select *, {on_topic('instruction', DATA_KEYWORDS)} as on_topic from ({PAIRS}))""",
         "dedup_keep_first": """select * from documents
             qualify row_number() over (partition by text order by doc_id) = 1""",
+        "stream_keep_first": """select * from documents
+            qualify row_number() over (partition by text order by doc_id) = 1""",
         "duplicate_counts": """select count(*) as n_rows, count(distinct (text, lang)) as n_distinct,
             count(*) - count(distinct (text, lang)) as n_duplicates from documents""",
         "duplicate_rows": """select sum(n)::bigint as n_rows, count(*) as n_distinct,
@@ -440,6 +483,20 @@ def build() -> dict[str, str]:
                    '[\p{{L}}\p{{N}}_][\p{{L}}\p{{N}}_'']*')) as term from documents)
             where term not in ({names(STOP_WORDS)}) and not regexp_full_match(term, '\p{{N}}+')
             group by 1 order by count desc, term limit 200""",
+        "frequent_terms": rf"""select term, count(*) as count from (
+            select unnest(regexp_extract_all(lower(source || ' ' || text),
+                   '[\p{{L}}\p{{N}}_][\p{{L}}\p{{N}}_'']*')) as term from documents)
+            where term not in ({names(STOP_WORDS)}) and not regexp_full_match(term, '\p{{N}}+')
+            group by 1 order by count desc, term limit 200""",
+        "value_counts_all": " union all ".join(
+            f"""select '{c}' as name, {c}::varchar as value, count(*) as count from ({source})
+                where {c} is not null group by all"""
+            for source, columns in (
+                ("select * from orders", ("o_orderstatus", "o_orderpriority")),
+                (LABELLED, ("lang", "source", "quality", "toxic")),
+            )
+            for c in columns
+        ),
         "sample_k": f"select * from documents {order_by_hash('doc_id')} limit 100",
         "cap_k": f"""select o_orderkey, o_custkey, o_orderstatus from orders
             {order_by_hash('o_orderkey')} limit 6000""",
@@ -464,7 +521,8 @@ def build() -> dict[str, str]:
             union all select pair_id, 2, 'assistant', {strip('response')} from ({PAIRS})""",
         "messages_open": f"""select doc_id, case when quality = 1 then 3 else 2 end as n,
             {strip('text')} as user from ({LABELLED})""",
-        "history_display": "select conv_id, turn, role, text as content from conversations",
+        "history_display": """select conv_id, cast(row_number() over (partition by conv_id order by turn) - 1 as integer)
+            as position, role, text as content from conversations""",
         "extract_response": f"""select pair_id, {strip('response')} as led,
             {strip(last(noisy_text, "'### Response:'"))} as marked,
             {strip(last('response', "'### Response:'"))} as plain,
@@ -500,22 +558,21 @@ def build() -> dict[str, str]:
         "eval_job": eval_job(),
         "perplexity": "select round(exp(avg(value / 100)), 6) as perplexity from events",
         "bigram_loss": bigram_loss(),
+        "backoff_loss": backoff_loss(),
         "loss_curves": """select event_id as step, case when event_type = 'view'
             then 'eval_loss' else 'train_loss' end as series, value from events""",
         "csv_roundtrip": "select * from documents",
+        "csv_ranges_roundtrip": "select * from documents",
         "jsonl_roundtrip": LABELLED,
         "split_roundtrip": floor_split("select * from documents", "doc_id"),
         "raw_copy": "select * from documents",
-        "column_map": "select 'instruction' as text_col, 'response' as response_col, count(*) as n from orders",
+        "column_map": "select doc_id, text as instruction, source as response from documents",
         "metrics_sink": report(PAIRS, "null::double"),
         "caller_tokens": """select doc_id, len(string_split(text, ' ')) as n_tokens from documents""",
         "order_status": """select o_orderkey, 'Order ' || o_orderkey || ': ' || o_orderstatus as message
             from orders""",
         "missing_predictions": f"""select pair_id, instruction, response as ground_truth,
             case when length(instruction) % 2 = 0 then instruction end as prediction from ({PAIRS})""",
-        "duplicate_messages": """select count(*) as n_rows, count(distinct m) as n_distinct,
-            count(*) - count(distinct m) as n_duplicates from (
-            select [{'role': role, 'content': left(text, 3)}] as m from conversations)""",
         "duplicate_exchanges": f"""select count(*) as n_rows, count(distinct m) as n_distinct,
             count(*) - count(distinct m) as n_duplicates from (
             select [{{'role': 'user', 'content': instruction}},

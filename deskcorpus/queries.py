@@ -14,13 +14,15 @@ from pyspark.sql import types as T
 from deskcorpus.functions import prompts as P
 from deskcorpus.functions import text as X
 from deskcorpus.functions import tokens as K
-from deskcorpus.operators import dedup, evaluate, filters, guardrail, profile, sampling, schema
+from deskcorpus.operators import dedup, evaluate, filters, guardrail, phrases, profile, sampling, schema
+from deskcorpus.operators.backoff import backoff_losses
 from deskcorpus.operators.generate import Generation, generate_replies
 from deskcorpus.operators.loss import bigram_losses
 from deskcorpus.operators.packing import pack
 from deskcorpus.plans import corpus, evaluation, preprocess
-from deskcorpus.sources import readers, writers
-from deskcorpus.stages import materialize, scratch_dir
+from deskcorpus.sources import csv_ranges, readers, writers
+from deskcorpus.stages import evaluate_once, materialize, scratch_dir
+from deskcorpus.streaming import dedup as stream_dedup
 from deskcorpus.streaming import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +31,7 @@ QUERIES: dict[str, Query] = {}
 STOP_WORDS = ("the", "of", "and", "to", "in", "is", "la", "de", "der", "die", "und", "que")
 DATA_KEYWORDS = ("hand", "stone", "ender", "thing", "des")
 PART_TYPES = ("ECONOMY", "SMALL")
+CSV_RANGE = 1 << 20
 
 
 def query(fn: Query) -> Query:
@@ -275,6 +278,17 @@ def guardrail_keywords(spark, sf_dir):
     )
 
 
+@query
+def guardrail_phrases(spark, sf_dir):
+    """Where single keywords and three-word phrases of the benchmark stand in documents."""
+    words = phrases.phrase_words(F.col("text"))
+    items = evaluate_once(table(spark, sf_dir, "benchmark").select("text"), {"w": words})
+    three = items.select(F.explode(K.ngrams(F.col("w"), 3)).alias("phrase")).distinct()
+    single = spark.createDataFrame([(w,) for w in DATA_KEYWORDS], "phrase string")
+    docs = table(spark, sf_dir, "documents")
+    return phrases.find_phrases(docs, "doc_id", "text", three.unionByName(single))
+
+
 @query
 def guardrail_routed(spark, sf_dir):
     routed = guardrail.route_replies(
@@ -301,15 +315,6 @@ def duplicate_rows(spark, sf_dir):
     return dedup.duplicate_count(table(spark, sf_dir, "documents").drop("doc_id"))
 
 
-@query
-def duplicate_messages(spark, sf_dir):
-    """Duplicates among arrays of messages."""
-    message = F.struct("role", F.substring("text", 1, 3).alias("content"))
-    return dedup.duplicate_count(
-        table(spark, sf_dir, "conversations").select(F.array(message).alias("messages"))
-    )
-
-
 @query
 def duplicate_exchanges(spark, sf_dir):
     """Duplicates among exchanges, arrays of a turn and its reply with their whole texts."""
@@ -408,7 +413,23 @@ def pct_over_limit(spark, sf_dir):
 @query
 def top_terms(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    return profile.term_counts(docs, ["source", "text"], STOP_WORDS, top=200)
+    return profile.term_counts(docs, ["source", "text"], top=200, stop_words=STOP_WORDS)
+
+
+@query
+def frequent_terms(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return profile.frequent_terms(docs, ["source", "text"], top=200, stop_words=STOP_WORDS)
+
+
+@query
+def value_counts_all(spark, sf_dir):
+    """All columns of few values of two tables, each in one scan."""
+    orders = table(spark, sf_dir, "orders")
+    docs = labelled(spark, sf_dir)
+    return profile.value_counts_all(orders, ["o_orderstatus", "o_orderpriority"]).unionByName(
+        profile.value_counts_all(docs, ["lang", "source", "quality", "toxic"])
+    )
 
 
 # --- sampling and splits ------------------------------------------------------
@@ -513,13 +534,12 @@ def messages_open(spark, sf_dir):
 
 @query
 def history_display(spark, sf_dir):
-    turns = table(spark, sf_dir, "conversations").select(
-        "conv_id",
-        "turn",
-        F.array(F.struct("role", F.col("text").alias("content"))).alias("history"),
+    """Whole histories, an ordered array of turns each, shown as message records."""
+    whole = corpus.histories(table(spark, sf_dir, "conversations"))
+    shown = whole.select("conv_id", P.history_messages(F.col("history")).alias("shown"))
+    return shown.select("conv_id", F.posexplode("shown").alias("position", "message")).select(
+        "conv_id", "position", "message.role", "message.content"
     )
-    shown = turns.select("conv_id", "turn", P.history_messages(F.col("history")).alias("shown"))
-    return shown.select("conv_id", "turn", F.inline("shown"))
 
 
 @query
@@ -619,6 +639,24 @@ def rouge_per_pair(spark, sf_dir):
     return rounded(out.select("pair_id", "rouge1", "rouge2", "rougeL"), "rouge1", "rouge2", "rougeL")
 
 
+@query
+def rouge_summary(spark, sf_dir):
+    """Documents against their own lines in another order: the first line moved to the end."""
+    first = F.regexp_extract("text", r"^[^\n]*", 0)
+    rest = F.regexp_replace("text", r"^[^\n]*\n?", "")
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", F.col("text").alias("response"), F.concat_ws("\n", rest, first).alias("prediction")
+    )
+    out = evaluate.rouge_summary_per_row(docs)
+    return rounded(out.select("doc_id", "rougeLsum"), "rougeLsum")
+
+
+@query
+def rouge_summary_pairs(spark, sf_dir):
+    out = evaluate.rouge_summary_per_row(scored_pairs(spark, sf_dir))
+    return rounded(out.select("pair_id", "rougeLsum"), "rougeLsum")
+
+
 @query
 def rouge_corpus(spark, sf_dir):
     out = evaluate.rouge(scored_pairs(spark, sf_dir))
@@ -682,6 +720,13 @@ def bigram_loss(spark, sf_dir):
     return rounded(bigram_losses(train, test, "doc_id", "text"), "loss")
 
 
+@query
+def backoff_loss(spark, sf_dir):
+    split = sampling.split_approx(table(spark, sf_dir, "documents"), "doc_id")
+    train, test = split.where("split = 'train'"), split.where("split = 'test'")
+    return rounded(backoff_losses(train, test, "doc_id", "text", order=3), "loss")
+
+
 @query
 def loss_curves(spark, sf_dir):
     train_row: Column = F.col("event_type") != "view"
@@ -704,6 +749,15 @@ def csv_roundtrip(spark, sf_dir):
     return readers.read_csv(spark, path, docs.schema)
 
 
+@query
+def csv_ranges_roundtrip(spark, sf_dir):
+    """One file of multi-line cells, read in many byte ranges."""
+    docs = table(spark, sf_dir, "documents")
+    path = scratch_dir(spark)
+    writers.write_csv(docs, path)
+    return csv_ranges.read_csv_ranges(spark, path, docs.schema, range_bytes=CSV_RANGE)
+
+
 @query
 def jsonl_roundtrip(spark, sf_dir):
     docs = labelled(spark, sf_dir)
@@ -738,11 +792,19 @@ def raw_copy(spark, sf_dir):
 
 @query
 def column_map(spark, sf_dir):
+    """Columns found by their aliases, written as a map, and the whole table standardised
+    through the map that is read back."""
+    raw = table(spark, sf_dir, "documents").select(
+        "doc_id", F.col("lang").alias("topic"), F.col("text").alias("question"), F.col("source").alias("reply")
+    )
     path = scratch_dir(spark)
-    writers.write_column_map(spark, "instruction", "response", path)
-    names = readers.read_column_map(spark, path)
-    counted = table(spark, sf_dir, "orders").agg(F.count(F.lit(1)).alias("n"))
-    return counted.select(*[F.lit(names[c]).alias(c) for c in ("text_col", "response_col")], "n")
+    writers.write_column_map(
+        spark,
+        schema.resolve(raw.columns, schema.INSTRUCTION_ALIASES),
+        schema.resolve(raw.columns, schema.RESPONSE_ALIASES),
+        path,
+    )
+    return schema.standardize_mapped(raw, readers.read_column_map(spark, path), carry=["doc_id"])
 
 
 @query
@@ -777,18 +839,31 @@ def preview_sample(spark, sf_dir):
     return readers.read_csv(spark, path, docs.schema)
 
 
-@query
-def stream_prepared(spark, sf_dir):
-    """The stateless steps run as a file stream over the whole documents table."""
+def document_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole documents table as a file stream."""
     docs_schema = T.StructType.fromDDL(
         "doc_id bigint, text string, lang string, source string, n_chars bigint"
     )
-    stream = (
+    return (
         spark.readStream.schema(docs_schema)
         .option("pathGlobFilter", "documents.parquet")
         .parquet(sf_dir)
     )
-    stream = stream.select(
+
+
+@query
+def stream_keep_first(spark, sf_dir):
+    """The first document of every text, found by keyed state."""
+    kept = stream_dedup.keep_first_stream(document_stream(spark, sf_dir), ["text"], ["doc_id"])
+    path = scratch_dir(spark)
+    prepare.start_sink(kept, f"{path}/out", f"{path}/state").awaitTermination()
+    return spark.read.schema(kept.schema).parquet(f"{path}/out")
+
+
+@query
+def stream_prepared(spark, sf_dir):
+    """The stateless steps run as a file stream over the whole documents table."""
+    stream = document_stream(spark, sf_dir).select(
         "doc_id",
         F.concat(F.lit("Document in "), "lang").alias("instruction"),
         F.col("text").alias("response"),

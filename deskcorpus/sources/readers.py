@@ -79,7 +79,7 @@ def read_csv(
     """CSV with a header, quoted cells and doubled quotes (S03); missing value strings
     become null in columns of any type. Cells may have line breaks with ``multi_line``,
     but such a file cannot be cut, so it is one task's work: pass False where no cell has
-    any, and files of every size are read in parallel."""
+    any, or use ``csv_ranges.read_csv_ranges``, and files of every size are read in parallel."""
     raw = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
     df = (
         spark.read.schema(raw)
@@ -94,6 +94,11 @@ def read_csv(
         )
         .csv(path)
     )
+    return typed_cells(df, schema, na_strings)
+
+
+def typed_cells(df: DataFrame, schema: T.StructType, na_strings: Sequence[str]) -> DataFrame:
+    """Cells read as strings in the types of ``schema``, missing value strings as null."""
     return df.select(
         *[
             F.when(~F.col(f"`{f.name}`").isin(*na_strings), F.col(f"`{f.name}`"))

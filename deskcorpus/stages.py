@@ -7,6 +7,7 @@ import re
 import shutil
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,19 +16,25 @@ from pyspark.sql import functions as F
 def scratch_dir(spark: SparkSession) -> str:
     """A fresh path in the shared folder named by ``spark.checkpoint.dir``.
 
-    Only a session whose executors are threads of this process sets a folder of its own
-    where the setting is missing, once, and removes it when the process ends; a cluster
-    must name one that every executor can reach."""
+    Only a session whose executors are threads of this process gets a folder of its own
+    where the setting is missing, one per application, removed when the process ends (a
+    running session's setting cannot be changed, so it is remembered here); a cluster must
+    name one that every executor can reach."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        root = tempfile.mkdtemp(prefix="deskcorpus-")
-        atexit.register(shutil.rmtree, root, ignore_errors=True)
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _own_folder(spark.sparkContext.applicationId)
     return f"{root.rstrip('/')}/deskcorpus-{uuid.uuid4().hex}"
 
 
+@cache
+def _own_folder(application: str) -> str:
+    root = tempfile.mkdtemp(prefix="deskcorpus-")
+    atexit.register(shutil.rmtree, root, ignore_errors=True)
+    return root
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` as Parquet in scratch space and read it back. Use it where a
     costly result is read more than once: it cuts the lineage, survives the loss

@@ -1,8 +1,8 @@
 """Cleaning, filtering, formatting and threshold splits on a stream of pairs.
 
 These steps look at one row at a time, so they are the same expressions as in batch
-and keep no state. Deduplication and exact splits need the whole table and are left
-to the batch job that reads the stream's output."""
+and keep no state. Deduplication, which does, is in :mod:`deskcorpus.streaming.dedup`. Exact
+splits need the whole table and are left to the batch job that reads the stream's output."""
 
 from __future__ import annotations
 
@@ -28,12 +28,14 @@ def prepare_pairs(pairs: DataFrame, key: str) -> DataFrame:
 
 
 def start_sink(stream: DataFrame, path: str, checkpoint: str, **trigger):
-    """Append to Parquet partitioned by split; offsets live in ``checkpoint``."""
+    """Append to Parquet, partitioned by split if there is one; offsets and state live in
+    ``checkpoint``."""
+    writer = stream.writeStream.format("parquet")
+    if "split" in stream.columns:
+        writer = writer.partitionBy("split")
     return (
-        stream.writeStream.format("parquet")
-        .option("path", path)
+        writer.option("path", path)
         .option("checkpointLocation", checkpoint)
-        .partitionBy("split")
         .outputMode("append")
         .trigger(**(trigger or {"availableNow": True}))
         .start()

@@ -284,3 +284,33 @@ def test_loss_with_a_hot_pair_unseen_in_training(spark):
     got = {r.id: r.loss for r in loss.bigram_losses(train, test, "id", "text").collect()}
     p = lambda n, m: -math.log((n + 1) / (m + 4))
     assert got[2] == pytest.approx(p(0, 0)) and got[3] == pytest.approx(p(2, 2))
+
+
+TURN = "conv_id long, turn long, role string, text string"
+
+
+def test_turns_without_a_place_and_repeated_numbers(spark):
+    turns = [(None, 0, "user", "lost"), (None, 1, "assistant", "lost too"), (1, None, "user", "nowhere"), (1, 0, "user", "q")]
+    turns += [(1, 1, "assistant", "b"), (1, 1, "assistant", "a"), (1, 1, "assistant", None), (2, 0, None, None), (2, 1, "assistant", "x")]
+    df = spark.createDataFrame(turns, TURN).repartition(3)
+    assert [tuple(r) for r in corpus.reply_pairs(df).collect()] == [("1:0", "q", None)]
+    assert corpus.reply_pairs(df.limit(0)).collect() == [] and corpus.histories(df.limit(0)).collect() == []
+    got = {r.conv_id: [tuple(t) for t in r.history] for r in corpus.histories(df).collect()}
+    assert got == {
+        1: [("user", "q"), ("assistant", None), ("assistant", "a"), ("assistant", "b")],
+        2: [(None, None), ("assistant", "x")],
+    }
+
+
+def test_pairs_filter_before_anything_moves(spark, sf_dir):
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    plan = corpus.reply_pairs(turns)._jdf.queryExecution().executedPlan().toString()
+    scans = [part for part in plan.split("Filter (")[1:] if "FileScan" in part.split("Filter (")[0]]
+    assert len(scans) >= 2 and all("isnotnull(conv_id" in x and "isnotnull(turn" in x for x in scans)
+
+
+def test_histories_of_long_conversations(spark):
+    turns = [(1, t, "user", f"t{t}") for t in range(2500)] + [(2, 7, "user", "only")]
+    got = {(r.conv_id, r.stretch): [t.content for t in r.history] for r in corpus.histories(spark.createDataFrame(turns, TURN)).collect()}
+    assert got[2, 0] == ["only"] and [len(got[1, s]) for s in range(3)] == [1000, 1000, 500]
+    assert sum((got[1, s] for s in range(3)), []) == [f"t{t}" for t in range(2500)]

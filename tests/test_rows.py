@@ -276,3 +276,51 @@ def test_duplicate_exchanges_read_whole_texts(spark, tmp_path):
     spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
     got = entry.queries()["duplicate_exchanges"](spark, str(tmp_path)).first()
     assert (got.n_rows, got.n_distinct, got.n_duplicates) == (5, 4, 1)
+
+
+@pytest.mark.parametrize("spread", ["exp(id / 100 - 500)", "id", "if(id = 0, 1e300, id)", "if(id < 10, double('infinity'), -exp(id / 1000))", "id % 3 - 1", "0.0", "if(id % 3 = 0, -0.0, 0.0)"])
+def test_radix_quantiles(spark, spread):
+    values = spark.range(0, 20_000, 1, 8).selectExpr("'x' as name", f"double({spread}) as value")
+    bounds = values.groupBy("name").agg(F.min("value").alias("low"), F.max("value").alias("high"), F.count("value").alias("total"))
+    got = ranking.radix_quantiles(values, bounds, (0.0, 0.1, 0.5, 0.9, 1.0)).first()
+    ordered = sorted(r.value for r in values.collect())
+    for p, q in ((0.0, got.q0), (0.1, got.q10), (0.5, got.q50), (0.9, got.q90), (1.0, got.q100)):
+        at = (len(ordered) - 1) * p
+        low, high = ordered[int(at)], ordered[min(int(at) + 1, len(ordered) - 1)]
+        assert q == (low if low == high else pytest.approx(low + (high - low) * (at - int(at)), rel=1e-12))
+
+
+def test_image_orders_like_the_numbers(spark):
+    inf = float("inf")
+    numbers = [-inf, -1e300, -2.0, -1.0000000000000002, -1.0, -5e-324, 0.0, 5e-324, 1.0, 1.0000000000000002, 1e300, inf]
+    df = spark.createDataFrame([(v,) for v in [*numbers, -0.0]], "v double").select("v", ranking.ordered_image(F.col("v")).alias("i"))
+    images = {str(r.v): r.i for r in df.collect()}
+    assert [images[str(v)] for v in numbers] == sorted(images[str(v)] for v in numbers) and len(set(images.values())) == len(numbers)
+    assert images["-0.0"] == images["0.0"]
+
+
+def test_only_counters_are_shuffled(spark):
+    """100,000 distinct values in 8 tasks send a row per counter and task at most."""
+    values = spark.range(0, 100_000, 1, 8).selectExpr("'x' as name", "id / 7 + 1000 as value")
+    spans = spark.createDataFrame([("x", 1000.0, 20000.0)], "name string, low double, high double")
+    counts = ranking.radix_counts(values, spans, 0)
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    exchange = plan.index("Exchange hashpartitioning(name")
+    assert "partial_count" in plan[exchange:] and plan.count("Exchange hashpartitioning") == 1
+    rows = counts.collect()
+    assert sum(r["size"] for r in rows) == 100_000 and len(rows) <= 80  # 16 steps to a doubling
+    per_task = values.groupBy(F.spark_partition_id(), ranking._digit(F.col("value"), 0)).count()
+    assert per_task.count() <= 8 * 80
+
+
+def test_column_map_standardises_a_table(spark, tmp_path):
+    from deskcorpus.sources import readers, writers
+
+    df = spark.createDataFrame([(1, None, "a", "c"), (2, "q", None, None)], "id int, `my question` string, a string, category string")
+    writers.write_column_map(spark, "my question", "a", f"{tmp_path}/m")
+    names = readers.read_column_map(spark, f"{tmp_path}/m")
+    got = schema.standardize_mapped(df, names, carry=["id"])
+    assert got.columns == ["id", "instruction", "response", "category"]
+    assert [tuple(r) for r in got.orderBy("id").collect()] == [(1, None, "a", "c"), (2, "q", None, None)]
+    with pytest.raises(ValueError, match="my question"):
+        schema.standardize_mapped(df.drop("my question"), names)

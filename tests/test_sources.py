@@ -1,6 +1,10 @@
 """Readers, writers and streams."""
 
 import json
+import os
+import subprocess
+import sys
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
@@ -138,12 +142,28 @@ def test_scratch_space(spark, tmp_path):
         stages.scratch_dir(fake_session("spark://h", None))
     with pytest.raises(ValueError):
         stages.scratch_dir(fake_session("local-cluster[2,1,1024]", None))
-    alone = fake_session("local[2]", None)
-    first, second = stages.scratch_dir(alone), stages.scratch_dir(alone)
-    assert first != second and first.startswith(alone.conf.get("spark.checkpoint.dir"))
     assert stages.materialize(spark.range(5)).count() == 5
 
 
+ALONE = """
+from pyspark.sql import SparkSession
+from deskcorpus import stages
+session = SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false").getOrCreate()
+assert not session.conf.get("spark.checkpoint.dir", None)
+one, two = stages.scratch_dir(session), stages.scratch_dir(session)
+assert one != two and one.rsplit("/", 1)[0] == two.rsplit("/", 1)[0]
+print("rows", stages.materialize(session.range(5)).count())
+"""
+
+
+def test_scratch_space_of_a_session_without_the_setting(tmp_path):
+    plain = {k: v for k, v in os.environ.items() if not k.startswith(("SPARK", "PYSPARK"))} | {"SPARK_CONF_DIR": str(tmp_path)}
+    done = subprocess.run(
+        [sys.executable, "-c", ALONE], capture_output=True, text=True, timeout=300, cwd=Path(__file__).parent.parent, env=plain
+    )
+    assert "rows 5" in done.stdout, done.stderr[-2000:]
+
+
 def test_evaluate_once_blocks_copies_but_not_pushdown(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     once = stages.evaluate_once(docs, {"text": F.lower("text")})
