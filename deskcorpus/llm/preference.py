@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from deskcorpus.llm.common import HOT_SHARE, hot_lookup
+from deskcorpus.operators.running import prefix_sums
 from deskcorpus.stages import materialize
 
 
@@ -30,6 +31,7 @@ class Template:
 
 
 FIRST = -(1 << 63)
+PAIR_TURNS = 1000
 
 
 def _turns(df: DataFrame, key: str, turn: str, role: str, text: str) -> DataFrame:
@@ -102,29 +104,59 @@ def preference_segments(
     )
 
 
-def assemble(segments: DataFrame) -> DataFrame:
-    """(conv_id, prompt, chosen, rejected, chosen_spans, rejected_spans), a row per pair:
-    rendered texts, and the character spans of each completion that are trained on. A
-    pair has to fit in a task here; segments are for conversations of any length."""
-    piece = F.struct("turn", "role", "opening", "content", "loss")
+def _stretches(segments: DataFrame, limit: int) -> DataFrame:
+    """``segments`` with ``stretch``: 0 for conversations of up to ``limit`` turns on both
+    sides together; longer ones are numbered through in order and cut every ``limit``."""
+    zero = F.lit(0).cast("long").alias("stretch")
+    flagged = segments.withColumn("_null", F.col("conv_id").isNull()).withColumn("_conv", F.coalesce("conv_id", F.lit(0)))
+    sizes = flagged.groupBy("_null", "_conv").agg(F.count(F.lit(1)).alias("_n"))
+    long_ones = materialize(sizes.where(F.col("_n") > limit).withColumn("_long", F.lit(True)))
+    if long_ones.isEmpty():
+        return segments.select("*", zero)
+    total = segments.count()
+    marked = materialize(hot_lookup(flagged, long_ones, ["_null", "_conv"], "_n", total))
+    short = marked.where("_long is null").select(*segments.columns, zero)
+    order = ["_null", "_conv", "_place", "part", "role", "content", "_row"]
+    rows = marked.where("_long").withColumns(
+        {"_place": _place(), "_one": F.lit(1), "_row": F.monotonically_increasing_id()}
+    )
+    placed = materialize(prefix_sums(rows, order, "_one", "_nth"))
+    first = placed.groupBy("_null", "_conv").agg(F.min("_nth").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    found = hot_lookup(placed, materialize(first), ["_null", "_conv"], "_n", total)
+    cut = found.withColumn("stretch", F.expr(f"(_nth - _first) div {limit}"))
+    return short.unionByName(cut.select(*segments.columns, "stretch"))
+
+
+def assemble(segments: DataFrame, limit: int = PAIR_TURNS) -> DataFrame:
+    """(conv_id, stretch, prompt, chosen, rejected, chosen_spans, rejected_spans), a row per
+    pair: rendered texts, and the character spans of each completion that are trained on,
+    as "first-end" joined by commas.
+
+    Turns are in order of number, then role and text. A pair of over ``limit`` turns comes as
+    several rows, numbered by ``stretch``, whose texts follow each other, so that no row
+    grows without bound. A part without turns is an empty text. Null conversations are one;
+    an empty table gives no rows."""
+    piece = F.struct(_place().alias("at"), "role", "content", "opening", "loss")
     sides = [
         F.array_sort(F.collect_list(F.when(F.col("part") == p, piece))).alias(p) for p in ("prompt", "chosen", "rejected")
     ]
-    grouped = segments.groupBy("conv_id").agg(*sides)
+    grouped = _stretches(segments, limit).groupBy("conv_id", "stretch").agg(*sides)
     text = lambda c: F.array_join(F.transform(c, lambda x: F.concat(x["opening"], x["content"])), "").alias(c)
 
     def spans(c: str) -> Column:
-        start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<first: int, end: int>>").alias("spans"))
+        start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("spans"))
 
         def step(a: Column, x: Column) -> Column:
             first = a["at"] + F.char_length(x["opening"])
             end = first + F.char_length(x["content"])
-            span = F.array(F.struct(first.alias("first"), end.alias("end")))
+            span = F.array(F.concat_ws("-", first, end))
             return F.struct(end.alias("at"), F.when(x["loss"], F.concat(a["spans"], span)).otherwise(a["spans"]).alias("spans"))
 
-        return F.aggregate(c, start, step)["spans"].alias(f"{c}_spans")
+        return F.array_join(F.aggregate(c, start, step)["spans"], ",").alias(f"{c}_spans")
 
-    return grouped.select("conv_id", *map(text, ("prompt", "chosen", "rejected")), spans("chosen"), spans("rejected"))
+    return grouped.select(
+        "conv_id", "stretch", *map(text, ("prompt", "chosen", "rejected")), spans("chosen"), spans("rejected")
+    )
 
 
 def curtailed(conversations: DataFrame) -> DataFrame:
@@ -143,5 +175,11 @@ def curtailed(conversations: DataFrame) -> DataFrame:
 
 
 def preference_table(conversations: DataFrame) -> DataFrame:
-    """Segments of every conversation against its curtailed form."""
+    """Segments of every conversation against its curtailed form; see
+    :func:`preference_segments` for nulls and repeated turns. An empty table has none."""
     return preference_segments(conversations, curtailed(conversations))
+
+
+def preference_pairs(conversations: DataFrame) -> DataFrame:
+    """Every conversation against its curtailed form, rendered; see :func:`assemble`."""
+    return assemble(materialize(preference_table(conversations)))

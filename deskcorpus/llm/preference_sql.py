@@ -1,6 +1,6 @@
-"""SQL twin of the preference segments."""
+"""SQL twins of the preference segments and pairs."""
 
-PREFERENCE_SQL = """
+PARTS = """
 with chosen as (
     select conv_id, turn, role, text from conversations
 ), last_turn as (
@@ -20,8 +20,28 @@ with chosen as (
     from chosen c left join cuts using (conv_id)
     union all
     select r.*, 'rejected' as part from rejected r join cuts using (conv_id) where turn >= begin_at
+), segments as (
+    select conv_id, turn, part, role, '<|im_start|>' || role || chr(10) as opening,
+           text || '<|im_end|>' || chr(10) as content, part != 'prompt' and role = 'assistant' as loss
+    from parts
 )
-select conv_id, turn, part, role, '<|im_start|>' || role || chr(10) as opening,
-       text || '<|im_end|>' || chr(10) as content, part != 'prompt' and role = 'assistant' as loss
-from parts
+"""
+SEGMENTS_SQL = PARTS + "select * from segments"
+
+PAIRS_SQL = PARTS + """
+, placed as (
+    select *, cast(sum(length(opening) + length(content)) over (
+        partition by conv_id, part order by turn, role, content
+        rows between unbounded preceding and current row) as bigint) as upto
+    from segments
+)
+select conv_id, cast(0 as bigint) as stretch,
+       coalesce(string_agg(opening || content, '' order by turn, role, content) filter (part = 'prompt'), '') as prompt,
+       coalesce(string_agg(opening || content, '' order by turn, role, content) filter (part = 'chosen'), '') as chosen,
+       coalesce(string_agg(opening || content, '' order by turn, role, content) filter (part = 'rejected'), '') as rejected,
+       coalesce(string_agg((upto - length(content)) || '-' || upto, ',' order by turn, role, content)
+           filter (part = 'chosen' and loss), '') as chosen_spans,
+       coalesce(string_agg((upto - length(content)) || '-' || upto, ',' order by turn, role, content)
+           filter (part = 'rejected' and loss), '') as rejected_spans
+from placed group by conv_id
 """

@@ -55,6 +55,10 @@ def op6_digest_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return preference.preference_pairs(table(spark, sf_dir, "conversations"))
+
+
+def preference_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preference.preference_table(table(spark, sf_dir, "conversations"))
 
 
@@ -97,12 +101,14 @@ QUERIES = {
     "op11_best_fit": op11_best_fit,
     "op12_whitening": op12_whitening,
     "op13_lexical_search": op13_lexical_search,
+    "preference_segments": preference_segments,
 }
 ORACLES = {
     "op1_warc_round_trip": warc_sql.WARC_SQL,
     "op3_mix_sources": mixing_sql.MIXING_SQL,
     "op6_digest_runs": dedup_sql.DEDUP_SQL,
-    "op7_preference_pairs": preference_sql.PREFERENCE_SQL,
+    "op7_preference_pairs": preference_sql.PAIRS_SQL,
+    "preference_segments": preference_sql.SEGMENTS_SQL,
     "op10_quality_cascade": quality_sql.QUALITY_SQL,
     "op13_lexical_search": lexical_sql.SEARCH_SQL,
 }

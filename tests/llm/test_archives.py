@@ -98,6 +98,28 @@ def segments(spark, chosen, rejected):
     return preference.preference_segments(make(chosen), make(rejected))
 
 
+def spanned(text, spans):
+    return [text[slice(*map(int, s.split("-")))] for s in spans.split(",") if s]
+
+
+def test_long_pairs_come_in_stretches(spark):
+    """A conversation of more turns than a row takes, repeated numbers and a hot null one."""
+    long_one = [(1, t, "user" if t % 2 else "assistant", f"t{t}") for t in range(25)]
+    hot = [(None, 4, "assistant", f"n{i:03d}") for i in range(30)]
+    short = [(2, 0, "user", "q"), (2, 1, "assistant", "a")]
+    got = preference.assemble(segments(spark, [*long_one, *hot, *short], [*long_one[:20], *short]), limit=10).collect()
+    rows = {(r.conv_id, r.stretch): r for r in got}
+    assert [s for c, s in sorted(rows, key=str) if c == 1] == [0, 1, 2] and (2, 0) in rows
+    assert sum(1 for c, _ in rows if c is None) == 3 and len(rows) == 7
+    joined = lambda part, c: "".join(getattr(rows[k], part) for k in sorted(k for k in rows if k[0] == c))
+    render = lambda turns: "".join(f"<|im_start|>{r}\n{x}<|im_end|>\n" for _, _, r, x in turns)
+    assert joined("prompt", 1) == render(long_one[:20]) and joined("chosen", 1) == render(long_one[20:])
+    stretches = sorted(s for c, s in rows if c is None)
+    assert "".join(rows[None, s].chosen for s in stretches) == render(hot) and joined("rejected", 1) == ""
+    trained = [x for s in stretches for x in spanned(rows[None, s].chosen, rows[None, s].chosen_spans)]
+    assert trained == [f"{x}<|im_end|>\n" for _, _, _, x in hot]
+
+
 def test_longest_common_prefix(spark):
     chosen = [(1, 0, "user", "q"), (1, 1, "assistant", "a"), (1, 2, "user", "more"), (1, 3, "assistant", "good")]
     rejected = [*chosen[:3], (1, 3, "assistant", "bad"), (1, 4, "user", "why")]
@@ -114,8 +136,8 @@ def test_longest_common_prefix(spark):
     ]
     pair = preference.assemble(got).first()
     assert pair.prompt.count("<|im_start|>") == 3 and pair.chosen == "<|im_start|>assistant\ngood" + end
-    assert [pair.chosen[s.first : s.end] for s in pair.chosen_spans] == ["good" + end]
-    assert [pair.rejected[s.first : s.end] for s in pair.rejected_spans] == ["bad" + end]
+    assert spanned(pair.chosen, pair.chosen_spans) == ["good" + end]
+    assert spanned(pair.rejected, pair.rejected_spans) == ["bad" + end]
 
 
 def test_pairs_of_odd_conversations(spark):

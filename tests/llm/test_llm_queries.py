@@ -12,7 +12,7 @@ from tokenizers import Tokenizer
 import __spark_entry__ as entry
 import corpus_pipeline
 from check_oracles import canonical, compare
-from deskcorpus.llm import chosen_path, licenses
+from deskcorpus.llm import chosen_path, licenses, mixing
 from deskcorpus.llm.encode import default_tokenizer
 from deskcorpus.llm.license_rules import BASE_PHRASES
 from deskcorpus.llm.queries import ORACLES, QUERIES
@@ -32,7 +32,7 @@ def ids(docs):
 
 
 def test_one_query_for_each_operator():
-    assert [q.split("_")[0] for q in QUERIES] == [f"op{n}" for n in range(1, 14)]
+    assert [q.split("_")[0] for q in QUERIES if q.startswith("op")] == [f"op{n}" for n in range(1, 14)]
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
 
 
@@ -45,10 +45,11 @@ def test_preference_pairs_without_a_conversation(spark, sf_dir, tmp_path):
     turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
     turns = turns.withColumn("conv_id", F.when(F.crc32(F.concat_ws(":", "conv_id", "turn")) % 3 != 0, F.col("conv_id")))
     turns.write.parquet(f"{tmp_path}/conversations.parquet")
-    got = QUERIES["op7_preference_pairs"](spark, str(tmp_path)).toPandas()
     con = duckdb.connect()
     con.execute(f"create view conversations as select * from '{tmp_path}/conversations.parquet/*.parquet'")
-    assert canonical(got) == canonical(con.execute(ORACLES["op7_preference_pairs"]).df())
+    for name in ("op7_preference_pairs", "preference_segments"):
+        got = QUERIES[name](spark, str(tmp_path)).toPandas()
+        assert canonical(got) == canonical(con.execute(ORACLES[name]).df())
     lost = got[got.conv_id.isna()]
     assert len(lost) == turns.where("conv_id is null").count() > 0 and set(lost.part) == {"prompt"} and not lost.loss.any()
 
@@ -137,11 +138,29 @@ def test_pipeline(spark, sf_dir, docs):
     assert sorted(exact.doc_id) == sorted(largest)
     roots, _ = near_components(list(zip(exact.doc_id, exact.text)), 5, 80)
     assert sorted(near.doc_id) == sorted(set(roots.values()))
-    assert set(mixed.doc_id) <= set(near.doc_id) and (mixed.n_chars == mixed.text.str.len()).all()
-    words = near.text.str.split().str.len()
-    assert abs(mixed.text.str.split().str.len().sum() - words.sum()) <= near.source.nunique()
+    # whole documents: each source comes as near to its target as half of one allows
+    original = near.set_index("doc_id").text
+    assert set(mixed.doc_id) <= set(near.doc_id) and (mixed.text == original.loc[mixed.doc_id].values).all()
+    assert mixed.groupby("doc_id").size().max() <= 3
+    words = lambda t: t.text.str.count(r"[^\x20\x09-\x0D]+")
+    sizes = words(near).groupby(near.source.fillna("null")).agg(["sum", "max"])
+    goal = mixing.capped_targets(sizes["sum"].to_dict(), mixing.cycle_weights(list(sizes.index)))
+    taken = words(mixed).groupby(mixed.source.fillna("null")).sum()
+    assert all(abs(taken[s] - goal[s]) <= sizes["max"][s] / 2 + 1 for s in sizes.index)
     assert packed.length.sum() == packed.drop_duplicates(["doc_id", "sequence_id", "offset"]).length.sum()
     model = Tokenizer.from_file(default_tokenizer())
     tokens = sum(len(e.ids) + 1 for e in model.encode_batch(mixed.text.tolist(), add_special_tokens=False))
     assert packed.length.sum() == tokens
     assert len(chosen_path.near_duplicates(spark.createDataFrame(near), 5).where("not kept").collect()) == 0
+
+
+def test_pipeline_on_odd_tables(spark, tmp_path):
+    """Empty tables, tables of nulls, and rows that repeat, through all stages."""
+    good = " ".join(f"{a}{b}ome" for a in "abcdefgh" for b in "ijklmnopqr")
+    odd = [(None, None, None), (None, "", "s"), (1, None, "s"), (2, good, None), (2, good, None), (None, good + " more", "t"), (3, good.upper(), "t")]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    for name, rows, left in (("none", [], 0), ("nulls", odd[:3], 0), ("odd", odd, 1)):
+        table = spark.createDataFrame([(i, t, "en", s, None) for i, t, s in rows], schema)
+        table.write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        packed = corpus_pipeline.run(spark, f"{tmp_path}/{name}").collect()
+        assert len({r.doc_id for r in packed}) == left, name
