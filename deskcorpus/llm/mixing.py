@@ -6,18 +6,18 @@ repetition costs more than the one before. The flow sends words of patterns to t
 of their sources, as many as it can and at the least cost. Since only a pattern's own
 repetition has a price, that is a maximum flow with the first repetitions, augmented with
 the second, and so on. What a pattern sends then picks its documents in a seeded order:
-whole passes over all, and one partial pass that ends inside a document."""
+whole passes over all, and one partial pass that ends inside a document, which a mix of
+documents takes whole or not at all."""
 
 from __future__ import annotations
 
 from collections import deque
-from collections.abc import Callable, Iterator, Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from deskcorpus.llm.common import HOT_SHARE, WORD, text_of, tidy
+from deskcorpus.llm.common import HOT_SHARE, WORD, text_of
 from deskcorpus.operators.running import prefix_sums
 from deskcorpus.stages import materialize
 
@@ -334,36 +334,15 @@ def mix_table(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
 
 
 def mixed_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", seed: int = SEED, **how) -> DataFrame:
-    """The mix itself, with the columns of ``docs``: a row for each whole repetition taken,
-    and for a document taken in part a row with its first words. Rows that are equal in key
-    and text stand for each other; which one's other columns are repeated is open."""
+    """The mix itself, with the columns of ``docs``: a row for each repetition taken. Texts
+    are never cut: a document in which a source's share ends is taken once more or not,
+    whichever comes nearer to the share, so each source is off by half a document at most.
+    Rows that are equal in key and text stand for each other; which one's other columns are
+    repeated is open. Texts without words are not taken."""
     takes = mix(docs, key=key, text=text, seed=seed, **how).where("taken > 0")
     takes = takes.groupBy("place").agg(F.sum("taken").alias("_taken"), F.first("size").alias("_size"))
+    times = takes.select("place", F.expr("cast((2 * _taken + _size) div (2 * _size) as int)").alias("_times"))
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     placed = docs.select(row.alias("row"), seeded_order(F.col(f"`{key}`"), text_of(f"`{text}`"), seed).alias("place"))
-    one = placed.groupBy("place").agg(F.first("row").alias("row")).join(materialize(takes), "place")
-    copies = one.where("_taken >= _size").select(
-        F.explode(F.array_repeat("row", F.expr("cast(_taken div _size as int)"))).alias("row")
-    )
-    parts = one.select("row", F.expr("_taken % _size").alias("words")).where("words > 0")
-    return copies.select("row.*").unionByName(_first_words(parts, docs, text))
-
-
-def _first_words(parts: DataFrame, docs: DataFrame, text: str) -> DataFrame:
-    """Texts up to the end of their n-th word; a few rows, one per pattern at most."""
-    import re
-
-    word = re.compile(WORD)
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            row, n = batch.column("row"), batch.column("words").to_pylist()
-            columns = {f.name: row.field(k) for k, f in enumerate(row.type)}
-            texts = []
-            for t, k in zip(columns[text].to_pylist(), n):
-                ends = (m.end() for m in word.finditer(t))
-                texts.append(t[: next(e for i, e in enumerate(ends, 1) if i == k)])
-            columns[text] = pa.array(texts, pa.string())
-            yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
-
-    return parts.mapInArrow(tidy(cut), docs.schema)
+    one = placed.groupBy("place").agg(F.first("row").alias("row")).join(materialize(times.where("_times > 0")), "place")
+    return one.select(F.explode(F.array_repeat("row", F.col("_times"))).alias("row")).select("row.*")

@@ -2,6 +2,7 @@ import collections
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from deskcorpus.llm import licenses, mixing, quality
 from deskcorpus.llm.license_rules import BASE_PHRASES, Rule, build, gates
@@ -55,6 +56,27 @@ def test_cheap_rejecting_rules_come_first(spark):
     assert [r.name for r in quality.rule_order(df, [idle, cheap])] == ["cheap", "idle"]
 
 
+def test_order_is_the_same_in_every_run_and_samples_all_partitions(spark):
+    df = spark.range(0, 6000, 1, 12).selectExpr("id as doc_id", "concat('word ', repeat('# ', int(id % 40)), id) as text")
+    picked = quality._sampled(df, "text", 500)
+    texts = sorted(r._text for r in picked.collect())
+    assert texts == sorted(r._text for r in quality._sampled(df, "text", 500).collect()) and 350 < len(texts) < 650
+    same = spark.range(0, 6000, 1, 12).selectExpr("'copy' as text")
+    assert 350 < quality._sampled(same, "text", 500).count() < 650
+    tasks = {r.p for r in picked.select(F.spark_partition_id().alias("p")).collect()}
+    assert len(tasks) == 12
+    assert "Exchange" not in picked._jdf.queryExecution().executedPlan().toString()
+    assert quality.rule_order(df) == quality.rule_order(df)
+
+
+def test_one_generator_a_rule(spark):
+    df = frame(spark, [(1, "a b c")])
+    plan = quality.cascade(df, order=quality.RULES)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Generate inline") == len(quality.RULES)
+    whole = quality.quality_table(df)._jdf.queryExecution().executedPlan().toString()
+    assert whole.count("Generate inline") <= 1 + len(quality.RULES)
+
+
 def test_cascade_runs_no_python(spark):
     plan = quality.quality_table(frame(spark, [(1, "a")]))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
@@ -128,11 +150,15 @@ def test_mixed_documents(spark):
     takes = {r.doc_id: r.taken for r in mixing.mix_table(df).collect()}
     out = mixing.mixed_documents(df)
     assert out.columns == df.columns
-    words = collections.Counter()
+    copies = collections.Counter()
+    texts = {a: b for a, b, _ in rows}
     for r in out.collect():
-        words[r.doc_id] += len(WORD.findall(r.text))
-        assert dict((a, b) for a, b, _ in rows)[r.doc_id].startswith(r.text)
-    assert words == {k: v for k, v in takes.items() if v}
+        copies[r.doc_id] += 1
+        assert texts[r.doc_id] == r.text
+    # whole texts, once more where a share ends past the middle
+    sizes = {k: len(WORD.findall(t or "")) for k, t in texts.items()}
+    assert copies == {k: (2 * v + sizes[k]) // (2 * sizes[k]) for k, v in takes.items() if 2 * v >= sizes[k] > 0}
+    assert max(copies.values()) <= 3 and any(v % sizes[k] for k, v in takes.items() if sizes[k])
     assert mixing.mixed_documents(df.where("false")).count() == 0 and mixing.mix_table(df.where("false")).count() == 0
 
 
