@@ -25,7 +25,7 @@ from deskcorpus.llm.storage import fresh_name, make_folder, open_input, write_by
 from deskcorpus.stages import materialize
 
 MAGIC = b"TOKS8B1\n"
-FILE_IDS = 4 << 20
+FILE_IDS = 16 << 20
 READ_BLOCKS = 1024
 MANIFEST = "part int, number int, path string, n_docs long, n_ids long, bytes long"
 ARRAYS = (
@@ -123,7 +123,9 @@ def write_token_files(
     writes a run of the order, in files of about ``file_ids`` ids.
 
     Null texts count as empty and have the end id alone; null keys come first; rows with
-    the same key follow each other in order of text. An empty table gives no files."""
+    the same key follow each other in order of text, but where they are so many that texts
+    with the same first characters span tasks, each task has an order of its own. An empty
+    table gives no files."""
     tokenizer = tokenizer or default_tokenizer()
     make_folder(folder)
 
@@ -150,9 +152,16 @@ def write_token_files(
             yield flush()
 
     ordered = (
-        docs.select(F.col(key).cast("long").alias("key"), text_of(text).alias("text"))
-        .repartitionByRange(partitions(docs.sparkSession), "key")
+        docs.select(
+            F.col(f"`{key}`").cast("long").alias("key"),
+            text_of(f"`{text}`").alias("text"),
+            F.monotonically_increasing_id().alias("_row"),
+        )
+        .withColumn("_begin", F.left("text", F.lit(32)))
+        # rows of one key, even equal ones, may span tasks
+        .repartitionByRange(partitions(docs.sparkSession), "key", "_begin", "_row")
         .sortWithinPartitions("key", "text")
+        .select("key", "text")
     )
     return materialize(ordered.mapInArrow(tidy(write), MANIFEST))
 

@@ -159,3 +159,16 @@ def test_crc_is_unsigned_little_endian(spark):
     assert got.ids_crc32 == zlib.crc32(np.array(plain("hello"), "<u4").tobytes())
     with pytest.raises(ValueError):
         packing_dp.pack_documents(tokens, length=10)
+
+
+def test_rows_of_one_key_spread_over_tasks(spark, tmp_path):
+    """Two thirds of the rows have a null key, many of them one text: no task has them all."""
+    rows = [(None, "same words here")] * 300 + [(None, f"other {i}") for i in range(300)] + [(i, f"text {i}") for i in range(300)]
+    manifest = token_files.write_token_files(frame(spark, rows), str(tmp_path))
+    sizes = [r.n_docs for r in manifest.collect()]
+    assert sum(sizes) == 900 and max(sizes) < 500
+    got = token_files.read_documents(manifest).orderBy("start").collect()
+    assert [r.doc_id for r in got] == [None] * 600 + list(range(300))
+    ids = np.concatenate([np.frombuffer(r.ids, "<u4") for r in got])
+    assert [r.start for r in got] == (np.cumsum([r.n_tokens for r in got]) - [r.n_tokens for r in got]).tolist()
+    assert sorted(bytes(r.ids) for r in got) == sorted(np.array(plain(t), "<u4").tobytes() for _, t in rows) and len(ids)
