@@ -7,7 +7,6 @@ is gone, what the mix repeats is there several times."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from deskcorpus.llm import chosen_path, digest_runs, mixing, packing_dp, quality
 from deskcorpus.stages import materialize
@@ -29,12 +28,9 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources brought to their target weights by dropping and repeating documents, at most
-    three times; a document that a source's share ends in is cut there."""
-    mixed = mixing.mixed_documents(docs)
-    if "n_chars" in mixed.columns:
-        mixed = mixed.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-    return mixed
+    """Sources brought to their target weights by dropping and repeating whole documents, at
+    most three times; the one that a source's share ends in stays where that is nearer."""
+    return mixing.mixed_documents(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
