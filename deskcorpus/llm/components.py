@@ -5,32 +5,45 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from deskcorpus.llm.common import hot_lookup
 from deskcorpus.stages import materialize
 
 
+HUB_EDGES = 200_000  # so many links, of 32 bytes, are any one task's work
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, root) for every node of ``links`` (a, b): the smallest node reachable.
 
     Large and small star steps by turns: every node hands its larger, then its smaller
     neighbours to the smallest one it knows, until all links are stars around the roots.
-    A step is an aggregation (combined on the map side) and a join, so hubs are no single
-    task's work; each step's links are written, which cuts the lineage."""
+    A step is an aggregation (combined on the map side) and a lookup of its answers by the
+    links. The links of a hub, which a root becomes after the first steps, are spread over
+    tasks there, unless all links are few. Each step's links are written, which cuts the
+    lineage."""
     edges = materialize(
         links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct()
     )
-    state = None
+    n_edges, state = edges.count(), None
+
+    def least_of(rows: DataFrame, total: int) -> DataFrame:
+        """The rows with ``m``, the least neighbour of their node."""
+        found = rows.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("_n"))
+        if total <= HUB_EDGES:
+            return rows.join(found.drop("_n"), "u")
+        return hot_lookup(rows, found, ["u"], "_n", total)
+
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(
+        least = least_of(both, 2 * n_edges).withColumn("m", F.least("u", "m"))
+        large = least.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        small = least_of(large, n_edges).select(
             F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v"))))
         )
         edges = materialize(small.select("col.u", "col.v").where("u != v").distinct())
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == state:
             break
-        state = now
+        n_edges, state = now[0], now
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)

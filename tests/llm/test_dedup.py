@@ -1,5 +1,7 @@
 import random
+import time
 
+import numpy as np
 import pytest
 
 from deskcorpus.llm import chosen_path, components, digest_runs
@@ -89,7 +91,6 @@ def test_near_with_crowded_nodes(spark, monkeypatch):
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "11")
     monkeypatch.setattr(chosen_path, "NODE_LIMIT", 4)
     monkeypatch.setattr(chosen_path, "PIVOTS", 3)
-    monkeypatch.setattr(chosen_path, "DEEP_PIVOTS", 5)
     monkeypatch.setattr(chosen_path, "MAX_DEPTH", 2)
     check_near(spark, near_rows(5))
     spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
@@ -112,6 +113,105 @@ def test_recall_arithmetic():
     assert chosen_path.trees_for(0.9999, 0.8) == 4 and chosen_path.trees_for(0.9, 0.8) == 1
 
 
+def node_paths(spark, tokens, trees):
+    """class -> its nodes at the depth limit, by the library's own branching."""
+    rows = [(bytes([k >> 8, k & 255]), t.astype("<u4").tobytes()) for k, t in enumerate(tokens)]
+    classes = spark.createDataFrame(rows, "class binary, tokens binary").cache()
+    level = chosen_path.first_nodes(classes, trees)
+    for depth in range(1, chosen_path.MAX_DEPTH):
+        level = chosen_path.children(level.join(classes, "class"), depth)
+    nodes = {}
+    for r in level.collect():
+        nodes.setdefault(r["class"], set()).add((r.tree, r.node))
+    return [nodes[r[0]] for r in rows]
+
+
+def test_recall_of_the_branching(spark):
+    """600 pairs whose tokens agree with a chance of 0.8 each: how many share a node of a
+    tree at the depth limit, all levels branched, is what the arithmetic says; and trees
+    are independent: they lose pairs as often together as chance has it."""
+    draw = np.random.default_rng(4)
+    n, trees = 600, 4
+    left = draw.integers(0, 1 << 32, (n, chosen_path.n_tokens(trees)), dtype=np.uint32)
+    right = np.where(draw.random(left.shape) < 0.8, left, draw.integers(0, 1 << 32, left.shape, dtype=np.uint32))
+    paths = node_paths(spark, np.concatenate([left, right]), trees)
+    shared = [{t for t, _ in paths[k] & paths[n + k]} for k in range(n)]
+    expected = chosen_path.tree_recall(0.8)
+    met = np.array([[t in s for t in range(trees)] for s in shared])
+    assert abs(met.mean() - expected) < 4 * (expected * (1 - expected) / (n * trees)) ** 0.5
+    lost_two = (~met[:, 0] & ~met[:, 1]).mean()
+    assert lost_two < (1 - expected) ** 2 + 4 * ((1 - expected) ** 2 / n) ** 0.5
+    assert all(shared)  # four trees lose one pair in 37,000
+
+
+def test_pages_of_one_template(spark, monkeypatch):
+    """Pages about 70 % alike, none of them linked, in large nodes and in small ones; and
+    some true copies among them."""
+    draw = random.Random(6)
+    words = [f"w{i}" for i in range(5000)]
+    template = draw.choices(words, k=120)
+    rows = [(i, " ".join(template + draw.choices(words, k=22))) for i in range(900)]
+    rows += [(1000 + i, rows[i][1] + " end") for i in range(40)]
+    want = {i: i for i, _ in rows} | {1000 + i: i for i in range(40)}
+    for limit in (chosen_path.NODE_LIMIT, 100):
+        monkeypatch.setattr(chosen_path, "NODE_LIMIT", limit)
+        began = time.time()
+        got = {r.doc_id: r.component_id for r in chosen_path.near_duplicates(frame(spark, rows), 4).collect()}
+        assert got == want, limit
+        assert time.time() - began < 120
+
+
+def test_overlaps_and_forest(monkeypatch):
+    draw = np.random.default_rng(2)
+    sets = [np.unique(draw.integers(0, 300, draw.integers(1, 200)).astype(np.uint64)) for _ in range(50)]
+    ends = np.concatenate([[0], np.cumsum([len(x) for x in sets])])
+    i, j = np.triu_indices(50, 1)
+    node = np.searchsorted([0, 20], i, "right") - 1
+    same = node == np.searchsorted([0, 20], j, "right") - 1
+    i, j = i[same], j[same]
+    want = [100 * len(np.intersect1d(sets[a], sets[b])) >= 30 * len(np.union1d(sets[a], sets[b])) for a, b in zip(i, j)]
+    for few, columns in ((10**6, 2048), (5, 2048), (5, 7)):
+        monkeypatch.setattr(chosen_path, "FEW_PAIRS", few)
+        monkeypatch.setattr(chosen_path._Overlaps, "COLUMNS", columns)
+        exact = chosen_path._Overlaps(np.concatenate(sets), ends, np.array([0, 20]), 30)
+        assert exact.linked(i, j).tolist() == want and 0 < sum(want) < len(want)
+    root = np.arange(50)
+    a, b = chosen_path._forest(root, i[want], j[want])
+    label = list(range(50))
+    for x, y in zip(i[want], j[want]):
+        low, high = sorted((label[x], label[y]))
+        label = [low if k == high else k for k in label]
+    assert root.tolist() == label and len(a) == 50 - len(set(label))
+
+
+def test_prefixes_meet_whatever_the_order(spark, monkeypatch):
+    draw = np.random.default_rng(9)
+    base = np.arange(1000, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    sets = [np.sort(draw.choice(base, draw.integers(1, 60), replace=False)) for _ in range(60)]
+    sets += [np.sort(np.append(s[: max(len(s) - len(s) // 11, 1)], draw.choice(base, 1))) for s in sets]
+    sets = [np.unique(s) for s in sets]
+    rows = [(bytes([k]), s.tobytes()) for k, s in enumerate(sets)]
+    table = spark.createDataFrame(rows, "class binary, shingles binary")
+    nodes = {}
+    for r in chosen_path.prefix_nodes(table, 80).collect():
+        nodes.setdefault(r["class"][0], set()).add(r.node)
+    linked = 0
+    for a in range(len(sets)):
+        for b in range(a):
+            common = len(np.intersect1d(sets[a], sets[b]))
+            if 100 * common >= 80 * (len(sets[a]) + len(sets[b]) - common):
+                assert nodes[a] & nodes[b]
+                linked += 1
+    assert linked > 30
+
+
+def test_components_of_a_hub(spark, monkeypatch):
+    monkeypatch.setattr(components, "HUB_EDGES", 10)
+    links = [(0, i) for i in range(1, 3000)] + [(i, i + 5000) for i in range(1, 500)] + [(9000, 9001)]
+    got = {r.node: r.root for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert set(got.values()) == {0, 9000} and len(got) == 3000 + 499 + 2 and got[9001] == 9000
+
+
 def test_components_of_paths_and_stars(spark):
     links = [(i, i + 1) for i in range(30)] + [(100, i) for i in range(101, 130)] + [(7, 7), (5, 4)]
     got = {r.node: r.root for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
