@@ -9,7 +9,7 @@ priority. The phrases of the base are always reported."""
 from __future__ import annotations
 
 import re
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -52,21 +52,25 @@ class Scanner:
         for keyword in present:
             for k in self.by_keyword[keyword]:
                 r = self.rules[k]
-                found += [(-r.priority, m.start() - m.end(), k, m.start(), m.end()) for m in self.compiled[k].finditer(text)]
+                found += [(-r.priority, m.start() - m.end(), m.start(), k, m.start(), m.end()) for m in self.compiled[k].finditer(text)]
         return base, self._suppress(sorted(found))
 
     def _suppress(self, found: list[tuple]) -> list[tuple[int, int, str, int]]:
-        """Accepted intervals never overlap, so the one before a start and the one after
-        tell whether another interval contains or overlaps them."""
+        """In order of priority, then of length, place and rule: a detection goes if an accepted
+        one contains it, or one of another label overlaps it. Only accepted ones that begin
+        less than the longest one before its end can do so."""
         starts: list[int] = []
         kept: list[tuple[int, int, str, int]] = []
-        for priority, _, k, a, b in found:
-            i = bisect_right(starts, a)
-            before, after = (kept[i - 1] if i else None), (kept[i] if i < len(kept) else None)
-            if (before and before[1] > a) or (after and after[0] < b):
+        longest = 0
+        for priority, _, _, k, a, b in found:
+            label = self.rules[k].label
+            near = kept[bisect_left(starts, a - longest) : bisect_left(starts, b)]
+            if any((c <= a and b <= d) or (other != label and a < d) for c, d, other, _ in near):
                 continue
+            i = bisect_left(starts, a)
             starts.insert(i, a)
-            kept.insert(i, (a, b, self.rules[k].label, -priority))
+            kept.insert(i, (a, b, label, -priority))
+            longest = max(longest, b - a)
         return kept
 
 
@@ -145,4 +149,6 @@ def _row(scanner: Scanner, text: str, top: int) -> tuple:
 
 
 def license_table(docs: DataFrame) -> DataFrame:
+    """What is found in every row of ``docs``, without the spans. Null and empty texts have no
+    words and no labels; repeated rows and null ids stay; an empty table gives no rows."""
     return scan_licenses(docs).drop("spans")

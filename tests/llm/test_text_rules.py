@@ -1,4 +1,5 @@
 import collections
+import random
 import re
 
 import pytest
@@ -6,7 +7,7 @@ from pyspark.sql import functions as F
 
 from deskcorpus.llm import licenses, mixing, quality
 from deskcorpus.llm.license_rules import BASE_PHRASES, Rule, build, gates
-from helpers import WORD, frame
+from helpers import WORD, frame, lower
 
 TEXTS = [
     None, "", " \t\r\n", "one", "a b c a b c a b c", "x y\nx y\n\n \nX y\nx y", "# * $ % & | < >", "\x1f\x00 é ü 日本",
@@ -90,10 +91,89 @@ def scan(spark, texts, rules=None):
 def test_license_rules_are_many_and_gated():
     rules = build()
     assert len(rules) > 300 and all(r.keyword for r in rules)
+    assert len({(r.label, r.pattern) for r in rules}) == len(rules)
     words = gates(rules)
     assert all(any(g in r.keyword for g in words) for r in rules)
 
 
+def example(pattern, draw):
+    """A text that a rule's pattern matches, with optional parts there or not by chance."""
+    out, i = "", 0
+    while i < len(pattern):
+        if pattern.startswith("(?:", i):
+            depth, j = 1, i + 3
+            while depth:
+                depth += {"(": 1, ")": -1}.get(pattern[j], 0)
+                j += 1
+            options, level, cut = [], 0, i + 3
+            for k in range(i + 3, j):
+                level += {"(": 1, ")": -1}.get(pattern[k], 0)
+                if (pattern[k] == "|" and level == 0) or k == j - 1:
+                    options.append(pattern[cut:k])
+                    cut = k + 1
+            optional = pattern[j : j + 1] == "?"
+            if not (optional and draw.random() < 0.5):
+                out += example(draw.choice(options), draw)
+            i = j + optional
+        elif pattern[i] == "[":
+            j = pattern.index("]", i)
+            optional = pattern[j + 1 : j + 2] == "?"
+            out += "" if optional and draw.random() < 0.5 else draw.choice(pattern[i + 1 : j])
+            i = j + 1 + optional
+        elif pattern.startswith(".{", i):
+            out += "some body"
+            i = pattern.index("}", i) + 2
+        else:
+            optional = pattern[i + 1 : i + 2] == "?"
+            out += "" if optional and draw.random() < 0.5 else pattern[i]
+            i += 1 + optional
+    return out
+
+
+def by_brute_force(text, rules):
+    """Spans and labels of a text by all rules, none of them gated, each against each."""
+    words = " ".join(licenses.WORDS.findall(text))
+    found = []
+    for k, r in enumerate(rules):
+        for m in re.finditer(rf"(?<![^ ]){r.pattern}(?![^ ])", words):
+            found.append((-r.priority, m.start() - m.end(), m.start(), k, m.start(), m.end()))
+    kept = []
+    for p, _, _, k, a, b in sorted(found):
+        label = rules[k].label
+        inside = any(c <= a and b <= d for c, d, _ in kept)
+        if not inside and not any(label != x and a < d and c < b for c, d, x in kept):
+            kept.append((a, b, label))
+    at = lambda i: words[:i].count(" ")
+    return sorted((at(a), at(b - 1) + 1, x) for a, b, x in kept)
+
+
+def test_every_rule_is_reached_through_its_keyword():
+    draw = random.Random(1)
+    for r in build():
+        for _ in range(6):
+            text = example(r.pattern, draw)
+            assert re.fullmatch(r.pattern, text) and r.keyword in text, (r, text)
+
+
+def test_labels_against_brute_force(spark, sf_dir):
+    """All documents, and texts in which examples of rules stand side by side and overlap."""
+    draw, rules = random.Random(2), build()
+    texts = [lower(r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
+    for _ in range(300):
+        parts = [example(draw.choice(rules).pattern, draw) for _ in range(draw.choice([1, 2, 5, 12]))]
+        texts.append(draw.choice([" ", ", ", "\n"]).join(p.upper() if draw.random() < 0.3 else p for p in parts))
+    texts.append(" ".join(["gnu general public license version 2 or version 3"] * 400))
+    got = scan(spark, texts)
+    labelled = 0
+    for i, t in enumerate(texts):
+        want = by_brute_force(lower(t), rules)
+        assert sorted((s["first"], s["end"], s.label) for s in got[i].spans) == want
+        base = set(got[i].base_labels.split(",")) - {""}
+        assert got[i].labels == ",".join(sorted({x for *_, x in want} | base))
+        labelled += bool(want)
+    assert labelled > 300
+
+
 def test_license_detections(spark):
     got = scan(spark, [
         None, "", "Released\nunder the MIT-License!", "Apache License, Version 2.0", "CC BY-NC cc-by-nc", "under the gnu general public license, version 3",
