@@ -24,7 +24,10 @@ class Generation:
     """How to call the model. ``factory`` runs once per Python task and returns
     ``predict(prompts, *, max_new_tokens, temperature, top_p, do_sample)``, which maps
     a list of prompts to a list of texts. Prompts are strings, or message lists for
-    the ``chat`` style, and a call gets at most ``batch_size`` of them. ``echoes_prompt`` says that texts repeat their prompt."""
+    the ``chat`` style, and a call gets at most ``batch_size`` of them, of like length: a model
+    pads a batch to its longest prompt. For that, up to ``buffer_size`` rows are ordered by
+    length before they are sent, and the replies go back to their rows. ``echoes_prompt`` says
+    that texts repeat their prompt."""
 
     factory: Callable[[], Callable]
     style: str = "instruction"
@@ -34,6 +37,7 @@ class Generation:
     top_p: float = DEFAULTS.default_top_p
     temperature_floor: float = 1e-3
     batch_size: int = 32
+    buffer_size: int = 2048
     settings: Settings = DEFAULTS
 
     def options(self) -> dict:
@@ -46,19 +50,27 @@ class Generation:
 
 
 def _predictor(generation: Generation):
-    factory, options, size = generation.factory, generation.options(), generation.batch_size
+    factory, options = generation.factory, generation.options()
+    size, room = generation.batch_size, max(generation.buffer_size, generation.batch_size)
+
+    def length(prompt) -> int:
+        return len(prompt) if isinstance(prompt, str) else sum(len(m["content"] or "") for m in prompt)
 
     @F.arrow_udf(StringType())
     def predict_batches(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         predict = factory()
         for prompts in batches:
-            rows = prompts.to_pylist()
-            asked = [p for p in rows if p is not None]
-            calls = (asked[i : i + size] for i in range(0, len(asked), size))
-            answers = iter([a for call in calls for a in predict(call, **options)])
-            yield pa.array(
-                [None if p is None else next(answers) for p in rows], type=pa.string()
-            )
+            replies = []
+            for begin in range(0, len(prompts), room):
+                rows = prompts.slice(begin, room).to_pylist()
+                order = sorted((k for k, p in enumerate(rows) if p is not None), key=lambda k: length(rows[k]))
+                found = [None] * len(rows)
+                for i in range(0, len(order), size):
+                    call = order[i : i + size]
+                    for k, answer in zip(call, predict([rows[k] for k in call], **options), strict=True):
+                        found[k] = answer
+                replies.append(pa.array(found, pa.string()))
+            yield pa.concat_arrays(replies) if replies else pa.array([], pa.string())
 
     return predict_batches
 

@@ -314,3 +314,45 @@ def test_histories_of_long_conversations(spark):
     got = {(r.conv_id, r.stretch): [t.content for t in r.history] for r in corpus.histories(spark.createDataFrame(turns, TURN)).collect()}
     assert got[2, 0] == ["only"] and [len(got[1, s]) for s in range(3)] == [1000, 1000, 500]
     assert sum((got[1, s] for s in range(3)), []) == [f"t{t}" for t in range(2500)]
+
+
+def test_prompts_of_like_length_share_a_call(spark):
+    """Replies stay with their rows; padding, summed over calls, is a fraction of what
+    calls in row order would need."""
+    texts = [None if i % 11 == 0 else "w" * (i * 37 % 500) for i in range(1000)]
+
+    def factory():
+        def predict(prompts, **_):
+            longest = max(map(len, prompts))
+            return [f"{p} {longest}" for p in prompts]
+
+        return predict
+
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, m string").coalesce(1)
+    sent = {}
+    for buffer in (1, 10_000):
+        made = Generation(factory, batch_size=8, buffer_size=buffer)
+        got = {r.id: r.prediction for r in generate.generate_replies(df, "m", made).collect()}
+        assert len(got) == 1000 and all((got[i] is None) == (t is None) for i, t in enumerate(texts))
+        sent[buffer] = sum(int(r) for r in got.values() if r is not None)
+    lead = min(int(r) for r in got.values() if r is not None)
+    whole = sum(len(t) for t in texts if t is not None) + 909 * lead
+    assert sent[10_000] - whole < 0.1 * (sent[1] - whole)
+
+
+def test_chat_prompts_of_like_length(spark):
+    def factory():
+        def predict(prompts, **_):
+            sizes = [len(p[1]["content"]) for p in prompts]
+            return [f"{len(p[1]['content'])} {max(sizes) - min(sizes)}" for p in prompts]
+
+        return predict
+
+    df = spark.createDataFrame([(i, "w" * (1 + i * 7 % 40)) for i in range(400)], "id int, m string").coalesce(1)
+    got = generate.generate_replies(df, "m", Generation(factory, style="chat", batch_size=10)).collect()
+    for r in got:
+        n, spread = map(int, r.prediction.split())
+        assert n == 1 + r.id * 7 % 40 and spread <= 1
+    with pytest.raises(Exception, match="(?i)zip|argument"):
+        few = Generation(lambda: lambda prompts, **_: ["only one"], batch_size=10)
+        generate.generate_replies(df, "m", few).collect()
