@@ -462,6 +462,9 @@ def page_table(records: DataFrame) -> DataFrame:
 
 
 def archive_round_trip(pages: DataFrame) -> DataFrame:
+    """Every page written to archives and read back; see :func:`page_records` for nulls,
+    repeated rows and equal payloads. A table without pages gives archives without page
+    records, and no rows."""
     spark = pages.sparkSession
     path = scratch_dir(spark)
     write_warc(page_records(pages), path)
