@@ -205,11 +205,18 @@ def test_prefixes_meet_whatever_the_order(spark, monkeypatch):
     assert linked > 30
 
 
-def test_components_of_a_hub(spark, monkeypatch):
-    monkeypatch.setattr(components, "HUB_EDGES", 10)
-    links = [(0, i) for i in range(1, 3000)] + [(i, i + 5000) for i in range(1, 500)] + [(9000, 9001)]
+@pytest.mark.parametrize("few,hub", [(20_000, 200_000), (0, 200_000), (0, 10)])
+def test_components_of_a_hub(spark, monkeypatch, few, hub):
+    """In one task, by windows, and by lookups that spread the hub."""
+    monkeypatch.setattr(components, "FEW_EDGES", few)
+    monkeypatch.setattr(components, "HUB_EDGES", hub)
+    links = [(0, i) for i in range(1, 3000)] + [(i, i + 5000) for i in range(1, 500)] + [(9000, 9001), (-5, -4)]
+    links += [(20_000 + i, 20_001 + i) for i in range(40)]
     got = {r.node: r.root for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
-    assert set(got.values()) == {0, 9000} and len(got) == 3000 + 499 + 2 and got[9001] == 9000
+    want = {i: 0 for i in [*range(3000), *range(5001, 5500)]} | {9000: 9000, 9001: 9000, -5: -5, -4: -5}
+    assert got == want | {20_000 + i: 20_000 for i in range(41)}
+    none = spark.createDataFrame([(1, 1)], "a long, b long")
+    assert components.components(none).collect() == []
 
 
 def test_components_of_paths_and_stars(spark):
