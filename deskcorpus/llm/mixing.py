@@ -17,13 +17,15 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from deskcorpus.llm.common import HOT_SHARE, WORD, text_of
+from deskcorpus.llm.common import HOT_SHARE, WORD, hot_lookup, text_of
 from deskcorpus.operators.running import prefix_sums
 from deskcorpus.stages import materialize
 
 WEIGHTS = (5, 2, 1)
 MAX_REPEATS = 3
 MAX_PATTERNS = 100_000  # that the driver takes; of more, only what a flow is needed for
+ROUNDS = 30  # of proportional shares, at most
+ROUND_GAIN = 0.001  # rounds that bring less than this share more are the last ones
 CELL_DIGITS = 3  # hex digits of the order that each of two levels of cells takes
 SEED = 20
 
@@ -149,7 +151,7 @@ def measured(docs: DataFrame, sources: Column, key: str, text: str, seed: int) -
 def mix(
     docs: DataFrame,
     sources: Column | None = None,
-    weigh: Callable[[Sequence[str | None]], Mapping[str | None, float]] = cycle_weights,
+    weigh: Callable[[Sequence[str | None]], Mapping[str | None, float]] | DataFrame = cycle_weights,
     repeats: int = MAX_REPEATS,
     key: str = "doc_id",
     text: str = "text",
@@ -164,7 +166,9 @@ def mix(
     target. A null source is a source; rows of no source at all are not taken. Identical
     rows are taken each on its own. Up to MAX_PATTERNS patterns are collected. Of more,
     only those linked by documents of several sources are, and more than MAX_PATTERNS of
-    these raise an error; so do more sources than that with a ``weigh`` of the caller's."""
+    these are routed in Spark by rounds of proportional shares (:func:`_shares_by_rounds`).
+    ``weigh`` maps the list of sources to weights; for more than MAX_PATTERNS sources a
+    caller's weights come as a table (source, w) instead."""
     spark = docs.sparkSession
     sources = F.array("source") if sources is None else sources
     rows = materialize(measured(docs, sources, key, text, seed))
@@ -176,7 +180,8 @@ def mix(
     for pattern, size in patterns.items():
         for s in pattern:
             sizes[s] = sizes.get(s, 0) + size
-    goal = capped_targets(sizes, weigh(list(sizes)), repeats)
+    weights = {r.source: r.w for r in weigh.collect()} if isinstance(weigh, DataFrame) else weigh(list(sizes))
+    goal = capped_targets(sizes, weights, repeats)
     total, wanted = sum(patterns.values()), sum(goal.values())
     if wanted > total:  # sources that overlap are larger together than all documents
         goal = {s: t * total / wanted for s, t in goal.items()}
@@ -223,15 +228,16 @@ def _mix_many(rows: DataFrame, weigh: Callable, repeats: int) -> DataFrame:
     )
     found = flows.limit(MAX_PATTERNS + 1).collect()
     if len(found) > MAX_PATTERNS:
-        raise ValueError(f"more than {MAX_PATTERNS} membership patterns are linked by documents of several sources")
-    of_sources = {x.source: x for r in found if r.pattern for x in r.stats}
-    driven = _shares(
-        rows.sparkSession,
-        {tuple(r.pattern): r["size"] for r in found},
-        {s: x.source_size for s, x in of_sources.items()},
-        {s: x.target for s, x in of_sources.items()},
-        repeats,
-    )
+        driven = _shares_by_rounds(materialize(flows), repeats)
+    else:
+        of_sources = {x.source: x for r in found if r.pattern for x in r.stats}
+        driven = _shares(
+            rows.sparkSession,
+            {tuple(r.pattern): r["size"] for r in found},
+            {s: x.source_size for s, x in of_sources.items()},
+            {s: x.target for s, x in of_sources.items()},
+            repeats,
+        )
     shares = materialize(own.unionByName(driven))
     # patterns of many rows are gone through by cells, the others each in a task
     total = groups.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
@@ -246,8 +252,67 @@ def _mix_many(rows: DataFrame, weigh: Callable, repeats: int) -> DataFrame:
     return few.unionByName(rest.withColumn("taken", taken).select(few.columns))
 
 
-def _weighed(sources: DataFrame, weigh: Callable) -> DataFrame:
+def _shares_by_rounds(flows: DataFrame, repeats: int) -> DataFrame:
+    """(pattern, passes, rest, stats) of more patterns than a driver takes, from (pattern,
+    size, stats). A pattern parts its words among its sources in proportion to their
+    priorities; a priority rises by as much as its source falls short of its quota, and falls by
+    as much as it gets too much. The shares come near a maximum flow; what a source still gets too much
+    is scaled down to its quota. The patterns' capacity is tried with one repetition first, and
+    with one more as long as that brings the sources clearly nearer to their quotas.
+
+    A round is a lookup of the priorities, with hot sources spread, and two aggregations."""
+    flows = flows.withColumn("_id", F.to_json("pattern"))  # tells null sources, which hashes skip
+    member = F.explode("stats").alias("s")
+    edges = flows.where("size > 0 and size(pattern) > 0").select("_id", "size", member)
+    # a null source takes part in lookups under a flag
+    edges = materialize(
+        edges.select("_id", "size", F.col("s.source").isNull().alias("_null"), F.coalesce("s.source", F.lit("")).alias("_s"), "s.target")
+    )
+    key = ["_null", "_s"]
+    n_edges = edges.count()
+    sources = materialize(
+        edges.groupBy(*key).agg(F.floor(F.first("target")).cast("double").alias("quota"), F.count(F.lit(1)).alias("_n"))
+    )
+    wanted = sources.agg(F.coalesce(F.sum("quota"), F.lit(0.0))).first()[0]
+
+    def parted(priority: DataFrame, times: int) -> DataFrame:
+        """Edges with their words ``x`` at these priorities."""
+        named = hot_lookup(edges, priority.select(*key, "priority", "_n"), key, "_n", n_edges)
+        whole = named.groupBy("_id").agg(F.sum("priority").alias("_whole"))  # a pattern has few sources
+        return named.join(whole, "_id").withColumn("x", F.lit(float(times)) * F.col("size") * F.col("priority") / F.col("_whole"))
+
+    best, reached = None, -1.0
+    for times in range(1, repeats + 1):
+        priority, last = sources.withColumn("priority", F.lit(1.0)), -1.0
+        for _ in range(ROUNDS):
+            loads = parted(priority, times).groupBy(*key).agg(F.sum("x").alias("load"))
+            placed = materialize(priority.join(loads, key))
+            got = placed.agg(F.sum(F.least("load", "quota"))).first()[0] or 0.0
+            if got <= last * (1 + ROUND_GAIN) or got >= (1 - ROUND_GAIN) * wanted:
+                break
+            last = got
+            # priorities are at least 1e-100, so that no pattern is left without any
+            change = F.greatest(F.least(F.col("quota") / F.col("load"), F.lit(4.0)), F.lit(0.25))
+            priority = placed.withColumn("priority", F.greatest(F.col("priority") * change, F.lit(1e-100))).drop("load")
+        if best is None or got > reached * (1 + ROUND_GAIN):
+            scale = F.when(F.col("load") > F.col("quota"), F.col("quota") / F.col("load")).otherwise(1.0)
+            scales = placed.select(*key, scale.alias("scale"), "_n")
+            scaled = hot_lookup(parted(placed, times), scales, key, "_n", n_edges)
+            best = materialize(scaled.groupBy("_id").agg(F.floor(F.sum(F.col("x") * F.col("scale"))).alias("_sent")))
+            reached = got
+        if reached >= (1 - ROUND_GAIN) * wanted:
+            break
+    sent = F.least(F.coalesce("_sent", F.lit(0)), F.lit(repeats) * F.col("size"))
+    shared = flows.join(best, "_id", "left").withColumn("_sent", sent)
+    part = lambda e: F.when(F.col("size") > 0, F.expr(e)).otherwise(0).cast("long")
+    return shared.select("pattern", part("_sent div size").alias("passes"), part("_sent % size").alias("rest"), "stats")
+
+
+def _weighed(sources: DataFrame, weigh: Callable | DataFrame) -> DataFrame:
     """Sources with their weight ``w``; the default weights go by rank, which needs no list."""
+    if isinstance(weigh, DataFrame):
+        table = weigh.select(F.col("source").alias("_s"), F.col("w").cast("double").alias("w"))
+        return sources.join(table, _same("source", "_s")).drop("_s")
     if weigh is cycle_weights:
         ranked = sources.withColumns({"_null": F.col("source").isNull(), "_one": F.lit(1)})
         ranked = prefix_sums(ranked, ["_null", "source"], "_one", "_rank")
@@ -255,7 +320,7 @@ def _weighed(sources: DataFrame, weigh: Callable) -> DataFrame:
         return ranked.withColumn("w", F.get(turns, F.col("_rank") % len(WEIGHTS)).cast("double")).drop("_null", "_one", "_rank")
     names = [r.source for r in sources.select("source").limit(MAX_PATTERNS + 1).collect()]
     if len(names) > MAX_PATTERNS:
-        raise ValueError(f"more than {MAX_PATTERNS} sources for a function that weighs them together")
+        raise ValueError(f"more than {MAX_PATTERNS} sources: give their weights as a table (source, w)")
     weights = sources.sparkSession.createDataFrame([(s, float(w)) for s, w in weigh(names).items()], "_s string, w double")
     return sources.join(weights, _same("source", "_s")).drop("_s")
 

@@ -278,6 +278,27 @@ def test_more_sources_than_the_driver_takes(spark, monkeypatch):
         for r in got:
             sums["linked" if linked & set(r.pattern) else str(r.pattern)] += r.taken
     assert 2 < len(linked) < 40 and all(abs(taken[0][k] - taken[1][k]) <= (len(linked) if k == "linked" else 1) for k in taken[0])
-    monkeypatch.setattr(mixing, "MAX_PATTERNS", 3)
-    with pytest.raises(ValueError, match="several sources"):
-        mixing.mix(small, both)
+
+
+def test_more_linked_patterns_than_the_driver_takes(spark, monkeypatch):
+    """Rounds of shares come as near to the targets as the flow does, within a few percent."""
+    draw = random.Random(4)
+    names = [f"s{i}" for i in range(12)] + [None]
+    rows = [(i, "w " * draw.randrange(1, 30), ",".join(str(k) for k in draw.sample(range(13), draw.choice([1, 1, 2, 3])))) for i in range(800)]
+    rows += [(900, None, "1,2"), (901, "", "5"), (None, "x y z", "0,12"), (902, "hot " * 2000, "3")]
+    sources = F.transform(F.split("source", ","), lambda k: F.get(F.array(*[F.lit(n) for n in names]), k.cast("int")))
+    df = frame(spark, rows)
+    weights = spark.createDataFrame([(n, float(1 + i % 3)) for i, n in enumerate(names)], "source string, w double")
+    for how in ({}, {"weigh": weights}):
+        taken = []
+        for limit in (100_000, 2):
+            monkeypatch.setattr(mixing, "MAX_PATTERNS", limit)
+            got = mixing.mix(df, sources, **how).collect()
+            assert len(got) == len(rows) and all(0 <= r.taken <= 3 * r["size"] for r in got)
+            taken.append(sum(r.taken for r in got))
+            goal = sum({x.source: x.target for r in got for x in r.stats}.values())
+        assert taken[1] <= goal and taken[1] >= 0.95 * taken[0] > 0
+    again = mixing.mix(df, sources, weigh=weights).collect()
+    assert sorted(map(str, again)) == sorted(map(str, got))
+    with pytest.raises(ValueError, match="as a table"):
+        mixing.mix(df, sources, weigh=lambda names: dict.fromkeys(names, 1.0))
