@@ -840,15 +840,12 @@ def preview_sample(spark, sf_dir):
 
 
 def document_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole documents table as a file stream."""
+    """The whole documents table as a file stream, be it one file or a folder of files. A
+    stream takes a single file for a folder unless its path is a pattern."""
     docs_schema = T.StructType.fromDDL(
         "doc_id bigint, text string, lang string, source string, n_chars bigint"
     )
-    return (
-        spark.readStream.schema(docs_schema)
-        .option("pathGlobFilter", "documents.parquet")
-        .parquet(sf_dir)
-    )
+    return spark.readStream.schema(docs_schema).parquet(f"{sf_dir}/documents[.]parquet")
 
 
 @query
