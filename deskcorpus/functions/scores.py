@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column
@@ -72,39 +73,60 @@ def lcs_length(left: pa.Array, right: pa.Array) -> pa.Array:
     return pa.array([length(a or "", b or "") for a, b in pairs], type=pa.int32())
 
 
-def lcs_places(first: list[str], second: list[str]) -> list[int]:
+def token_places(line: Sequence[str]) -> dict[str, int]:
+    """Where each token stands in a line, as bits of one integer."""
+    at: dict[str, int] = {}
+    for i, token in enumerate(line):
+        at[token] = at.get(token, 0) | (1 << i)
+    return at
+
+
+def bits(places: int) -> list[int]:
+    """The places of the bits that are set, ascending."""
+    return [i for i, bit in enumerate(reversed(f"{places:b}")) if bit == "1"]
+
+
+def lcs_places(first: Sequence[str], second: Sequence[str]) -> list[int]:
     """Places in ``first`` of one longest common subsequence, ascending. Of several, the one
     met by going back from the ends, stepping to an earlier token of ``second`` only where
-    one of ``first`` would lose length, as published scores do.
+    one of ``first`` would lose length, as published scores do."""
+    return bits(lcs_bits(token_places(first), len(first), second))
+
+
+def lcs_bits(at: dict[str, int], length: int, second: Sequence[str]) -> int:
+    """:func:`lcs_places` as bits, of a line of ``length`` tokens with places ``at``.
 
     Each token of ``second`` leaves the places at which the length grows as bits of one
-    integer, so the table takes a bit per cell."""
-    at: dict[str, int] = {}
-    for i, token in enumerate(first):
-        at[token] = at.get(token, 0) | (1 << i)
-    full = (1 << len(first)) - 1
-    row, grows = full, []
+    integer, so the table takes a bit per cell. At a token, the way back leaves ``first`` at
+    the last place that holds it or at which the length grows, whichever is later, so it
+    takes a step per token of ``second``."""
+    full = (1 << length) - 1
+    row, grows, hits = full, [], []
     for token in second:
-        hit = row & at.get(token, 0)
-        row = ((row + hit) | (row - hit)) & full
+        hit = at.get(token, 0)
+        both = row & hit
+        row = ((row + both) | (row - both)) & full
         grows.append(full ^ row)
-    i, j, places = len(first) - 1, len(second) - 1, []
-    while i >= 0 and j >= 0:
-        if first[i] == second[j]:
-            places.append(i)
-            i, j = i - 1, j - 1
-        elif grows[j] >> i & 1:
-            j -= 1
+        hits.append(hit)
+    below, places = full, 0
+    for j in range(len(second) - 1, -1, -1):
+        stop = ((grows[j] | hits[j]) & below).bit_length() - 1
+        if stop < 0:
+            break
+        if hits[j] >> stop & 1:
+            places |= 1 << stop
+            below = (1 << stop) - 1
         else:
-            i -= 1
-    return places[::-1]
+            below = (2 << stop) - 1
+    return places
 
 
 def summary_hits(prediction: list[list[str]], reference: list[list[str]]) -> int:
     """Tokens of the reference that its lines have in common with the prediction's: each
     line's union of its longest common subsequences with all lines of the prediction, no
-    token counted more often than either side has it. Lines without a token in common are
-    never compared, and equal lines once."""
+    token counted more often than either side has it. Equal lines are compared once, and a
+    pair of lines only if it can add to the union: if they share a token at a place that
+    is not in it yet. Lines that share the most places come first."""
     lines = list(dict.fromkeys(map(tuple, prediction)))
     holders: dict[str, list[int]] = {}
     for k, line in enumerate(lines):
@@ -115,8 +137,7 @@ def summary_hits(prediction: list[list[str]], reference: list[list[str]]) -> int
     hits = 0
     for line in map(tuple, reference):
         if line not in known:
-            related = sorted({k for token in set(line) for k in holders.get(token, ())})
-            known[line] = sorted({i for k in related for i in lcs_places(line, lines[k])})
+            known[line] = _union_places(line, lines, holders)
         for i in known[line]:
             if left[line[i]] > 0:
                 left[line[i]] -= 1
@@ -124,6 +145,20 @@ def summary_hits(prediction: list[list[str]], reference: list[list[str]]) -> int
     return hits
 
 
+def _union_places(line: tuple[str, ...], lines: list[tuple[str, ...]], holders: dict[str, list[int]]) -> list[int]:
+    """Places of ``line`` in a longest common subsequence with any of ``lines``, ascending."""
+    at = token_places(line)
+    shared: dict[int, int] = {}
+    for token, places in at.items():
+        for k in holders.get(token, ()):
+            shared[k] = shared.get(k, 0) | places
+    union = 0
+    for k in sorted(shared, key=lambda k: (-shared[k].bit_count(), len(lines[k]))):
+        if shared[k] & ~union:
+            union |= lcs_bits(at, len(line), lines[k])
+    return bits(union)
+
+
 @F.arrow_udf(IntegerType())
 def summary_overlap(prediction: pa.Array, reference: pa.Array) -> pa.Array:
     """:func:`summary_hits` of two texts, tokens joined by spaces and lines by line breaks."""

@@ -8,6 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 import __spark_entry__ as entry
+from deskcorpus.functions import scores
 from deskcorpus.functions.scores import lcs_places, summary_hits
 from deskcorpus.operators import evaluate
 
@@ -103,3 +104,15 @@ def test_queries(spark, sf_dir):
     said = {r.pair_id: (r.prediction, r.response) for r in scored_pairs(spark, sf_dir).collect()}
     got = {r.pair_id: r.rougeLsum for r in table.collect()}
     assert got.keys() == said.keys() and all(got[k] == pytest.approx(score(*said[k]), abs=1e-6) for k in said)
+
+
+def test_pairs_that_add_nothing_are_not_compared(monkeypatch):
+    """A word that all lines hold links them all; most pairs cannot add to a line's union."""
+    calls = []
+    plain = scores.lcs_bits
+    monkeypatch.setattr(scores, "lcs_bits", lambda *a: calls.append(1) or plain(*a))
+    reference = [["the", f"a{i}", f"b{i}", "of", f"c{i}"] for i in range(60)]
+    prediction = [[line[0], line[2], line[3], line[4]] for line in reference]  # no line is equal to one
+    want = {(i, p) for i, r in enumerate(reference) for other in prediction for p in walked_back(r, other)}
+    assert summary_hits(prediction, reference) == len(want) == 240
+    assert len(calls) == 60  # of 3,600 pairs
