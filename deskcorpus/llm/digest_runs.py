@@ -18,9 +18,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from deskcorpus.llm.common import ascii_lower, hot_lookup, partitions, text_of, tidy
+from deskcorpus.llm.common import HOT_SHARE, ascii_lower, hot_lookup, partitions, text_of, tidy
 from deskcorpus.stages import evaluate_once, materialize
 
+BROADCAST_ROWS = 500_000  # identifiers of 8 bytes and what becomes of them
 FAN_BITS = 3  # a merge takes runs of up to 2**FAN_BITS partitions
 IDENTITY = ["digest", "n_bytes", "check"]
 RUN = "digest binary, n_bytes long, check long, keep_id long, group_size long"
@@ -126,12 +127,49 @@ def _answers(rows: DataFrame, groups: DataFrame) -> DataFrame:
 
 def keep_one(docs: DataFrame, largest: bool = True, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row of every group of equal texts, with the columns of ``docs``. Of rows that
-    repeat the identifier to keep, the one with the smallest text as written stays."""
+    repeat the identifier to keep, the one with the smallest text as written stays.
+
+    Digests alone tell which identifiers have only rows that go, so whole rows are not
+    shuffled for them while these identifiers are few enough to be broadcast, and once if
+    they are more. Rows of identifiers that have rows of both kinds, or several rows to
+    choose from, are looked up by their digests."""
+    rows = materialize(digests(docs, key, text))
     groups = materialize(
-        merge_runs(digests(docs, key, text), largest)
+        merge_runs(rows, largest)
         .where("group_size > 1")
         .withColumn("_n", F.col("group_size"))
     )
+    total = rows.count()
+    copies = F.col("group_size").isNotNull()
+    best = F.col("doc_id").eqNullSafe(F.col("keep_id"))
+    on = ["_none", "_id"]
+    place = lambda c: (c.isNull().alias("_none"), F.coalesce(c, F.lit(0)).alias("_id"))
+    ids = (
+        hot_lookup(rows, groups, IDENTITY, "_n", total)
+        .groupBy(*place(F.col("doc_id")))
+        .agg(
+            F.count(F.lit(1)).alias("_n"),
+            F.count_if(copies & ~best).alias("go"),
+            F.count_if(copies & best).alias("rivals"),
+        )
+    )
+    verdict = F.when(F.col("go") == F.col("_n"), "go").when((F.col("go") > 0) | (F.col("rivals") > 1), "look")
+    frequent = F.col("_n") > HOT_SHARE * max(total, 1)
+    marked = materialize(ids.select(*on, "_n", verdict.alias("_verdict")).where(F.col("_verdict").isNotNull() | frequent))
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    named = docs.select(whole, *place(F.col(f"`{key}`").cast("long")), F.xxhash64(F.col(f"`{text}`")).alias("_spread"))
+    if marked.count() <= BROADCAST_ROWS:
+        told = named.join(F.broadcast(marked.drop("_n")), on, "left")
+    else:
+        told = hot_lookup(named, marked, on, "_n", total)
+    stay = told.where("_verdict is null").select("row.*")
+    if marked.where("_verdict = 'look'").isEmpty():
+        return stay
+    return stay.unionByName(_looked_up(told.where("_verdict = 'look'").select("row.*"), groups, total, key, text))
+
+
+def _looked_up(docs: DataFrame, groups: DataFrame, total: int, key: str, text: str) -> DataFrame:
+    """The rows of ``docs`` that stay, found by the digest of each."""
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     normal = ascii_lower(text_of(f"`{text}`"))
     rows = evaluate_once(
@@ -140,7 +178,7 @@ def keep_one(docs: DataFrame, largest: bool = True, key: str = "doc_id", text: s
     ).select(
         "row", "doc_id", "digest", F.octet_length("t").cast("long").alias("n_bytes"), F.xxhash64("t").alias("check")
     )
-    found = hot_lookup(rows, groups, IDENTITY, "_n", docs.count())
+    found = hot_lookup(rows, groups, IDENTITY, "_n", total)
     alone = found.where("group_size is null").select("row")
     chosen = (
         found.where("group_size is not null and doc_id <=> keep_id")

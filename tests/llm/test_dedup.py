@@ -34,6 +34,31 @@ def test_exact_keep_one(spark):
     assert {r.doc_id for r in got.collect()} == {2, 3, 5, None, 6, 7, 9, 10}
 
 
+@pytest.mark.parametrize("limit", [digest_runs.BROADCAST_ROWS, -1])
+def test_exact_keep_one_of_repeated_identifiers(spark, monkeypatch, limit):
+    """Identifiers with rows that go and rows that stay, with rivals, and a frequent one."""
+    monkeypatch.setattr(digest_runs, "BROADCAST_ROWS", limit)
+    rows = [(1, "a"), (1, "b"), (2, "A"), (2, "a"), (3, "c"), (3, "c"), (None, "b"), (None, "n"), (None, "N"), (4, "d")]
+    rows += [(5, f"own {i}") for i in range(30)] + [(0, "n")] * 3
+    got = digest_runs.keep_one(frame(spark, rows))
+    assert got.columns == frame(spark, rows).columns
+    want = [(2, "A"), (1, "b"), (3, "c"), (4, "d"), (0, "n"), *rows[10:40]]
+    assert sorted((r.doc_id, r.text) for r in got.collect()) == sorted(want)
+
+
+def test_exact_keep_one_shuffles_no_texts(spark):
+    """Which rows go is told by digests, however the lookup of these is joined."""
+    docs = frame(spark, [(i, f"text {i % 40}") for i in range(60)])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = digest_runs.keep_one(docs)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert sorted(r.doc_id for r in got.collect()) == list(range(20, 60))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "hashpartitioning" not in plan
+
+
 def test_exact_rounds_and_empty_table(spark):
     assert digest_runs.rounds(50) == (64, [(0, 3), (3, 3)]) and digest_runs.rounds(1)[0] == 2
     empty = frame(spark, ROWS).where("false")
