@@ -13,6 +13,7 @@ the training vocabulary and one unknown word are alike."""
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,31 +29,31 @@ DISCOUNT = 0.75
 class BackoffModel:
     """``grams`` has (n, context, word, count) and ``contexts`` (n, context, total, kinds) of
     all orders n, contexts being words joined by spaces; ``vocabulary`` is the number of
-    different words."""
+    different words. A model counted for given windows is ``bounded``: it has what these look
+    up in each order and no more, windows that never occur with a count of 0."""
 
     order: int
     discount: float
     grams: DataFrame
     contexts: DataFrame
     vocabulary: int
+    bounded: bool = False
 
 
-def _windows(df: DataFrame, text: str, order: int, longest_only: bool, *carry: str) -> DataFrame:
-    """(*carry, n, context, word) of every place of every text: with the longest context
-    that is there, or with all contexts of up to ``order`` - 1 words."""
+def _windows(df: DataFrame, text: str, order: int, *carry: str) -> DataFrame:
+    """(*carry, n, context, word) of every place of every text, with the longest context of
+    up to ``order`` - 1 words that is there."""
     staged = evaluate_once(
         df.select(*[F.col(f"`{c}`") for c in carry], F.col(f"`{text}`").alias("_w")), {"_w": words(F.lower(F.col("_w")))}
     )
-    full = lambda at: F.least(at + 1, F.lit(order))
-    lengths = (lambda at: F.array(full(at))) if longest_only else (lambda at: F.sequence(F.lit(1), full(at)))
 
-    def window(at: Column, n: Column) -> Column:
+    def window(at: Column) -> Column:
+        n = F.least(at + 1, F.lit(order))
         context = F.array_join(F.slice("_w", at - n + 2, n - 1), " ")
         return F.struct(n.alias("n"), context.alias("context"), F.get("_w", at).alias("word"))
 
     places = F.when(F.size("_w") > 0, F.sequence(F.lit(0), F.size("_w") - 1)).otherwise(F.array().cast("array<int>"))
-    each = F.flatten(F.transform(places, lambda at: F.transform(lengths(at), lambda n: window(at, n))))
-    return staged.select(*carry, F.inline(each))
+    return staged.select(*carry, F.inline(F.transform(places, window)))
 
 
 def _shorter(context: Column) -> Column:
@@ -61,48 +62,88 @@ def _shorter(context: Column) -> Column:
     return F.when(at == 0, "").otherwise(F.substr(context, at + 1))
 
 
-def train_backoff(train: DataFrame, text: str, order: int = 3, discount: float = DISCOUNT) -> BackoffModel:
+def train_backoff(
+    train: DataFrame, text: str, order: int = 3, discount: float = DISCOUNT, asked: DataFrame | None = None
+) -> BackoffModel:
     """Count a model. Null and empty texts have no words. One pass over the texts counts the
-    windows of all orders, combined on the map side; lower orders come from these counts."""
+    longest window of each place, combined on the map side. All shorter windows are ends of
+    these, but for those at the start of a text, which are the longest of their place; so
+    every lower order is counted from the windows of the one above.
+
+    ``asked``, distinct rows (n, context, word), are counted along as windows that do not
+    occur. Each order then knows which of its windows are looked up and keeps only these, so
+    that no lookup shuffles the whole model once more."""
     if order < 1 or not 0 < discount < 1:
         raise ValueError("the order is at least 1 and the discount between 0 and 1")
-    raw = materialize(
-        _windows(train, text, order, False).groupBy("n", "context", "word").agg(F.count(F.lit(1)).alias("count"))
-    )
-    top = raw.where(F.col("n") == order)
-    lower = (
-        raw.where("n > 1")
-        .groupBy((F.col("n") - 1).alias("n"), _shorter(F.col("context")).alias("context"), "word")
-        .agg(F.count(F.lit(1)).alias("count"))
-    )
-    grams = materialize(top.unionByName(lower))
-    contexts = materialize(
-        grams.groupBy("n", "context").agg(F.sum("count").alias("total"), F.count(F.lit(1)).alias("kinds"))
-    )
-    vocabulary = raw.where("n = 1").count()
-    return BackoffModel(order, discount, grams, contexts, vocabulary)
+    bounded = asked is not None
+    zero, one = (F.lit(i).cast("long").alias("count") for i in (0, 1))
+    key = ["context", "word"]
+    found = _windows(train, text, order).select("n", *key, one, F.lit(not bounded).alias("asked"))
+    if bounded:
+        found = found.unionByName(asked.select("n", *key, zero, F.lit(True).alias("asked")))
+    longest = materialize(found.groupBy("n", *key).agg(F.sum("count").alias("count"), F.bool_or("asked").alias("asked")))
+    longest = longest.withColumn("seen", F.col("count") > 0)
+    grams, contexts = [], []
+    here = longest.where(F.col("n") == order).select(*key, "count", "asked", "seen")
+    for n in range(order, 0, -1):
+        grams.append(here.where("asked" if bounded else "count > 0").select(F.lit(n).alias("n"), *key, "count"))
+        sums = here.groupBy("context").agg(
+            F.sum("count").alias("total"), F.count_if(F.col("count") > 0).alias("kinds"), F.bool_or("asked").alias("asked")
+        )
+        known = sums.where("asked and total > 0")
+        contexts.append(materialize(known.select(F.lit(n).alias("n"), "context", "total", "kinds")))
+        if n > 1:
+            ends = here.select(
+                _shorter(F.col("context")).alias("context"), "word", F.col("seen").cast("long").alias("count"), "asked", "seen"
+            )
+            starts = longest.where(F.col("n") == n - 1).select(*key, zero, "asked", "seen")
+            marks = [F.bool_or(c).alias(c) for c in ("asked", "seen")]
+            here = materialize(ends.unionByName(starts).groupBy(*key).agg(F.sum("count").alias("count"), *marks))
+    vocabulary = here.where("seen").count()
+    all_grams, all_contexts = (reduce(DataFrame.unionByName, parts) for parts in (grams, contexts))
+    return BackoffModel(order, discount, all_grams, all_contexts, vocabulary, bounded)
+
+
+def _asked_counts(asked: DataFrame, model: BackoffModel) -> dict[int, DataFrame]:
+    """For each order the (context, word, count) that are looked up: an order asks the ends
+    of its windows of the one below, each once."""
+    counted, here = {}, None
+    for n in range(model.order, 0, -1):
+        grams = model.grams.where(F.col("n") == n).select("context", "word", "count")
+        if not model.bounded:
+            own = asked.where(F.col("n") == n).select("context", "word")
+            if here is not None:
+                own = own.unionByName(here.select(_shorter(F.col("context")).alias("context"), "word")).distinct()
+            here = materialize(own)
+            grams = here.join(grams, ["context", "word"], "left").fillna(0, ["count"])
+        counted[n] = grams
+    return counted
+
+
+def _probabilities(asked: DataFrame, model: BackoffModel) -> DataFrame:
+    """(n, context, word, p) of all windows asked and of their ends, from the lowest order
+    up. Common contexts and ends are broadcast, as in every lookup join."""
+    d = F.lit(model.discount)
+    p, done = F.lit(1.0 / (model.vocabulary + 1)), []
+    for n, counts in sorted(_asked_counts(asked, model).items()):
+        contexts = model.contexts.where(F.col("n") == n).select("context", "total", "kinds")
+        if n == 1:  # a single context
+            staged = counts.join(F.broadcast(contexts), "context", "left")
+        else:
+            staged = lookup_join(counts if model.bounded else materialize(counts), contexts, ["context"])
+            ends = staged.withColumn("_end", _shorter(F.col("context")))
+            lower = done[-1].select(F.col("context").alias("_end"), "word", "p")
+            staged, p = lookup_join(materialize(ends), lower, ["_end", "word"]), F.col("p")
+        seen = F.greatest(F.col("count") - d, F.lit(0.0)) / F.col("total")
+        mixed = F.when(F.col("total").isNull(), p).otherwise(seen + d * F.col("kinds") / F.col("total") * p)
+        done.append(materialize(staged.select(F.lit(n).alias("n"), "context", "word", mixed.alias("p"))))
+    return reduce(DataFrame.unionByName, done)
 
 
 def backoff_probabilities(asked: DataFrame, model: BackoffModel) -> DataFrame:
-    """``asked``, distinct rows with n, context and word, and their probability ``p``: a chain
-    of lookups from the lowest order up, two for an order. Common contexts are broadcast, as
-    in every lookup join; each order's result is written, for the next reads it several times."""
-    known = asked.withColumns({"p": F.lit(1.0 / (model.vocabulary + 1)), "_tail": F.split("context", " ")})
-    for n in range(1, model.order + 1):
-        tail = F.array_join(F.slice("_tail", 1 - n, n - 1), " ") if n > 1 else F.lit("")
-        known = known.withColumn("_h", F.when(F.col("n") >= n, tail))
-        contexts = model.contexts.where(F.col("n") == n).select(F.col("context").alias("_h"), "total", "kinds")
-        grams = model.grams.where(F.col("n") == n).select(F.col("context").alias("_h"), F.col("word"), "count")
-        if n == 1:  # a single context
-            staged = known.join(F.broadcast(contexts), "_h", "left")
-        else:
-            staged = lookup_join(materialize(known), contexts, ["_h"])
-        staged = lookup_join(materialize(staged), grams, ["_h", "word"])
-        seen = F.greatest(F.coalesce("count", F.lit(0)) - F.lit(model.discount), F.lit(0.0)) / F.col("total")
-        rest = F.lit(model.discount) * F.col("kinds") / F.col("total")
-        p = F.when(F.col("total").isNull(), F.col("p")).otherwise(seen + rest * F.col("p"))
-        known = materialize(staged.withColumn("p", p).drop("_h", "total", "kinds", "count"))
-    return known.drop("_tail")
+    """``asked``, distinct rows with n up to the model's order, context and word, and their
+    probability ``p``. A bounded model answers only what it was counted for."""
+    return asked.join(_probabilities(asked, model), ["n", "context", "word"])
 
 
 def backoff_losses(
@@ -113,11 +154,13 @@ def backoff_losses(
     training table makes every word an unknown one. Rows that share a key are one text.
 
     Each different pair of context and word is looked up once, however many texts have it."""
-    model = train_backoff(train, text, order, discount)
+    if order < 1:
+        raise ValueError("the order is at least 1")
     places = materialize(
-        _windows(test, text, order, True, key).groupBy(key, "n", "context", "word").agg(F.count(F.lit(1)).alias("times"))
+        _windows(test, text, order, key).groupBy(key, "n", "context", "word").agg(F.count(F.lit(1)).alias("times"))
     )
     at = ["n", "context", "word"]
-    scored = backoff_probabilities(places.select(*at).distinct(), model)
+    asked = places.select(*at).distinct()
+    scored = _probabilities(asked, train_backoff(train, text, order, discount, asked))
     found = lookup_join(places, scored, at)
     return found.groupBy(key).agg((F.sum(-F.col("times") * F.ln("p")) / F.sum("times")).alias("loss"))

@@ -8,6 +8,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from deskcorpus import stages
 from deskcorpus.operators import backoff, guardrail, phrases, profile
 
 
@@ -183,3 +184,18 @@ def test_backoff_without_training_texts(spark):
     assert backoff.backoff_losses(test, none, "id", "text").collect() == []
     with pytest.raises(ValueError):
         backoff.train_backoff(test, "text", 0)
+
+
+def test_backoff_writes_each_window_of_the_training_texts_once(spark, tmp_path, monkeypatch):
+    """Only what the test texts look up is written besides the longest windows and their ends."""
+    rng = random.Random(3)
+    texts = [" ".join(f"w{rng.randrange(300)}" for _ in range(100)) for _ in range(120)]
+    train = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, text string")
+    test = spark.createDataFrame([(i, t) for i, t in enumerate(texts[:2] + ["w1 w2 new w1"])], "id int, text string")
+    monkeypatch.setattr(stages, "scratch_dir", lambda spark: f"{tmp_path}/{len(list(tmp_path.iterdir()))}")
+    got = {r.id: r.loss for r in backoff.backoff_losses(train, test, "id", "text").collect()}
+    p, _ = model_by_hand(texts, 3)
+    w = ["w1", "w2", "new", "w1"]
+    assert got[2] == pytest.approx(sum(-math.log(p(w[max(0, k - 2) : k], w[k])) for k in range(4)) / 4)
+    written = sum(spark.read.parquet(str(folder)).count() for folder in tmp_path.iterdir())
+    assert written < 3 * 120 * 100
