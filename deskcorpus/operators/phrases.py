@@ -10,6 +10,8 @@ from deskcorpus.operators.joins import lookup_join
 from deskcorpus.stages import evaluate_once, materialize
 
 MAX_LENGTHS = 64
+BROADCAST_BYTES = 16 << 20
+ROW_BYTES = 64  # what a row takes besides its strings
 
 
 def phrase_words(col: Column) -> Column:
@@ -32,10 +34,11 @@ def find_phrases(df: DataFrame, key: str, text: str, phrases: DataFrame, phrase:
 
     For each phrase length the texts' windows are joined with the phrases of that length by
     their words, so the work does not grow with the list, and no pattern is built from it.
-    Only windows travel, under their key. Windows that are common, such as a frequent word
-    among the phrases, are looked up in a broadcast of bounded size. Null texts and phrases
-    have no words; rows that share a key are searched each on its own. The different lengths
-    of phrases, at most MAX_LENGTHS, are collected."""
+    A table of up to BROADCAST_BYTES goes to the texts, whose windows then stay where they
+    are. With a larger one windows travel, under their key, and those that are common, such
+    as a frequent word among the phrases, are looked up in a broadcast of bounded size. Null
+    texts and phrases have no words; rows that share a key are searched each on its own. The
+    different lengths of phrases, at most MAX_LENGTHS, are collected."""
     table = materialize(phrase_table(phrases, phrase))
     lengths = sorted(r.k for r in table.select("k").distinct().limit(MAX_LENGTHS + 1).collect())
     if len(lengths) > MAX_LENGTHS:
@@ -50,6 +53,10 @@ def find_phrases(df: DataFrame, key: str, text: str, phrases: DataFrame, phrase:
         return F.transform(places, lambda at: F.struct(at.alias("position"), F.lit(k).alias("k"), window(at)))
 
     entries = F.concat(*map(of_length, lengths)) if lengths else F.expr("array(struct(0 as position, 1 as k, '' as words))")
-    windows = materialize(split.select("_key", F.inline(entries)))
-    found = lookup_join(windows, table, ["words", "k"]).where("phrase is not null")
+    windows = split.select("_key", F.inline(entries))
+    size = table.agg(F.sum(F.octet_length("words") + F.octet_length("phrase") + ROW_BYTES)).first()[0]
+    if (size or 0) <= BROADCAST_BYTES:
+        found = windows.join(F.broadcast(table), ["words", "k"])
+    else:
+        found = lookup_join(materialize(windows), table, ["words", "k"]).where("phrase is not null")
     return found.select(F.col("_key").alias(key), "phrase", "position")

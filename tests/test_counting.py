@@ -199,3 +199,17 @@ def test_backoff_writes_each_window_of_the_training_texts_once(spark, tmp_path,
     assert got[2] == pytest.approx(sum(-math.log(p(w[max(0, k - 2) : k], w[k])) for k in range(4)) / 4)
     written = sum(spark.read.parquet(str(folder)).count() for folder in tmp_path.iterdir())
     assert written < 3 * 120 * 100
+
+
+@pytest.mark.parametrize("limit", [phrases.BROADCAST_BYTES, -1])
+def test_phrases_by_both_ways(spark, tmp_path, monkeypatch, limit):
+    """A small table goes to the texts, and none of their windows is written."""
+    monkeypatch.setattr(stages, "scratch_dir", lambda spark: f"{tmp_path}/{len(list(tmp_path.iterdir()))}")
+    monkeypatch.setattr(phrases, "BROADCAST_BYTES", limit)
+    table = spark.createDataFrame([("b c",), ("C!",), ("b  C",), ("hot",), (None,)], "phrase string")
+    texts = [(1, "a b c, B-c"), (1, "c"), (2, None), (None, "hot " * 50)]
+    got = phrases.find_phrases(spark.createDataFrame(texts, "id int, t string"), "id", "t", table)
+    want = [(1, "C!", 2), (1, "C!", 4), (1, "C!", 0), (1, "b  C", 1), (1, "b  C", 3)]
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(want + [(None, "hot", i) for i in range(50)], key=str)
+    written = sum(spark.read.parquet(str(folder)).count() for folder in tmp_path.iterdir())
+    assert (written == 3) == (limit > 0)
