@@ -19,9 +19,14 @@ def _bigrams(df: DataFrame, text: str, *carry: str) -> DataFrame:
     return named.where("word is not null")  # the last word has no successor
 
 
-def bigram_counts(train: DataFrame, text: str) -> DataFrame:
-    """(prev, word, n) counts, combined on the map side."""
-    return _bigrams(train, text).groupBy("prev", "word").agg(F.count(F.lit(1)).alias("n"))
+def bigram_counts(train: DataFrame, text: str, asked: DataFrame) -> DataFrame:
+    """(prev, word, n, asked) counts, combined on the map side. The pairs of ``asked`` (prev,
+    word, asked), told with how often each will be looked up, are counted along as pairs that
+    do not occur, so that they are found without shuffling all pairs again."""
+    zero = F.lit(0).cast("long")
+    pairs = _bigrams(train, text).select("prev", "word", F.lit(1).cast("long").alias("n"), zero.alias("asked"))
+    both = pairs.unionByName(asked.select("prev", "word", zero.alias("n"), "asked"))
+    return both.groupBy("prev", "word").agg(F.sum("n").alias("n"), F.sum("asked").alias("asked"))
 
 
 def bigram_losses(
@@ -31,31 +36,37 @@ def bigram_losses(
     p(word | prev) = (n(prev, word) + k) / (n(prev) + k * V) and V is the training
     vocabulary plus one. Texts with fewer than two words have no loss.
 
-    The counts are the model and are written once, as are the test pairs, counted per text
-    so that repeats travel once. The log of the quotient splits into two independent
-    lookups, whose terms are added per text, so neither join has to wait for the other.
-    Which pairs are heavy is told by the test texts themselves: a pair may be frequent
-    there and yet unknown to the model."""
-    pair_counts = materialize(bigram_counts(train, text))
-    prev_counts = pair_counts.groupBy("prev").agg(F.sum("n").alias("m"))
+    The test pairs are written once, counted per text so that repeats travel once, as are
+    the counts, which are the model; lookups take only those of its rows that the test
+    texts ask for. The log of the quotient splits into two independent lookups, whose terms
+    are added per text, so neither join has to wait for the other. Which pairs are heavy is
+    told by the test texts themselves: a pair may be frequent there and yet unknown to the
+    model."""
+    seen = _bigrams(test, text, key).groupBy(key, "prev", "word")
+    facts = materialize(seen.agg(F.count(F.lit(1)).alias("times")))
+    asked = facts.groupBy("prev", "word").agg(F.count(F.lit(1)).alias("asked"))
+    pair_counts = materialize(bigram_counts(train, text, asked))
+    prev_counts = materialize(
+        pair_counts.groupBy("prev").agg(F.sum("n").alias("m"), (F.sum("asked") > 0).alias("asked"))
+    )
+    words_seen = pair_counts.where("n > 0").select(F.col("word").alias("w"))
     vocabulary = (
-        pair_counts.select(F.explode(F.array("prev", "word")).alias("w"))
+        words_seen.unionByName(prev_counts.where("m > 0").select(F.col("prev").alias("w")))
         .distinct()
         .agg(F.count(F.lit(1)) + 1)
         .scalar()
     )
-    seen = _bigrams(test, text, key).groupBy(key, "prev", "word")
-    facts = materialize(seen.agg(F.count(F.lit(1)).alias("times")))
     zero, times = F.lit(0), F.col("times")
-    top = lookup_join(facts, pair_counts, ["prev", "word"]).select(
+    looked_up = pair_counts.where("asked > 0")
+    top = lookup_join(facts, looked_up, ["prev", "word"], weight="asked").select(
         key,
-        (-times * F.ln(F.coalesce("n", zero) + F.lit(k))).alias("term"),
+        (-times * F.ln(F.col("n") + F.lit(k))).alias("term"),
         times.alias("pairs"),
     )
     firsts = facts.groupBy(key, "prev").agg(F.sum("times").alias("times"))
-    bottom = lookup_join(firsts, prev_counts, ["prev"]).select(
+    bottom = lookup_join(firsts, prev_counts.where("asked").drop("asked"), ["prev"]).select(
         key,
-        (times * F.ln(F.coalesce("m", zero) + F.lit(k) * vocabulary)).alias("term"),
+        (times * F.ln(F.col("m") + F.lit(k) * vocabulary)).alias("term"),
         zero.cast("bigint").alias("pairs"),
     )
     return (

@@ -286,6 +286,23 @@ def test_loss_with_a_hot_pair_unseen_in_training(spark):
     assert got[2] == pytest.approx(p(0, 0)) and got[3] == pytest.approx(p(2, 2))
 
 
+def test_loss_lookups_shuffle_only_what_the_test_texts_ask(spark):
+    """Of many training pairs the joins get the few that occur in the test texts."""
+    train = spark.createDataFrame([(i, f"a{i} b{i} c{i} a0") for i in range(3000)], "id int, text string")
+    test = spark.createDataFrame([(1, "a0 b0 a0"), (2, "x")], "id int, text string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = loss.bigram_losses(train, test, "id", "text")
+        (row,) = found.collect()
+        plan = found._jdf.queryExecution().executedPlan()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    v = 9001
+    assert row.loss == pytest.approx((-math.log(2 / (1 + v)) - math.log(1 / (1 + v))) / 2)
+    text = plan.toString()
+    assert "SortMergeJoin" in text and "asked" in text and "PushedFilters: [IsNotNull(asked), GreaterThan(asked,0)" in text
+
+
 TURN = "conv_id long, turn long, role string, text string"
 
 
