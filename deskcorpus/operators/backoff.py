@@ -8,142 +8,228 @@ the next lower order, in proportion to the number of different words after the c
     p(w | h) = max(n(h, w) - d, 0) / n(h) + d * kinds(h) / n(h) * p(w | h without its first word)
 
 A context that was never seen leaves the word to the lower order; below order 1 all words of
-the training vocabulary and one unknown word are alike."""
+the training vocabulary and one unknown word are alike.
+
+Windows travel in packs, see ``packs``, dealt by their context; a task counts those of its
+share, answers what is asked of them and passes the ends of both on to the order below."""
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from functools import reduce
+from functools import cached_property
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StructType
 
 from deskcorpus.functions.tokens import words
-from deskcorpus.operators.joins import lookup_join
-from deskcorpus.stages import evaluate_once, materialize
+from deskcorpus.operators import packs
+from deskcorpus.operators.packs import Asked, Table, Windows
+from deskcorpus.stages import materialize
 
 DISCOUNT = 0.75
+SHARE_BYTES = 16 << 20  # training text whose windows are one share
+LEAST_BYTES = 1 << 20
+CHUNK = 1 << 21  # words that are packed, and windows that are looked up, at a time
+HOLD = 1 << 22  # windows that are held before equal ones are joined
 
 
 @dataclass(frozen=True)
 class BackoffModel:
-    """``grams`` has (n, context, word, count) and ``contexts`` (n, context, total, kinds) of
-    all orders n, contexts being words joined by spaces; ``vocabulary`` is the number of
-    different words. A model counted for given windows is ``bounded``: it has what these look
-    up in each order and no more, windows that never occur with a count of 0."""
+    """``windows`` has the longest window of each place of the training texts in packs, dealt
+    to so many ``shares``; ``vocabulary`` is the number of different words."""
 
     order: int
     discount: float
-    grams: DataFrame
-    contexts: DataFrame
-    vocabulary: int
-    bounded: bool = False
+    windows: DataFrame
+    shares: int
+
+    @cached_property
+    def vocabulary(self) -> int:
+        return _totals(_lowest(self.windows, self), self)[0]
+
+
+def _by(n: int, asked: bool) -> list[int]:
+    """The words of a window of order n that choose its share: its context, if it has one.
+    Pairs are first joined in shares of their own, see ``_lowest``."""
+    return [0, 1] if n == 2 and not asked else list(range(n - 1)) or [0]
+
+
+def _packed(df: DataFrame, text: Column, order: int, shares: int, key: Column | None = None, last: bool = False) -> DataFrame:
+    """Packs of the longest windows of all places of texts, which are arrays of words. Those
+    of texts with a ``key`` are asked for, if wanted the ``last`` one of each text only."""
+    chunk, asked = CHUNK, key is not None
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for texts in packs.chunks(batches, chunk):
+            rows = packs.asking(texts, order, last) if asked else packs.counted(texts, order)
+            yield packs.dealt(rows, _by(order, asked), shares)
 
-def _windows(df: DataFrame, text: str, order: int, *carry: str) -> DataFrame:
-    """(*carry, n, context, word) of every place of every text, with the longest context of
-    up to ``order`` - 1 words that is there."""
-    staged = evaluate_once(
-        df.select(*[F.col(f"`{c}`") for c in carry], F.col(f"`{text}`").alias("_w")), {"_w": words(F.lower(F.col("_w")))}
-    )
+    return df.select(text, *([key] if asked else [])).mapInArrow(run, packs.SCHEMA)
 
-    def window(at: Column) -> Column:
-        n = F.least(at + 1, F.lit(order))
-        context = F.array_join(F.slice("_w", at - n + 2, n - 1), " ")
-        return F.struct(n.alias("n"), context.alias("context"), F.get("_w", at).alias("word"))
 
-    places = F.when(F.size("_w") > 0, F.sequence(F.lit(0), F.size("_w") - 1)).otherwise(F.array().cast("array<int>"))
-    return staged.select(*carry, F.inline(F.transform(places, window)))
+def _words(text: str) -> Column:
+    return words(F.lower(F.col(f"`{text}`"))).alias("words")
 
 
-def _shorter(context: Column) -> Column:
-    """A context without its first word."""
-    at = F.locate(" ", context)
-    return F.when(at == 0, "").otherwise(F.substr(context, at + 1))
+def _shares(*texts: DataFrame) -> int:
+    """Shares of about SHARE_BYTES of text, or more of them up to the session's number of
+    shuffle partitions while they have LEAST_BYTES."""
+    sizes = [t.agg(F.sum(F.octet_length(F.col(f"`{t.columns[0]}`")).cast("long"))).first()[0] or 0 for t in texts]
+    usual = int(texts[0].sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, -(-max(sizes) // SHARE_BYTES), min(usual, -(-max(sizes) // LEAST_BYTES)))
 
 
 def train_backoff(
-    train: DataFrame, text: str, order: int = 3, discount: float = DISCOUNT, asked: DataFrame | None = None
+    train: DataFrame, text: str, order: int = 3, discount: float = DISCOUNT, shares: int | None = None, lasting: bool = True
 ) -> BackoffModel:
-    """Count a model. Null and empty texts have no words. One pass over the texts counts the
-    longest window of each place, combined on the map side. All shorter windows are ends of
-    these, but for those at the start of a text, which are the longest of their place; so
-    every lower order is counted from the windows of the one above.
-
-    ``asked``, distinct rows (n, context, word), are counted along as windows that do not
-    occur. Each order then knows which of its windows are looked up and keeps only these, so
-    that no lookup shuffles the whole model once more."""
+    """Count a model. Null and empty texts have no words. One pass over the texts packs the
+    longest window of each place, equal ones joined. All shorter windows are ends of these,
+    those at the start of a text being filled up in front; so every lower order is counted
+    from the windows of the one above. A ``lasting`` model keeps its packs, any other reads
+    the texts whenever it is used."""
     if order < 1 or not 0 < discount < 1:
         raise ValueError("the order is at least 1 and the discount between 0 and 1")
-    bounded = asked is not None
-    zero, one = (F.lit(i).cast("long").alias("count") for i in (0, 1))
-    key = ["context", "word"]
-    found = _windows(train, text, order).select("n", *key, one, F.lit(not bounded).alias("asked"))
-    if bounded:
-        found = found.unionByName(asked.select("n", *key, zero, F.lit(True).alias("asked")))
-    longest = materialize(found.groupBy("n", *key).agg(F.sum("count").alias("count"), F.bool_or("asked").alias("asked")))
-    longest = longest.withColumn("seen", F.col("count") > 0)
-    grams, contexts = [], []
-    here = longest.where(F.col("n") == order).select(*key, "count", "asked", "seen")
-    for n in range(order, 0, -1):
-        grams.append(here.where("asked" if bounded else "count > 0").select(F.lit(n).alias("n"), *key, "count"))
-        sums = here.groupBy("context").agg(
-            F.sum("count").alias("total"), F.count_if(F.col("count") > 0).alias("kinds"), F.bool_or("asked").alias("asked")
-        )
-        known = sums.where("asked and total > 0")
-        contexts.append(materialize(known.select(F.lit(n).alias("n"), "context", "total", "kinds")))
-        if n > 1:
-            ends = here.select(
-                _shorter(F.col("context")).alias("context"), "word", F.col("seen").cast("long").alias("count"), "asked", "seen"
-            )
-            starts = longest.where(F.col("n") == n - 1).select(*key, zero, "asked", "seen")
-            marks = [F.bool_or(c).alias(c) for c in ("asked", "seen")]
-            here = materialize(ends.unionByName(starts).groupBy(*key).agg(F.sum("count").alias("count"), *marks))
-    vocabulary = here.where("seen").count()
-    all_grams, all_contexts = (reduce(DataFrame.unionByName, parts) for parts in (grams, contexts))
-    return BackoffModel(order, discount, all_grams, all_contexts, vocabulary, bounded)
-
-
-def _asked_counts(asked: DataFrame, model: BackoffModel) -> dict[int, DataFrame]:
-    """For each order the (context, word, count) that are looked up: an order asks the ends
-    of its windows of the one below, each once."""
-    counted, here = {}, None
-    for n in range(model.order, 0, -1):
-        grams = model.grams.where(F.col("n") == n).select("context", "word", "count")
-        if not model.bounded:
-            own = asked.where(F.col("n") == n).select("context", "word")
-            if here is not None:
-                own = own.unionByName(here.select(_shorter(F.col("context")).alias("context"), "word")).distinct()
-            here = materialize(own)
-            grams = here.join(grams, ["context", "word"], "left").fillna(0, ["count"])
-        counted[n] = grams
-    return counted
-
-
-def _probabilities(asked: DataFrame, model: BackoffModel) -> DataFrame:
-    """(n, context, word, p) of all windows asked and of their ends, from the lowest order
-    up. Common contexts and ends are broadcast, as in every lookup join."""
-    d = F.lit(model.discount)
-    p, done = F.lit(1.0 / (model.vocabulary + 1)), []
-    for n, counts in sorted(_asked_counts(asked, model).items()):
-        contexts = model.contexts.where(F.col("n") == n).select("context", "total", "kinds")
-        if n == 1:  # a single context
-            staged = counts.join(F.broadcast(contexts), "context", "left")
-        else:
-            staged = lookup_join(counts if model.bounded else materialize(counts), contexts, ["context"])
-            ends = staged.withColumn("_end", _shorter(F.col("context")))
-            lower = done[-1].select(F.col("context").alias("_end"), "word", "p")
-            staged, p = lookup_join(materialize(ends), lower, ["_end", "word"]), F.col("p")
-        seen = F.greatest(F.col("count") - d, F.lit(0.0)) / F.col("total")
-        mixed = F.when(F.col("total").isNull(), p).otherwise(seen + d * F.col("kinds") / F.col("total") * p)
-        done.append(materialize(staged.select(F.lit(n).alias("n"), "context", "word", mixed.alias("p"))))
-    return reduce(DataFrame.unionByName, done)
+    shares = shares or _shares(train.select(f"`{text}`"))
+    windows = _packed(train, _words(text), order, shares)
+    return BackoffModel(order, discount, materialize(windows) if lasting else windows, shares)
+
+
+def _by_share(rows: DataFrame, model: BackoffModel) -> DataFrame:
+    """A task per share, what is counted before what is asked."""
+    return rows.repartitionById(model.shares, F.col("share")).sortWithinPartitions("asked")
+
+
+def _joined(rows: Iterator[Windows], order: int, hold: int) -> Windows:
+    """All windows of a share, equal ones joined whenever twice as many have come together."""
+    held, size, room = [], 0, hold
+    for some in rows:
+        held.append(some)
+        size += len(some)
+        if size >= room:
+            held = [Windows.joined(held, order)]
+            size, room = len(held[0]), max(hold, 2 * len(held[0]))
+    return Windows.joined(held, order)
+
+
+def _together(first: Asked, rows: Iterator[Asked], chunk: int) -> Iterator[Asked]:
+    """What is asked, about ``chunk`` windows at a time, so that it need not fit in memory."""
+    held = [first]
+    for some in rows:
+        if sum(map(len, held)) + len(some) > chunk:
+            yield Asked.joined(held)
+            held = []
+        held.append(some)
+    yield Asked.joined(held)
+
+
+def _share(batches: Iterator[pa.RecordBatch], order: int, hold: int, chunk: int) -> tuple[Windows, Iterator[Asked]]:
+    """The windows of a share and what is asked of it."""
+    rows, first = packs.opened(batches), []
+
+    def windows() -> Iterator[Windows]:
+        for some in rows:
+            if isinstance(some, Asked):
+                first.append(some)
+                return
+            yield some
+
+    joined = _joined(windows(), order, hold)
+    return joined, _together(first[0], rows, chunk) if first else iter(())
+
+
+def _lowest(rows: DataFrame, model: BackoffModel) -> DataFrame:
+    """From packs of the highest order to those of order 1. Each order adds its own part to
+    p = a + b * (p by the order below). Pairs of words are joined before their first word
+    chooses the share, which then gets each pair of a common word once."""
+    d, shares, hold, chunk = model.discount, model.shares, HOLD, CHUNK
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        asked = []
+
+        def windows() -> Iterator[Windows]:
+            for batch in batches:
+                flags = batch.column("asked")
+                yield from packs.opened([batch.filter(pc.invert(flags))])
+                if flags.true_count:
+                    asked.append(batch.filter(flags))
+                    return
+
+        yield packs.dealt(_joined(windows(), 2, hold), _by(2, True), shares)
+        yield from asked  # only what is asked is left
+        yield from batches
+
+    def step(n: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            windows, asked = _share(batches, n, hold, chunk)
+            table = Table(windows)
+            for some in asked:
+                count, total, kinds = table.find(some)
+                part = some.b / np.maximum(total, 1)
+                a = some.a + np.where(total > 0, part * np.maximum(count - d, 0.0), 0.0)
+                b = np.where(total > 0, part * d * kinds, some.b)
+                yield packs.dealt(some.ends(a, b), _by(n - 1, True), shares)
+            yield packs.dealt(windows.ends(), _by(n - 1, False), shares)
+
+        return run
+
+    for n in range(model.order, 1, -1):
+        if n == 2:
+            rows = _by_share(rows, model).mapInArrow(pairs, packs.SCHEMA)
+        rows = _by_share(rows, model).mapInArrow(step(n), packs.SCHEMA)
+    return materialize(rows)
+
+
+def _totals(lowest: DataFrame, model: BackoffModel) -> tuple[int, int, int]:
+    """How many different words there are, their counts in order 1, and how many have one."""
+    hold = HOLD
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        windows = _joined(packs.opened(batches), 1, hold)
+        sums = [len(windows), int(windows.count.sum()), int((windows.count > 0).sum())]
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()) for n in sums], ["words", "total", "kinds"])
+
+    sums = _by_share(lowest.where("not asked"), model).mapInArrow(run, "words long, total long, kinds long")
+    return tuple(n or 0 for n in sums.agg(F.sum("words"), F.sum("total"), F.sum("kinds")).first())
+
+
+def _answers(lowest: DataFrame, model: BackoffModel, key: DataType, summed: bool) -> DataFrame:
+    """(key, p) of each window that is asked or, ``summed``, (key, loss, times): its part of
+    the loss of its key."""
+    different, total, kinds = _totals(lowest, model)
+    d, hold, chunk, unknown = model.discount, HOLD, CHUNK, 1.0 / (different + 1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        windows, asked = _share(batches, 1, hold, chunk)
+        table = Table(windows)
+        for some in asked:
+            count, _, _ = table.find(some)
+            lower = np.maximum(count - d, 0.0) / total + d * kinds / total * unknown if total else unknown
+            p = some.a + some.b * lower
+            if not summed:
+                yield pa.RecordBatch.from_arrays([some.keys.take(pa.array(some.who)), pa.array(p)], ["key", "p"])
+                continue
+            times = np.bincount(some.who, some.times, len(some.keys)).astype(np.int64)
+            loss = np.bincount(some.who, some.times * -np.log(p), len(some.keys))
+            yield pa.RecordBatch.from_arrays([some.keys, pa.array(loss), pa.array(times)], ["key", "loss", "times"])
+
+    schema = StructType().add("key", key).add("loss" if summed else "p", "double")
+    return _by_share(lowest, model).mapInArrow(run, schema.add("times", "long") if summed else schema)
 
 
 def backoff_probabilities(asked: DataFrame, model: BackoffModel) -> DataFrame:
     """``asked``, distinct rows with n up to the model's order, context and word, and their
-    probability ``p``. A bounded model answers only what it was counted for."""
-    return asked.join(_probabilities(asked, model), ["n", "context", "word"])
+    probability ``p``."""
+    key = F.struct(*[F.col(f"`{c}`") for c in asked.columns]).alias("key")
+    before = F.filter(F.split("context", " "), lambda w: w != "")
+    rows = asked.dropna(subset=["n", "context", "word"])
+    windows = _packed(rows, F.concat(before, F.array("word")).alias("words"), model.order, model.shares, key, last=True)
+    lowest = _lowest(model.windows.unionByName(windows), model)
+    return _answers(lowest, model, rows.select(key).schema["key"].dataType, summed=False).select("key.*", "p")
 
 
 def backoff_losses(
@@ -153,14 +239,11 @@ def backoff_losses(
     first ones after as many words as there are. Texts without words have no loss; an empty
     training table makes every word an unknown one. Rows that share a key are one text.
 
-    Each different pair of context and word is looked up once, however many texts have it."""
-    if order < 1:
-        raise ValueError("the order is at least 1")
-    places = materialize(
-        _windows(test, text, order, key).groupBy(key, "n", "context", "word").agg(F.count(F.lit(1)).alias("times"))
-    )
-    at = ["n", "context", "word"]
-    asked = places.select(*at).distinct()
-    scored = _probabilities(asked, train_backoff(train, text, order, discount, asked))
-    found = lookup_join(places, scored, at)
-    return found.groupBy(key).agg((F.sum(-F.col("times") * F.ln("p")) / F.sum("times")).alias("loss"))
+    What the test texts ask travels along with the training windows, once for each text and
+    different window."""
+    shares = _shares(train.select(f"`{text}`"), test.select(f"`{text}`"))
+    model = train_backoff(train, text, order, discount, shares, lasting=False)
+    asked = _packed(test, _words(text), order, shares, F.col(f"`{key}`").alias("key"))
+    lowest = _lowest(model.windows.unionByName(asked), model)
+    parts = _answers(lowest, model, test.schema[key].dataType, summed=True).groupBy(F.col("key").alias(key))
+    return parts.agg((F.sum("loss") / F.sum("times")).alias("loss"))

@@ -5,11 +5,12 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from deskcorpus import stages
-from deskcorpus.operators import backoff, guardrail, phrases, profile
+from deskcorpus.operators import backoff, guardrail, packs, phrases, profile
 
 
 def terms_of(df):
@@ -201,6 +202,46 @@ def test_backoff_writes_each_window_of_the_training_texts_once(spark, tmp_path,
     assert written < 3 * 120 * 100
 
 
+@pytest.mark.parametrize("order", [1, 2, 3, 5])
+def test_windows_travel_in_packs(spark, tmp_path, monkeypatch, order):
+    """Rows hold many windows each, and nothing changes when they come in small pieces."""
+    rng = random.Random(5)
+    texts = [" ".join(f"w{int(1 / (rng.random() + 0.003))}" for _ in range(rng.randrange(120))) for _ in range(90)]
+    train = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, text string").repartition(3)
+    asked = [(i % 3, " ".join(t.split()[::-1]) if i % 2 else t) for i, t in enumerate(texts[:7])] + [(None, "w1 w1 new"), (9, "")]
+    test = spark.createDataFrame(asked, "id int, text string").repartition(2)
+    monkeypatch.setattr(stages, "scratch_dir", lambda spark: f"{tmp_path}/{len(list(tmp_path.iterdir()))}")
+
+    def losses():
+        return {r.id: r.loss for r in backoff.backoff_losses(train, test, "id", "text", order=order).collect()}
+
+    whole = losses()
+    written = sum(spark.read.parquet(str(folder)).count() for folder in tmp_path.iterdir())
+    assert written < 100 < sum(len(t.split()) for t in texts) / 40
+    for name, value in {"CHUNK": 150, "HOLD": 100, "SHARE_BYTES": 2000}.items():
+        monkeypatch.setattr(backoff, name, value)
+    assert losses() == pytest.approx(whole, rel=1e-12)
+    p, _ = model_by_hand(texts, order)
+    want = {}
+    for key, t in asked:
+        w = t.split()
+        want.setdefault(key, []).extend(-math.log(p(w[max(0, k - order + 1) : k], w[k])) for k in range(len(w)))
+    assert whole == pytest.approx({key: sum(v) / len(v) for key, v in want.items() if v})
+
+
+def test_codes_order_rows_and_find_them():
+    draw = np.random.default_rng(1)
+    ids, others = ([draw.integers(low, 9, 400) for _ in range(3)] for low in (0, -1))
+    rows, asked = (list(zip(*(c.tolist() for c in some), strict=True)) for some in (ids, others))
+    for largest in (packs.LARGEST, 2000, 81):
+        codes = packs.Codes(ids, 9, largest)
+        assert [rows[i] for i in np.argsort(codes.code, kind="stable")] == sorted(rows)
+        number = dict(zip(rows, codes.code.tolist(), strict=True))
+        assert len(set(number.values())) == len(number)
+        found = codes.of(others).tolist()
+        assert all(code == number[row] if row in number else code not in codes.code for row, code in zip(asked, found, strict=True))
+
+
 @pytest.mark.parametrize("limit", [phrases.BROADCAST_BYTES, -1])
 def test_phrases_by_both_ways(spark, tmp_path, monkeypatch, limit):
     """A small table goes to the texts, and none of their windows is written."""
