@@ -1,24 +1,24 @@
-"""Windows of words in packs: a row of a table holds thousands of windows, as numbers of the
-words that stand beside them, for one share of the work.
+"""Windows of words in packs: a row of a table holds thousands of windows of n words, as
+numbers of the words that stand beside them, for one share of the work.
 
-A pack's ``words`` are those it needs, the first one PAD; ``rows`` are its windows, one column
-of word numbers per place, and ``keys`` tell who asks. All three are compressed Arrow streams.
-Words are compared as they are written, never by hashes, which only choose the share."""
+A pack's ``words`` are those it needs, in order, the first one PAD; ``rows`` are its windows, one
+column of word numbers per place, and ``keys`` tell who asks. All three are compressed Arrow
+streams. Words are compared as they are written, never by hashes, which only choose the share."""
 
 from __future__ import annotations
 
-import zlib
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SCHEMA = "share int, asked boolean, words binary, rows binary, keys binary"
+SCHEMA = "share int, n int, asked boolean, words binary, rows binary, keys binary"
 PAD = ""  # stands before the first word of a text; words are never empty
+BETWEEN = "\n"  # no word has white space
 LARGEST = 1 << 62
-MIX = np.uint64(0x9E3779B97F4A7C15)
+MIX, MIX32 = np.uint64(0x9E3779B97F4A7C15), np.uint32(0x9E3779B1)
 
 
 class Codes:
@@ -34,7 +34,9 @@ class Codes:
                 known = np.unique(code)
                 code, width = np.searchsorted(known, code), len(known)
             self.ranked.append(known)
-            code, width = code * size + column, width * size
+            code *= size
+            code += column
+            width *= size
         self.code = code
 
     def of(self, ids: Sequence[np.ndarray]) -> np.ndarray:
@@ -63,26 +65,26 @@ def _starts(code: np.ndarray) -> np.ndarray:
 
 
 def _encode(parts: Sequence[pa.Array]) -> tuple[pa.Array, np.ndarray]:
-    """The different words of all parts after PAD, and the number of each."""
+    """PAD and the different words of all parts in order, and the number of each."""
     coded = pa.concat_arrays([pa.array([PAD], pa.large_string()), *parts]).dictionary_encode()
-    return coded.dictionary, coded.indices.to_numpy()[1:]
+    order = pc.sort_indices(coded.dictionary)
+    number = np.empty(len(order), np.int32)
+    number[order.to_numpy()] = np.arange(len(order), dtype=np.int32)
+    return coded.dictionary.take(order), number[coded.indices.to_numpy()[1:]]
 
 
-def _unify(parts: Sequence) -> tuple[pa.Array, list[list[np.ndarray]]]:
-    """Words of all parts and, for each part, its ids as numbers of these."""
+def _unify(parts: Sequence) -> tuple[pa.Array, list[np.ndarray]]:
+    """Words of all parts and the ids of all as numbers of these."""
     found, numbers = _encode([p.words for p in parts])
     ends = np.cumsum([0, *(len(p.words) for p in parts)])
-    return found, [[numbers[lo:hi][c] for c in p.ids] for p, lo, hi in zip(parts, ends, ends[1:])]
-
-
-def _columns(ids: list[list[np.ndarray]]) -> list[np.ndarray]:
-    return [np.concatenate(c) for c in zip(*ids, strict=True)]
+    own = [numbers[lo:hi] for lo, hi in zip(ends, ends[1:])]
+    return found, [np.concatenate([n[p.ids[i]] for n, p in zip(own, parts, strict=True)]) for i in range(len(parts[0].ids))]
 
 
 @dataclass
 class Windows:
-    """Different windows and how often each was counted; a window that was only seen at the
-    start of a text counts 0."""
+    """Different windows, in order, and how often each was counted; a window that was only
+    seen at the start of a text counts 0."""
 
     words: pa.Array
     ids: list[np.ndarray]
@@ -96,27 +98,32 @@ class Windows:
         none = Windows(pa.array([PAD], pa.large_string()), [np.zeros(0, np.int32)] * order, np.zeros(0, np.int64))
         parts = parts or [none]
         found, ids = _unify(parts)
-        return Windows(found, _columns(ids), np.concatenate([p.count for p in parts]))._distinct()
+        return Windows(found, ids, np.concatenate([p.count for p in parts]))._distinct()
 
     def _distinct(self) -> Windows:
         code = Codes(self.ids, len(self.words)).code
         by = np.argsort(code)
         starts = _starts(code[by])
+        del code
         count = np.add.reduceat(self.count[by], starts) if len(starts) else self.count
-        return Windows(self.words, [c[by[starts]] for c in self.ids], count)
+        some = by[starts]
+        return Windows(self.words, [c[some] for c in self.ids], count)
 
     def ends(self) -> Windows:
         """The windows without their first word: each counts the different words before it."""
         return Windows(self.words, self.ids[1:], (self.ids[0] != 0).astype(np.int64))._distinct()
 
+    def where(self, some: np.ndarray) -> Windows:
+        return Windows(self.words, [c[some] for c in self.ids], self.count[some])
+
     def columns(self) -> dict[str, np.ndarray]:
         return {"count": _narrow(self.count)}
 
 
 @dataclass
 class Asked:
-    """Windows to be answered: ``who`` is the place of the asker in ``keys``, ``times`` how
-    often it asks, and p = a + b * (p by this order)."""
+    """Windows to be answered: ``who`` is the place of the asker in ``keys`` and never falls,
+    ``times`` is how often it asks, and p = a + b * (p by this order)."""
 
     words: pa.Array
     ids: list[np.ndarray]
@@ -135,11 +142,15 @@ class Asked:
         ends = np.cumsum([0, *(len(p.keys) for p in parts)])
         who = np.concatenate([p.who.astype(np.int64) + at for p, at in zip(parts, ends)])
         rest = (np.concatenate([getattr(p, c) for p in parts]) for c in ("a", "b", "times"))
-        return Asked(found, _columns(ids), pa.concat_arrays([p.keys for p in parts]), who, *rest)
+        return Asked(found, ids, pa.concat_arrays([p.keys for p in parts]), who, *rest)
 
     def ends(self, a: np.ndarray, b: np.ndarray) -> Asked:
         return Asked(self.words, self.ids[1:], self.keys, self.who, a, b, self.times)
 
+    def where(self, some: np.ndarray) -> Asked:
+        rest = (c[some] for c in (self.who, self.a, self.b, self.times))
+        return Asked(self.words, [c[some] for c in self.ids], self.keys, *rest)
+
     def columns(self) -> dict[str, np.ndarray]:
         return {"a": self.a, "b": self.b, "times": _narrow(self.times)}
 
@@ -152,7 +163,7 @@ class Table:
         self.rows = Codes(windows.ids, size)
         self.contexts = Codes(windows.ids[:-1] or [np.zeros(len(windows), np.int64)], size)
         starts = _starts(self.contexts.code)
-        self.known = self.contexts.code[starts]
+        self.known, self.contexts.code = self.contexts.code[starts], None
         sums = [windows.count, (windows.count > 0).astype(np.int64)]
         self.total, self.kinds = (np.add.reduceat(c, starts) if len(starts) else c for c in sums)
 
@@ -181,10 +192,16 @@ class Texts:
     def windows(self, order: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
         """The longest window of each place, the text it is in and how many words follow there."""
         who = np.repeat(np.arange(len(self.lengths), dtype=np.int32), self.lengths)
-        ends = np.cumsum(self.lengths)
-        place = np.arange(len(self.ids)) - (ends - self.lengths)[who]
-        before = [np.where(place >= k, np.roll(self.ids, k), 0).astype(np.int32) for k in range(order - 1, 0, -1)]
-        return [*before, self.ids], who, self.lengths[who] - 1 - place
+        starts = np.cumsum(self.lengths) - self.lengths
+        place = np.arange(len(self.ids), dtype=np.int32) - starts.astype(np.int32)[who]
+
+        def before(k: int) -> np.ndarray:
+            found = np.zeros(len(self.ids), np.int32)
+            found[k:] = self.ids[: len(found) - min(k, len(found))]
+            found[place < k] = 0
+            return found
+
+        return [*map(before, range(order - 1, 0, -1)), self.ids], who, self.lengths.astype(np.int32)[who] - 1 - place
 
 
 def chunks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[Texts]:
@@ -200,15 +217,17 @@ def chunks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[Texts]:
             held, at = held + int(ends[to - 1] - done), to
             if held >= size or at < len(ends):
                 yield _texts(pending)
-                pending, held = [], 0
+                held = 0
     if held:
         yield _texts(pending)
 
 
 def _texts(batches: list[pa.RecordBatch]) -> Texts:
+    """The texts of all batches, which are let go."""
     found, ids = _encode([b.column(0).flatten().cast(pa.large_string()) for b in batches])
     lengths = [pc.fill_null(pc.list_value_length(b.column(0)), 0).to_numpy(zero_copy_only=False) for b in batches]
     keys = pa.concat_arrays([b.column(1) for b in batches]) if batches[0].num_columns > 1 else None
+    batches.clear()
     return Texts(found, ids, np.concatenate(lengths).astype(np.int64), keys)
 
 
@@ -240,8 +259,8 @@ def _narrow(values: np.ndarray) -> np.ndarray:
 
 def _stream(columns: dict[str, np.ndarray | pa.Array]) -> bytes:
     batch = pa.RecordBatch.from_pydict(columns)
-    sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as to:
+    sink, how = pa.BufferOutputStream(), pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=3))
+    with pa.ipc.new_stream(sink, batch.schema, options=how) as to:
         to.write_batch(batch)
     return sink.getvalue().to_pybytes()
 
@@ -267,18 +286,36 @@ class _Used:
         return used, [self.place[c].astype(kind) for c in ids]
 
 
-def dealt(rows: Windows | Asked, by: Sequence[int], shares: int) -> pa.RecordBatch:
-    """Rows of SCHEMA: a pack for each share that the words at the places ``by`` choose."""
-    marks = np.fromiter(map(zlib.crc32, rows.words.cast(pa.large_binary()).to_pylist()), np.uint64, len(rows.words))
-    mixed = np.zeros(len(rows), np.uint64)
-    for place in by:
-        mixed = (mixed ^ marks[rows.ids[place]]) * MIX
-        mixed ^= mixed >> np.uint64(32)
-    share = (mixed % np.uint64(shares)).astype(np.uint16 if shares <= 1 << 16 else np.int64)
+def marks(found: pa.Array) -> np.ndarray:
+    """A number of each word, to choose a share by: its length and its first and last eight bytes."""
+    _, offsets, data = found.buffers()
+    ends = np.frombuffer(offsets, np.int64)[found.offset : found.offset + len(found) + 1]
+    size = np.diff(ends).astype(np.uint64)
+    text = np.zeros(8 + (data.size if data else 0) + 8, np.uint8)
+    text[8:-8] = np.frombuffer(data, np.uint8) if data else 0
+    eight = np.ndarray(len(text) - 7, "<u8", text, strides=(1,))  # the bytes from each place on
+    unused = np.uint64(8) * (np.uint64(8) - np.minimum(size, np.uint64(8)))
+    some = size > 0
+    unused = np.where(some, unused, np.uint64(0))
+    first, last = eight[ends[:-1] + 8] << unused, eight[ends[1:]] >> unused
+    mixed = ((first * MIX) ^ (first >> np.uint64(29)) ^ last) * MIX + size
+    return np.where(some, mixed >> np.uint64(32), np.uint64(0)).astype(np.uint32)
+
+
+def dealt(rows: Windows | Asked, by: Iterable[np.ndarray], shares: int) -> pa.RecordBatch:
+    """Rows of SCHEMA: a pack for each share that the numbers ``by`` choose. Steps are written
+    for the column that never falls, the first one of windows and ``who`` of what is asked."""
+    mixed = np.zeros(len(rows), np.uint32)
+    for numbers in by:
+        mixed ^= numbers
+        mixed *= MIX32
+        mixed ^= mixed >> np.uint32(15)
+    share = (mixed % np.uint32(shares)).astype(np.uint16 if shares <= 1 << 16 else np.uint32)
+    del mixed
     order = np.argsort(share, kind="stable")
     sizes = np.bincount(share, minlength=shares)
     ends = np.cumsum(sizes)
-    asked = isinstance(rows, Asked)
+    asked, steps = (True, "who") if isinstance(rows, Asked) else (False, "w0")
     columns, some_words = rows.columns(), _Used(len(rows.words))
     some_keys = _Used(len(rows.keys)) if asked else None
     found: dict[str, list] = {"share": [], "words": [], "rows": [], "keys": []}
@@ -286,28 +323,41 @@ def dealt(rows: Windows | Asked, by: Sequence[int], shares: int) -> pa.RecordBat
         at = order[ends[one] - sizes[one] : ends[one]]
         used, ids = some_words.renumber([c[at] for c in rows.ids])
         own = {f"w{i}": c for i, c in enumerate(ids)} | {name: c[at] for name, c in columns.items()}
+        keys = None
         if asked:
             askers, (own["who"],) = some_keys.renumber([rows.who[at]])
-            found["keys"].append(_stream({"key": rows.keys.take(pa.array(askers))}))
-        else:
-            found["keys"].append(None)
-        found["share"].append(one)
-        found["words"].append(_stream({"word": rows.words.take(pa.array(used))}))
-        found["rows"].append(_stream(own))
+            keys = _stream({"key": rows.keys.take(pa.array(askers))})
+        own[steps] = _narrow(np.diff(own[steps].astype(np.int64), prepend=0))
+        text = pa.ListArray.from_arrays([0, len(used)], rows.words.take(pa.array(used)))
+        found["words"].append(_stream({"words": pc.binary_join(text, pa.scalar(BETWEEN, pa.large_string()))}))
+        for name, value in {"share": one, "rows": _stream(own), "keys": keys}.items():
+            found[name].append(value)
+    size = len(found["share"])
+    numbers = [pa.array(found["share"], pa.int32()), pa.array([len(rows.ids)] * size, pa.int32()), pa.array([asked] * size, pa.bool_())]
     binary = [pa.array(found[c], pa.binary()) for c in ("words", "rows", "keys")]
-    flags = pa.array([asked] * len(found["share"]), pa.bool_())
-    return pa.RecordBatch.from_arrays([pa.array(found["share"], pa.int32()), flags, *binary], ["share", "asked", "words", "rows", "keys"])
+    return pa.RecordBatch.from_arrays([*numbers, *binary], ["share", "n", "asked", "words", "rows", "keys"])
 
 
 def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[Windows | Asked]:
     for batch in batches:
-        _, asked, words, rows, keys = batch.columns
+        _, n, asked, text, rows, keys = batch.columns
         for i in range(batch.num_rows):
-            own = _read(rows[i])
+            own, steps = _read(rows[i]), "who" if asked[i].as_py() else "w0"
             of = {name: own.column(name).to_numpy(zero_copy_only=False) for name in own.schema.names}
-            ids = [of[f"w{k}"] for k in range(sum(name[0] == "w" and name != "who" for name in of))]
-            found = _read(words[i]).column(0)
+            of[steps] = np.cumsum(of[steps], dtype=np.int64).astype(np.int32)
+            ids = [of[f"w{k}"] for k in range(n[i].as_py())]
+            found = pc.split_pattern(_read(text[i]).column(0), BETWEEN).flatten()
             if asked[i].as_py():
                 yield Asked(found, ids, _read(keys[i]).column(0), of["who"], of["a"], of["b"], of["times"].astype(np.int64))
             else:
                 yield Windows(found, ids, of["count"].astype(np.int64))
+
+
+def by_key(rows: pa.Table) -> list[pa.RecordBatch]:
+    """Sums of the other columns by the first one, if Arrow can group that."""
+    key, *others = rows.column_names
+    try:
+        sums = rows.group_by(key, use_threads=False).aggregate([(c, "sum") for c in others])
+    except pa.ArrowNotImplementedError:
+        return rows.to_batches()
+    return sums.select([key, *(f"{c}_sum" for c in others)]).rename_columns([key, *others]).to_batches()
