@@ -34,19 +34,21 @@ from deskcorpus.operators.packs import Asked, Table, Windows
 from deskcorpus.stages import materialize
 
 DISCOUNT = 0.75
-SHARE_BYTES = 12 << 20  # text whose windows are one share
+SHARE_BYTES = 10 << 20  # text whose windows are one share
+COMMON = 1.0  # shares that a common word's windows would fill
 SHARES_TO_ONE = 8  # shares of longer windows for one of single words, which are few
 LEAST_BYTES = 1 << 20
 LOOK_BYTES = 8 << 20  # text that is looked at to find common words
-CHUNK = 3 << 19  # words that are packed, and windows that are looked up, at a time
-HOLD = 1 << 22  # windows that are held before equal ones are joined
+CHUNK = 3 << 19  # words that are packed at a time
+LOOKUPS = 1 << 19  # windows that are looked up at a time
+HOLD = 1 << 21  # windows and words that are held before equal ones are joined
 
 
 @dataclass(frozen=True)
 class Deal:
-    """How windows are dealt to ``shares``, and single words to fewer of them. Words that a
-    share would have too many windows of are ``common``, fewer than there are shares. Which
-    ones these are, and how many shares, changes no result."""
+    """How windows are dealt to ``shares``, and single words to fewer of them. Words whose
+    windows would fill more than COMMON shares are ``common``, fewer than shares / COMMON.
+    Which ones these are, and how many shares, changes no result."""
 
     shares: int
     common: tuple[str, ...]
@@ -62,9 +64,9 @@ class Deal:
             return Deal(1, ())
         some = texts.sample(min(1.0, LOOK_BYTES / total), 0)
         counts = some.select(F.explode(_words(text)).alias("word")).rollup("word").count()
-        top = counts.orderBy(F.desc("count")).limit(shares).collect()
-        total = sum(r["count"] for r in top if r.word is None)
-        return Deal(shares, tuple(sorted(r.word for r in top if r.word is not None and r["count"] * shares > total)))
+        top = counts.orderBy(F.desc("count")).limit(int(shares / COMMON) + 1).collect()
+        least = sum(r["count"] for r in top if r.word is None) / shares * COMMON
+        return Deal(shares, tuple(sorted(r.word for r in top if r.word is not None and r["count"] > least)))
 
     def shares_of(self, n: int) -> int:
         return self.shares if n > 1 else min(self.shares, max(SHARES_TO_ONE, self.shares // SHARES_TO_ONE))
@@ -147,10 +149,11 @@ def _joined(rows: Iterator[Windows], order: int, hold: int) -> Windows:
     held, size, room = [], 0, hold
     for some in rows:
         held.append(some)
-        size += len(some)
+        size += len(some) + len(some.words)
         if size >= room:
             held = [Windows.joined(held, order)]
-            size, room = len(held[0]), max(hold, 2 * len(held[0]))
+            size = len(held[0]) + len(held[0].words)
+            room = max(hold, 2 * size)
     return Windows.joined(held, order)
 
 
@@ -191,7 +194,7 @@ def _single(rows: DataFrame, model: BackoffModel) -> DataFrame:
     """From packs of the longest windows to those of single words."""
     if model.order == 1:
         return materialize(rows)
-    d, deal, order, hold, chunk = model.discount, model.deal, model.order, HOLD, CHUNK
+    d, deal, order, hold, chunk = model.discount, model.deal, model.order, HOLD, LOOKUPS
 
     def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """All orders of a share but for pairs that begin with a common word."""
@@ -259,7 +262,7 @@ def _answers(single: DataFrame, model: BackoffModel, key: DataType, summed: bool
     the loss of its key."""
     sums = _sums(single, 1, model)
     different, total, kinds = sums[packs.PAD]
-    d, deal, hold, chunk, unknown = model.discount, model.deal, HOLD, CHUNK, 1.0 / (different + 1)
+    d, deal, hold, chunk, unknown = model.discount, model.deal, HOLD, LOOKUPS, 1.0 / (different + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         windows, asked = _share(batches, 1, hold, chunk)

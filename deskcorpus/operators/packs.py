@@ -94,24 +94,28 @@ class Windows:
         return len(self.count)
 
     @staticmethod
-    def joined(parts: Sequence[Windows], order: int) -> Windows:
+    def joined(parts: list[Windows], order: int) -> Windows:
+        """All windows of some parts, which are let go."""
         none = Windows(pa.array([PAD], pa.large_string()), [np.zeros(0, np.int32)] * order, np.zeros(0, np.int64))
-        parts = parts or [none]
-        found, ids = _unify(parts)
-        return Windows(found, ids, np.concatenate([p.count for p in parts]))._distinct()
+        found, ids = _unify(parts or [none])
+        count = np.concatenate([p.count for p in parts or [none]])
+        parts.clear()
+        return Windows(found, ids, count)._distinct()
 
     def _distinct(self) -> Windows:
         code = Codes(self.ids, len(self.words)).code
         by = np.argsort(code)
         starts = _starts(code[by])
         del code
-        count = np.add.reduceat(self.count[by], starts) if len(starts) else self.count
         some = by[starts]
-        return Windows(self.words, [c[some] for c in self.ids], count)
+        count = self.count[by]
+        del by
+        count = np.add.reduceat(count, starts, dtype=np.int64) if len(starts) else count
+        return Windows(self.words, [c[some] for c in self.ids], _narrow(count, np.int32))
 
     def ends(self) -> Windows:
         """The windows without their first word: each counts the different words before it."""
-        return Windows(self.words, self.ids[1:], (self.ids[0] != 0).astype(np.int64))._distinct()
+        return Windows(self.words, self.ids[1:], self.ids[0] != 0)._distinct()
 
     def where(self, some: np.ndarray) -> Windows:
         return Windows(self.words, [c[some] for c in self.ids], self.count[some])
@@ -164,8 +168,8 @@ class Table:
         self.contexts = Codes(windows.ids[:-1] or [np.zeros(len(windows), np.int64)], size)
         starts = _starts(self.contexts.code)
         self.known, self.contexts.code = self.contexts.code[starts], None
-        sums = [windows.count, (windows.count > 0).astype(np.int64)]
-        self.total, self.kinds = (np.add.reduceat(c, starts) if len(starts) else c for c in sums)
+        sums = [windows.count, windows.count > 0]
+        self.total, self.kinds = (np.add.reduceat(c, starts, dtype=np.int64) if len(starts) else c for c in sums)
 
     def find(self, asked: Asked) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """How often each window was counted, and all windows of its context and their kinds."""
@@ -235,7 +239,7 @@ def counted(texts: Texts, order: int) -> Windows:
     """The different windows of all places, those with words before them missing counting 0."""
     ids, _, _ = texts.windows(order)
     whole = ids[0] != 0
-    return Windows(texts.words, ids, whole.astype(np.int64))._distinct()
+    return Windows(texts.words, ids, whole)._distinct()
 
 
 def asking(texts: Texts, order: int, last: bool) -> Asked:
@@ -252,9 +256,10 @@ def asking(texts: Texts, order: int, last: bool) -> Asked:
     return Asked(texts.words, [c[some] for c in ids], texts.keys, who[some], zero, zero + 1, times)
 
 
-def _narrow(values: np.ndarray) -> np.ndarray:
+def _narrow(values: np.ndarray, least: type = np.uint8) -> np.ndarray:
     top = int(values.max(initial=0))
-    return values.astype(np.uint8 if top < 1 << 8 else np.uint16 if top < 1 << 16 else np.int64)
+    kinds = (k for k in (np.uint8, np.uint16, np.int32, np.int64) if np.iinfo(k).bits >= np.iinfo(least).bits)
+    return values.astype(next(k for k in kinds if top <= np.iinfo(k).max))
 
 
 def _stream(columns: dict[str, np.ndarray | pa.Array]) -> bytes:
@@ -350,7 +355,7 @@ def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[Windows | Asked]:
             if asked[i].as_py():
                 yield Asked(found, ids, _read(keys[i]).column(0), of["who"], of["a"], of["b"], of["times"].astype(np.int64))
             else:
-                yield Windows(found, ids, of["count"].astype(np.int64))
+                yield Windows(found, ids, of["count"])
 
 
 def by_key(rows: pa.Table) -> list[pa.RecordBatch]:

@@ -218,7 +218,7 @@ def test_windows_travel_in_packs(spark, tmp_path, monkeypatch, order):
     whole = losses()
     written = sum(spark.read.parquet(str(folder)).count() for folder in tmp_path.iterdir())
     assert written < 100 < sum(len(t.split()) for t in texts) / 40
-    for name, value in {"CHUNK": 150, "HOLD": 100, "SHARE_BYTES": 2000}.items():
+    for name, value in {"CHUNK": 150, "LOOKUPS": 40, "HOLD": 100, "SHARE_BYTES": 2000}.items():
         monkeypatch.setattr(backoff, name, value)
     assert losses() == pytest.approx(whole, rel=1e-12)
     p, _ = model_by_hand(texts, order)
