@@ -275,14 +275,13 @@ def _read(value: pa.Scalar) -> pa.RecordBatch:
 
 
 class _Used:
-    """Numbers for the few of many that are used, the first one always among them."""
+    """Numbers for the few of many that are used, and for those wanted in any case."""
 
     def __init__(self, size: int):
         self.flags, self.place = np.zeros(size, bool), np.zeros(size, np.int32)
 
-    def renumber(self, ids: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
-        self.flags[0] = True
-        for c in ids:
+    def renumber(self, ids: list[np.ndarray], *wanted: int) -> tuple[np.ndarray, list[np.ndarray]]:
+        for c in (*ids, *wanted):
             self.flags[c] = True
         used = np.flatnonzero(self.flags)
         self.flags[used] = False
@@ -326,7 +325,7 @@ def dealt(rows: Windows | Asked, by: Iterable[np.ndarray], shares: int) -> pa.Re
     found: dict[str, list] = {"share": [], "words": [], "rows": [], "keys": []}
     for one in np.flatnonzero(sizes).tolist():
         at = order[ends[one] - sizes[one] : ends[one]]
-        used, ids = some_words.renumber([c[at] for c in rows.ids])
+        used, ids = some_words.renumber([c[at] for c in rows.ids], 0)
         own = {f"w{i}": c for i, c in enumerate(ids)} | {name: c[at] for name, c in columns.items()}
         keys = None
         if asked:
@@ -338,9 +337,9 @@ def dealt(rows: Windows | Asked, by: Iterable[np.ndarray], shares: int) -> pa.Re
         for name, value in {"share": one, "rows": _stream(own), "keys": keys}.items():
             found[name].append(value)
     size = len(found["share"])
-    numbers = [pa.array(found["share"], pa.int32()), pa.array([len(rows.ids)] * size, pa.int32()), pa.array([asked] * size, pa.bool_())]
-    binary = [pa.array(found[c], pa.binary()) for c in ("words", "rows", "keys")]
-    return pa.RecordBatch.from_arrays([*numbers, *binary], ["share", "n", "asked", "words", "rows", "keys"])
+    of = {"share": pa.array(found["share"], pa.int32()), "n": pa.array([len(rows.ids)] * size, pa.int32())}
+    of["asked"] = pa.array([asked] * size, pa.bool_())
+    return pa.RecordBatch.from_pydict(of | {c: pa.array(found[c], pa.binary()) for c in ("words", "rows", "keys")})
 
 
 def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[Windows | Asked]:

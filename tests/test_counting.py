@@ -229,6 +229,12 @@ def test_windows_travel_in_packs(spark, tmp_path, monkeypatch, order):
     assert whole == pytest.approx({key: sum(v) / len(v) for key, v in want.items() if v})
 
 
+def test_texts_without_words_before_others_have_no_loss(spark):
+    train = spark.createDataFrame([(1, "a b")], "id int, text string")
+    test = spark.createDataFrame([(1, ""), (2, "b a"), (3, None), (4, "a"), (5, " ")], "id int, text string").coalesce(1)
+    assert {r.id for r in backoff.backoff_losses(train, test, "id", "text").collect()} == {2, 4}
+
+
 def test_codes_order_rows_and_find_them():
     draw = np.random.default_rng(1)
     ids, others = ([draw.integers(low, 9, 400) for _ in range(3)] for low in (0, -1))
